@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,14 +39,7 @@ def update_record(df: DataFrame, fields: Mapping[str, Column | str | None]) -> D
     for path, value in fields.items():
         if "[]." in path:
             outer, inner = path.split("[].", 1)
-            if value is None:
-                changed = F.transform(outer, lambda item, f=inner: item.dropFields(f))
-            elif isinstance(value, str):
-                element = f"named_struct({_rebuilt_fields(df, outer, inner, value)})"
-                changed = F.expr(f"transform({outer}, item -> {element})")
-            else:
-                changed = F.transform(outer, lambda item, f=inner, v=value: item.withField(f, v))
-            df = df.withColumn(outer, changed)
+            df = df.withColumn(outer, _changed_elements(df, outer, inner, value))
         elif "." in path:
             outer, inner = path.split(".", 1)
             struct = F.col(outer)
@@ -58,12 +52,16 @@ def update_record(df: DataFrame, fields: Mapping[str, Column | str | None]) -> D
     return df
 
 
-def _rebuilt_fields(df: DataFrame, outer: str, inner: str, value: str) -> str:
-    element = df.schema[outer].dataType.elementType
-    names = [f.name for f in element.fields]
+def _changed_elements(df: DataFrame, outer: str, inner: str, value: Column | str | None) -> Column:
+    if value is None:
+        return F.transform(outer, lambda item: item.dropFields(inner))
+    if isinstance(value, Column):
+        return F.transform(outer, lambda item: item.withField(inner, value))
+    names = [f.name for f in df.schema[outer].dataType.elementType.fields]
     if inner not in names:
         names.append(inner)
-    return ", ".join(f"'{n}', {value if n == inner else f'item.`{n}`'}" for n in names)
+    fields = ", ".join(f"'{n}', {value if n == inner else f'item.`{n}`'}" for n in names)
+    return F.expr(f"transform({outer}, item -> named_struct({fields}))")
 
 
 def replace_text(df: DataFrame, col: str, pattern: str, replacement: str) -> DataFrame:
@@ -74,14 +72,15 @@ def replace_text(df: DataFrame, col: str, pattern: str, replacement: str) -> Dat
 def restructure_json(df: DataFrame, col: str, spec: Sequence[Mapping]) -> DataFrame:
     """Reshape JSON text by a list of steps, compiled once to column expressions.
 
-    ``{"op": "shift", "fields": {from: to}}`` keeps only the fields named and
-    moves them; without a shift the top-level fields named in ``keep`` stay.
-    ``{"op": "default", "fields": {to: value}}`` fills what is missing;
-    ``{"op": "remove", "fields": [to]}`` takes out. Paths are dotted. A path may
-    end in ``:type`` to cast, such as ``a.b:int``; values are text otherwise.
+    ``{"op": "shift", "fields": {from: to}}`` keeps only the named fields and
+    moves them; ``{"op": "default", "fields": {to: value}}`` fills what is
+    missing; ``{"op": "remove", "fields": [to]}`` takes out. Paths are dotted; a
+    source path may end in ``:type`` to cast, such as ``a.b:int``, and is text
+    otherwise. Without a shift the other fields stay and paths are top-level.
     """
-    tree: dict[str, Column] = {}
     doc = F.try_parse_json(col)
+    entries = F.try_variant_get(doc, "$", "map<string,variant>")
+    tree: dict[str, Column] | None = None
     for step in spec:
         op, fields = step["op"], step["fields"]
         if op == "shift":
@@ -89,21 +88,32 @@ def restructure_json(df: DataFrame, col: str, spec: Sequence[Mapping]) -> DataFr
             for source, target in fields.items():
                 path, _, kind = source.partition(":")
                 tree[target] = F.try_variant_get(doc, f"$.{path}", kind or "string")
+        elif op == "default" and tree is None:
+            entries = _with_defaults(entries, fields)
         elif op == "default":
             for target, value in fields.items():
-                tree[target] = (
-                    F.coalesce(tree[target], F.lit(value)) if target in tree else F.lit(value)
-                )
+                known = [tree[target]] if target in tree else []
+                tree[target] = F.coalesce(*known, F.lit(value))
+        elif op == "remove" and tree is None:
+            entries = _without(entries, fields)
         elif op == "remove":
-            for target in fields:
-                tree = {
-                    name: value
-                    for name, value in tree.items()
-                    if name != target and not name.startswith(f"{target}.")
-                }
+            gone = tuple(f"{target}." for target in fields)
+            tree = {k: v for k, v in tree.items() if not f"{k}.".startswith(gone)}
         else:
             raise ValueError(f"unknown step: {op}")
-    return df.withColumn(col, F.to_json(_nested(tree)))
+    return df.withColumn(col, F.to_json(entries if tree is None else _nested(tree)))
+
+
+def _without(entries: Column, fields: Sequence[str]) -> Column:
+    return F.map_filter(entries, lambda name, _: ~name.isin(list(fields)))
+
+
+def _with_defaults(entries: Column, fields: Mapping) -> Column:
+    pairs = [x for k, v in fields.items() for x in (F.lit(k), F.parse_json(F.lit(json.dumps(v))))]
+    missing = F.map_filter(
+        F.create_map(*pairs), lambda name, _: ~F.map_contains_key(entries, name)
+    )
+    return F.map_concat(entries, missing)
 
 
 def _nested(tree: Mapping[str, Column]) -> Column:
