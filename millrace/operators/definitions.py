@@ -105,7 +105,12 @@ def parse_definitions(df: DataFrame, id_col: str, json_col: str) -> Definitions:
     parsed = df.select(
         F.col(id_col).cast("string").alias("pipeline_id"),
         blank_to_null(json_col).alias("raw"),
-    ).withColumn("doc", F.try_parse_json("raw"))
+    )
+    # As the output of a generator the document is parsed once, where a plain
+    # column would be repeated in every test that a filter makes of it.
+    parsed = parsed.select(
+        "pipeline_id", "raw", F.explode(F.array(F.try_parse_json("raw"))).alias("doc")
+    )
     reason = (
         F.when(F.col("raw").isNull(), REASON_BLANK)
         .when(~F.coalesce(_is_collection("doc"), F.lit(False)), REASON_NOT_OBJECT)

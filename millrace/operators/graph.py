@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import next_rows
-from millrace.session import cut_lineage, fits_broadcast, measure
+from millrace.session import cut_lineage, fits_broadcast
 
 
 def _levels(
@@ -28,8 +28,8 @@ def _levels(
 
     Every (seed, node) is kept at its first depth, so cycles end.
     """
-    reached = frontier = cut_lineage(start)
-    rows, size = measure(frontier)
+    frontier, rows, size = cut_lineage(start)
+    reached = frontier
     depth = 0
     while rows and (max_depth is None or depth < max_depth):
         depth += 1
@@ -42,8 +42,7 @@ def _levels(
             .agg(F.lit(depth).alias("depth"), *merge)
         )
         known = reached.select("seed", "node")
-        frontier = cut_lineage(step.join(known, ["seed", "node"], "left_anti"))
-        rows, size = measure(frontier)
+        frontier, rows, size = cut_lineage(step.join(known, ["seed", "node"], "left_anti"))
         if rows:
             reached = reached.unionByName(frontier)
     return reached
@@ -104,7 +103,7 @@ def rollup(
     """
     parents = groups.select("group_id", "parent_id")
     sums = [F.sum(c).alias(c) for c in cols]
-    level = cut_lineage(measures.groupBy("group_id").agg(*sums))
+    level, rows, _ = cut_lineage(measures.groupBy("group_id").agg(*sums))
     levels = level
     for _ in range(max_depth):
         moved = (
@@ -112,8 +111,8 @@ def rollup(
             .groupBy(F.col("parent_id").alias("group_id"))
             .agg(*sums)
         )
-        level = cut_lineage(moved)
-        if level.isEmpty():
+        level, rows, _ = cut_lineage(moved)
+        if not rows:
             break
         levels = levels.unionByName(level)
     else:

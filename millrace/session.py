@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Runtime settings the operators rely on. All of them can be changed per session.
@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A join whose build side is small in every partition needs no sort.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Streaming state that need not fit in executor memory.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -58,16 +60,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so a lost executor costs no earlier round."""
+def _size() -> Column:
+    return F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("size")
+
+
+def cut_lineage(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """Materialise ``df`` in the shared folder, so a lost executor costs no earlier round.
+
+    Returns it with its rows and their size as text, measured in the same job.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    observation = Observation()
+    kept = df.observe(observation, F.count("*").alias("rows"), _size()).checkpoint(eager=True)
+    found = observation.get
+    return kept, found["rows"], found["size"]
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
     """Rows of ``df`` and their size as text, from one distributed aggregate."""
-    size = F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0))
-    return tuple(df.agg(F.count("*"), size).first())
+    return tuple(df.agg(F.count("*"), _size()).first())
 
 
 def fits_broadcast(rows: int, size: int, max_rows: int = BROADCAST_ROWS) -> bool:

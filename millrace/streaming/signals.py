@@ -8,74 +8,88 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_FLAT = "key string, row string, amount bigint, ts timestamp"
-
 
 def _combiner():
     """Sums the signals of each key within a batch, before they are shuffled."""
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            is_signal = batch["amount"].notna()
+            is_signal = batch["row"].isna()
             yield batch[~is_signal]
             summed = batch[is_signal].groupby("key", as_index=False).agg(
-                amount=("amount", "sum"), ts=("ts", "max")
+                amount=("amount", "sum"), end=("end", "max")
             )
-            yield summed.assign(row=None)[["key", "row", "amount", "ts"]]
+            yield summed.assign(row=None)[["key", "row", "amount", "end"]]
 
     return combine
 
 
-def _processor(target: int, ttl_seconds: int):
-    """The state processor, made here so that executors need no module of ours."""
-    from pyspark.sql.streaming import StatefulProcessor
+def _processor(target: int):
+    """The state processor, made here so that executors need no module of ours.
 
-    ttl_ms = ttl_seconds * 1000
+    ``end`` is the time in milliseconds when a row expires or a signal is forgotten.
+    """
+    from pyspark.sql.streaming import StatefulProcessor
 
     class WaitNotify(StatefulProcessor):
         def init(self, handle):
             self.handle = handle
-            self.total = handle.getValueState("total", "amount bigint, until bigint")
+            self.total = handle.getValueState("total", "amount bigint, until bigint, timer bigint")
             self.held = handle.getListState("held", "row string, until bigint")
 
         def handleInputRows(self, key, rows, timerValues):
-            total, until = self.total.get() if self.total.exists() else (0, 0)
+            total, until, timer = self.total.get() or (0, 0, 0)
+            was_done = total >= target
             added, arrived = 0, []
             for batch in rows:
-                ends = batch["ts"].astype("datetime64[ms]").astype("int64") + ttl_ms
-                signals = batch["amount"].notna()
-                if signals.any():
-                    added += int(batch.loc[signals, "amount"].sum())
-                    until = max(until, int(ends[signals].max()))
-                arrived += zip(batch.loc[~signals, "row"], (int(e) for e in ends[~signals]))
-            if added:
-                total += added
-                self.total.update((total, until))
-                self.handle.registerTimer(until)
+                for row, amount, end in zip(
+                    batch["row"].tolist(), batch["amount"].tolist(), batch["end"].tolist()
+                ):
+                    if row is None:
+                        added += amount
+                        until = max(until, end)
+                    else:
+                        arrived.append((row, end))
+            total += added
             if total >= target:
-                if self.held.exists():
-                    arrived += [(row, end) for row, end in self.held.get()]
-                    self.held.clear()
+                if added and not was_done:
+                    held = [(row, end) for row, end in self.held.get()]
+                    if held:
+                        self.held.clear()
+                    arrived += held
                 if arrived:
                     yield self._out(arrived, "released")
             elif arrived:
                 self.held.appendList(arrived)
-                self.handle.registerTimer(min(end for _, end in arrived))
+            self._save(total, until, timer, [] if total >= target else arrived, bool(added))
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-            if self.total.exists() and self.total.get()[1] <= now:
-                self.total.clear()
-            held = [(row, end) for row, end in self.held.get()] if self.held.exists() else []
+            total, until, _ = self.total.get() or (0, 0, 0)
+            if until <= now:
+                total, until = 0, 0
+            held = [(row, end) for row, end in self.held.get()]
             late = [pair for pair in held if pair[1] <= now]
+            kept = [pair for pair in held if pair[1] > now]
             if late:
-                kept = [pair for pair in held if pair[1] > now]
                 if kept:
                     self.held.put(kept)
-                    self.handle.registerTimer(min(end for _, end in kept))
                 else:
                     self.held.clear()
                 yield self._out(late, "expired")
+            self._save(total, until, 0, kept, True)
+
+        def _save(self, total, until, timer, held, changed):
+            """Keep one timer for a group, at the first time something may end."""
+            ends = [end for _, end in held] + ([until] if until else [])
+            first = min(ends, default=0)
+            if first and (not timer or first < timer):
+                self.handle.registerTimer(first)
+                timer, changed = first, True
+            if not ends and not timer:
+                self.total.clear()
+            elif changed:
+                self.total.update((total, until, timer))
 
         def close(self):
             pass
@@ -95,7 +109,7 @@ def wait_notify_stream(
     amount: Column,
     ts: str = "ts",
     watermark: str = "1 hour",
-    salts: int = 8,
+    salts: int = 4,
 ) -> DataFrame:
     """Rows that wait until the signals for their key add up to ``target``.
 
@@ -108,20 +122,21 @@ def wait_notify_stream(
     summed for each batch before each group gets a copy of the sum, so a key with
     very many rows is held by several tasks.
     """
-    payload = F.when(amount.isNull(), F.to_json(F.struct(*df.columns)))
     flat = df.select(
         F.col(key).cast("string").alias("key"),
-        payload.alias("row"),
-        amount.cast("bigint").alias("amount"),
+        F.when(amount.isNull(), F.to_json(F.struct(*df.columns))).alias("row"),
+        F.coalesce(amount.cast("bigint"), F.lit(0)).alias("amount"),
         F.col(ts).cast("timestamp").alias("ts"),
     )
-    combined = flat.mapInPandas(_combiner(), _FLAT).withWatermark("ts", watermark)
+    combined = flat.withWatermark("ts", watermark).select(
+        "key", "row", "amount", (F.unix_millis("ts") + ttl_seconds * 1000).alias("end")
+    ).mapInPandas(_combiner(), "key string, row string, amount bigint, end bigint")
     groups = F.when(
         F.col("row").isNull(), F.array(*[F.lit(s).cast("bigint") for s in range(salts)])
     ).otherwise(F.array(F.pmod(F.xxhash64("row"), F.lit(salts).cast("bigint"))))
     salted = combined.withColumn("salt", F.explode(groups))
     out = salted.groupBy("key", "salt").transformWithStateInPandas(
-        statefulProcessor=_processor(target, ttl_seconds),
+        statefulProcessor=_processor(target),
         outputStructType="row string, outcome string",
         outputMode="append",
         timeMode="EventTime",
