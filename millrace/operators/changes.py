@@ -8,24 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import blank_to_null, merge_maps
+from millrace.operators.lookup import lookup_join
+
+
+def look_up_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Every edge with the ids of both ends, and whether both are ``resolved``.
+
+    ``nodes`` has (pipeline_id, name, pos, id); of nodes with one name the last counts.
+    """
+    ids = nodes.groupBy("pipeline_id", "name").agg(F.max_by("id", "pos").alias("id"))
+    found = edges
+    for end in ("source", "destination"):
+        on = [("pipeline_id", "pipeline_id"), (end, "name")]
+        found = lookup_join(found, ids.withColumnRenamed("id", f"{end}_id"), on)
+    both = F.col("source_id").isNotNull() & F.col("destination_id").isNotNull()
+    return found.withColumn("resolved", both)
 
 
 def resolve_edges(edges: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edges with the ids of both ends, and the edges with an end that names no node.
 
-    ``nodes`` has (pipeline_id, name, pos, id); of nodes with one name the last
-    counts. Unresolved edges keep the id that was found.
+    Unresolved edges keep the id that was found. ``look_up_edges`` gives both in one pass.
     """
-    ids = nodes.groupBy("pipeline_id", "name").agg(F.max_by("id", "pos").alias("id"))
-    source = ids.select("pipeline_id", F.col("name").alias("source"), F.col("id").alias("source_id"))
-    destination = ids.select(
-        "pipeline_id", F.col("name").alias("destination"), F.col("id").alias("destination_id")
-    )
-    looked_up = edges.join(source, ["pipeline_id", "source"], "left").join(
-        destination, ["pipeline_id", "destination"], "left"
-    ).select(*edges.columns, "source_id", "destination_id")
-    found = F.col("source_id").isNotNull() & F.col("destination_id").isNotNull()
-    return looked_up.where(found), looked_up.where(~found)
+    found = look_up_edges(edges, nodes)
+    return found.where("resolved").drop("resolved"), found.where("NOT resolved").drop("resolved")
 
 
 def apply_changes(
@@ -100,8 +106,8 @@ def empty_queue(
     """The rows kept, and for each emptied connection the dropped count and bytes."""
     if isinstance(connection_ids, DataFrame):
         ids = connection_ids.select("connection_id").distinct()
-        kept = queue.join(ids, "connection_id", "left_anti").select(*queue.columns)
-        dropped = queue.join(ids, "connection_id", "left_semi")
+        kept = lookup_join(queue, ids, "connection_id", "left_anti")
+        dropped = lookup_join(queue, ids, "connection_id", "left_semi")
     else:
         chosen = F.coalesce(F.col("connection_id").isin(list(connection_ids)), F.lit(False))
         kept, dropped = queue.where(~chosen), queue.where(chosen)

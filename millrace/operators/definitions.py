@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import blank_to_null, short_type_name
 from millrace.functions.maps import STRING_MAP, empty_map
+from millrace.operators.lookup import lookup_join
 
 # The reject reasons, in the order they are tried.
 REASON_BLANK = "definition is required."
@@ -299,7 +300,7 @@ def _contexts_with_parameters(definitions: Definitions, part_rows: int) -> DataF
     parameters = definitions.parameters.select(*keys, "name", F.struct("name", entry.alias("entry")).alias("item"))
     slices = parameters.groupBy(*keys).agg(F.ceil(F.count("*") / part_rows).alias("slices"))
     listed = (
-        parameters.join(slices, keys)
+        lookup_join(parameters, slices, keys)
         .groupBy(*keys, F.pmod(F.xxhash64("name"), "slices").alias("slice"))
         .agg(F.sort_array(F.collect_list("item")).alias("items"))
         .select(*keys, "slice", F.col("items.entry").alias("parameters"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import size_bytes
 from millrace.operators.graph import subtree
+from millrace.operators.lookup import lookup_join
 
 
 def list_children(df: DataFrame, group_id, col: str = "group_id") -> DataFrame:
@@ -191,5 +192,5 @@ def search_components(
         if groups is None:
             return found.where(F.col("group_id") == group_id)
         nested = subtree(groups, group_id).select("group_id")
-        found = found.join(nested, "group_id", "left_semi").select(*df.columns)
+        found = lookup_join(found, nested, "group_id", "left_semi")
     return found

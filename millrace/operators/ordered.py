@@ -9,7 +9,6 @@ hour of a timestamp.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,16 +27,16 @@ def default_slice(df: DataFrame, order_col: str) -> Column:
     raise ValueError(f"pass slice_by for an order column of type {kind.simpleString()}")
 
 
-def _with_slice_values(df: DataFrame, slices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the columns of ``slices`` to the rows of the same slice; null keys match null keys."""
-    renamed = slices.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        *[c for c in slices.columns if c not in keys],
-    )
-    same = reduce(
-        Column.__and__, [df[k].eqNullSafe(renamed[f"_k{i}"]) for i, k in enumerate(keys)]
-    )
-    return df.join(renamed, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+def _sliced(
+    df: DataFrame, keys: Sequence[str], order_col: str, slice_by: Column | None
+) -> DataFrame:
+    """Add the group of each row: key and slice as one struct, which is never null."""
+    value = default_slice(df, order_col) if slice_by is None else slice_by
+    return df.withColumn("_group", F.struct(F.struct(*keys).alias("key"), value.alias("slice")))
+
+
+def _within_key():
+    return Window.partitionBy("_group.key").orderBy("_group.slice")
 
 
 def row_numbers(
@@ -48,21 +47,17 @@ def row_numbers(
     slice_by: Column | None = None,
 ) -> DataFrame:
     """Number the rows of each key from 1 in the given order, which must have no ties."""
-    sliced = df.withColumn("_slice", default_slice(df, order[0]) if slice_by is None else slice_by)
-    by_slice = [*keys, "_slice"]
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = sliced.groupBy(*by_slice).agg(F.count("*").alias("_rows")).select(
-        *by_slice, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
-    )
-    numbered = sliced.withColumn(
-        "_in_slice", F.row_number().over(Window.partitionBy(*by_slice).orderBy(*order))
+    sliced = _sliced(df, keys, order[0], slice_by)
+    earlier = _within_key().rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sliced.groupBy("_group").agg(F.count("*").alias("_rows")).select(
+        "_group", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
     )
+    in_slice = F.row_number().over(Window.partitionBy("_group").orderBy(*order))
     return (
-        _with_slice_values(numbered, offsets, by_slice)
+        sliced.withColumn("_in_slice", in_slice)
+        .join(offsets, "_group")
         .withColumn(name, F.col("_offset") + F.col("_in_slice"))
-        .drop("_slice", "_offset", "_in_slice")
+        .drop("_group", "_offset", "_in_slice")
     )
 
 
@@ -75,21 +70,16 @@ def next_rows(
     slice_by: Column | None = None,
 ) -> DataFrame:
     """Add ``value`` of the following row of the same key; null on the last row of a key."""
-    sliced = df.withColumn(
-        "_slice", default_slice(df, order[0]) if slice_by is None else slice_by
-    ).withColumn("_value", F.struct(value.alias("value")))
-    by_slice = [*keys, "_slice"]
-    firsts = sliced.groupBy(*by_slice).agg(
-        F.min_by("_value", F.struct(*order)).alias("_first")
-    ).select(
-        *by_slice,
-        F.lead("_first").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_following"),
-    )
-    led = sliced.withColumn(
-        "_next", F.lead("_value").over(Window.partitionBy(*by_slice).orderBy(*order))
+    sliced = _sliced(df, keys, order[0], slice_by).withColumn(
+        "_value", F.struct(value.alias("value"))
     )
+    firsts = sliced.groupBy("_group").agg(
+        F.min_by("_value", F.struct(*order)).alias("_first")
+    ).select("_group", F.lead("_first").over(_within_key()).alias("_following"))
+    in_slice = F.lead("_value").over(Window.partitionBy("_group").orderBy(*order))
     return (
-        _with_slice_values(led, firsts, by_slice)
+        sliced.withColumn("_next", in_slice)
+        .join(firsts, "_group")
         .withColumn(name, F.coalesce("_next", "_following")["value"])
-        .drop("_slice", "_value", "_next", "_following")
+        .drop("_group", "_value", "_next", "_following")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import merge_maps
 from millrace.functions.maps import STRING_MAP
 from millrace.operators.graph import ranked_closure
+from millrace.operators.lookup import lookup_join
 from millrace.session import BROADCAST_ROWS, is_small
 
 # How a text refers to a parameter.
@@ -109,14 +110,14 @@ def _substitute_joined(df: DataFrame, col: str, params: DataFrame, context: str)
     found = wanted.join(values, ["_context", "_name"]).groupBy("_context", "_text").agg(
         F.map_from_entries(F.collect_list(F.struct("_name", "_value.value"))).alias("_values")
     )
-    joined = df.join(
-        found, (df[context] == found["_context"]) & (df[col] == found["_text"]), "left"
-    ).withColumn("_values", F.coalesce("_values", F.create_map().cast(STRING_MAP)))
+    joined = lookup_join(df, found, [(context, "_context"), (col, "_text")]).withColumn(
+        "_values", F.coalesce("_values", F.create_map().cast(STRING_MAP))
+    )
     return joined.withColumn(
         "unresolved", F.filter(names, lambda name: ~F.map_contains_key("_values", name))
     ).withColumn(
         col, _rebuild(col, lambda name: F.try_element_at("_values", name))
-    ).drop("_context", "_text", "_values")
+    ).drop("_values")
 
 
 def apply_params(params: DataFrame, sets: DataFrame, removals: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from millrace.operators.lookup import lookup_join
+
 UNMATCHED = "unmatched"
 
 
@@ -73,7 +75,7 @@ def wait_notify(
     """
     amount = F.lit(1) if count_col is None else F.col(count_col)
     sums = signals.groupBy(key).agg(F.sum(amount).cast("bigint").alias("signals"))
-    held = waiting.join(sums, key, "left").withColumn(
+    held = lookup_join(waiting, sums, key).withColumn(
         "signals", F.coalesce("signals", F.lit(0))
     )
     done = F.col("signals") >= target

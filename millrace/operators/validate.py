@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.definitions import Definitions
+from millrace.operators.lookup import lookup_join
 
 # The message of each rule; %s is filled with the subject.
 MESSAGES = {
@@ -54,12 +55,7 @@ def blank_required(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def dangling_refs(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
     """Child rows that refer to no parent row; ``on`` pairs child columns with parent columns."""
-    names = [f"_parent_{i}" for i in range(len(on))]
-    targets = parent.select(*[F.col(p).alias(n) for (_, p), n in zip(on, names)]).distinct()
-    match = reduce(
-        Column.__and__, [child[c] == targets[n] for (c, _), n in zip(on, names)]
-    )
-    return child.join(targets, match, "left_anti")
+    return lookup_join(child, parent.select(*[p for _, p in on]).distinct(), on, "left_anti")
 
 
 def empty_list(df: DataFrame, col: str) -> DataFrame:

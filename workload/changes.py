@@ -29,10 +29,7 @@ def resolve_edges(t):
         F.concat(F.lit("id-"), "l_partkey").alias("id"),
     )
     edges = roles.edges(t).select("pipeline_id", "source", "destination")
-    resolved, unresolved = c.resolve_edges(edges, nodes)
-    return resolved.withColumn("resolved", F.lit(True)).unionByName(
-        unresolved.withColumn("resolved", F.lit(False))
-    )
+    return c.look_up_edges(edges, nodes)
 
 
 def _versioned(t):
