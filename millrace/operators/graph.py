@@ -18,15 +18,13 @@ from millrace.session import cut_lineage, fits_broadcast
 
 
 def _levels(
-    edges: DataFrame,
-    start: DataFrame,
-    max_depth: int | None,
-    carried: Sequence[Column] = (),
-    merge: Sequence[Column] = (),
+    edges: DataFrame, start: DataFrame, max_depth: int | None, **carried: Column
 ) -> DataFrame:
     """Breadth-first levels from ``start`` (seed, node, depth = 0, carried columns).
 
-    Every (seed, node) is kept at its first depth, so cycles end.
+    Every (seed, node) is kept at its first depth, so cycles end. A ``carried``
+    column is computed on each step and its lowest value kept. New pairs are told
+    from known ones by the one aggregate that also removes repeats.
     """
     frontier, rows, size = cut_lineage(start)
     reached = frontier
@@ -35,14 +33,20 @@ def _levels(
         depth += 1
         if fits_broadcast(rows, size):
             frontier = F.broadcast(frontier)
-        step = (
-            edges.join(frontier, edges["src"] == frontier["node"])
-            .select("seed", F.col("dst").alias("node"), *carried)
+        step = edges.join(frontier, edges["src"] == frontier["node"]).select(
+            "seed",
+            F.col("dst").alias("node"),
+            F.lit(depth).alias("depth"),
+            *[column.alias(name) for name, column in carried.items()],
+        )
+        known = reached.select("seed", "node", "depth")
+        new = (
+            step.unionByName(known, allowMissingColumns=True)
             .groupBy("seed", "node")
-            .agg(F.lit(depth).alias("depth"), *merge)
+            .agg(F.min("depth").alias("depth"), *[F.min(c).alias(c) for c in carried])
+            .where(F.col("depth") == depth)
         )
-        known = reached.select("seed", "node")
-        frontier, rows, size = cut_lineage(step.join(known, ["seed", "node"], "left_anti"))
+        frontier, rows, size = cut_lineage(new)
         if rows:
             reached = reached.unionByName(frontier)
     return reached
@@ -77,8 +81,8 @@ def ranked_closure(edges: DataFrame, seeds: DataFrame, max_depth: int | None = N
         F.lit(0).alias("depth"),
         F.array().cast("array<int>").alias("ranks"),
     )
-    way = F.concat("ranks", F.array(F.col("rank").cast("int"))).alias("ranks")
-    return _levels(edges, start, max_depth, [way], [F.min("ranks").alias("ranks")])
+    way = F.concat("ranks", F.array(F.col("rank").cast("int")))
+    return _levels(edges, start, max_depth, ranks=way)
 
 
 def subtree(groups: DataFrame, root: str, max_depth: int | None = None) -> DataFrame:

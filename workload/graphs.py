@@ -76,35 +76,40 @@ def lineage_flowfile_nodes(t):
 
 
 def _derivations(t):
-    turn = F.col("turn")
-    node = lambda n: F.concat(F.col("conv_id"), F.lit("-"), n)
-    nodes = t.conversations.select("conv_id", "turn")
-    later = nodes.select("conv_id", (turn - 1).alias("turn"))
-    edges = nodes.join(later, ["conv_id", "turn"]).select(
-        node(turn).alias("src"), node(turn + 1).alias("dst")
+    """Each later turn derives from the turn before it."""
+    node = lambda turn: F.concat("conv_id", F.lit("-"), turn)
+    turns = t.conversations.select("conv_id", "turn")
+    edges = turns.where("turn > 0").select(
+        node(F.col("turn") - 1).alias("src"), node("turn").alias("dst")
     )
-    return edges, lambda which: nodes.where(which).select(node(turn).alias("seed"))
+    return edges, turns.select("turn", node("turn").alias("seed"))
+
+
+DERIVATIONS_SQL = """edges AS (
+  SELECT conv_id || '-' || (turn - 1) AS src, conv_id || '-' || turn AS dst
+  FROM conversations WHERE turn > 0),
+seeds AS (SELECT DISTINCT conv_id || '-' || turn AS seed, turn FROM conversations)"""
 
 
 @query(
     "lineage_closure",
-    """WITH firsts AS (SELECT DISTINCT conv_id FROM conversations WHERE turn = 0)
-    SELECT DISTINCT conv_id || '-0' AS seed, conv_id || '-' || turn AS node,
-           CAST(turn AS INTEGER) AS depth
-    FROM conversations JOIN firsts USING (conv_id)""",
+    f"""WITH RECURSIVE {DERIVATIONS_SQL}, reached AS (
+      SELECT seed, seed AS node, 0 AS depth FROM seeds WHERE turn = 0
+      UNION SELECT seed, dst, depth + 1 FROM reached JOIN edges ON src = node)
+    SELECT * FROM reached""",
 )
 def lineage_closure(t):
     edges, seeds = _derivations(t)
-    return graph.lineage_closure(edges, seeds(F.col("turn") == 0), "down")
+    return graph.lineage_closure(edges, seeds.where("turn = 0"), "down")
 
 
 @query(
     "lineage_closure_up",
-    """SELECT DISTINCT a.conv_id || '-' || a.turn AS seed, b.conv_id || '-' || b.turn AS node,
-           CAST(a.turn - b.turn AS INTEGER) AS depth
-    FROM conversations a JOIN conversations b
-      ON a.conv_id = b.conv_id AND b.turn <= a.turn AND a.turn - b.turn <= 2""",
+    f"""WITH RECURSIVE {DERIVATIONS_SQL}, reached AS (
+      SELECT seed, seed AS node, 0 AS depth FROM seeds
+      UNION SELECT seed, src, depth + 1 FROM reached JOIN edges ON dst = node WHERE depth < 2)
+    SELECT * FROM reached""",
 )
 def lineage_closure_up(t):
     edges, seeds = _derivations(t)
-    return graph.lineage_closure(edges, seeds(F.lit(True)), "up", max_depth=2)
+    return graph.lineage_closure(edges, seeds, "up", max_depth=2)
