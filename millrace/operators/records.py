@@ -78,30 +78,33 @@ def restructure_json(df: DataFrame, col: str, spec: Sequence[Mapping]) -> DataFr
     source path may end in ``:type`` to cast, such as ``a.b:int``, and is text
     otherwise. Without a shift the other fields stay and paths are top-level.
     """
-    doc = F.try_parse_json(col)
-    entries = F.try_variant_get(doc, "$", "map<string,variant>")
+    # Columns of their own, so that each text is parsed once for all its fields.
+    df = df.withColumn("_doc", F.try_parse_json(col))
     tree: dict[str, Column] | None = None
+    if spec[0]["op"] != "shift":
+        df = df.withColumn("_entries", F.try_variant_get("_doc", "$", "map<string,variant>"))
     for step in spec:
         op, fields = step["op"], step["fields"]
         if op == "shift":
             tree = {}
             for source, target in fields.items():
                 path, _, kind = source.partition(":")
-                tree[target] = F.try_variant_get(doc, f"$.{path}", kind or "string")
+                tree[target] = F.try_variant_get("_doc", f"$.{path}", kind or "string")
         elif op == "default" and tree is None:
-            entries = _with_defaults(entries, fields)
+            df = df.withColumn("_entries", _with_defaults(F.col("_entries"), fields))
         elif op == "default":
             for target, value in fields.items():
                 known = [tree[target]] if target in tree else []
                 tree[target] = F.coalesce(*known, F.lit(value))
         elif op == "remove" and tree is None:
-            entries = _without(entries, fields)
+            df = df.withColumn("_entries", _without(F.col("_entries"), fields))
         elif op == "remove":
             gone = tuple(f"{target}." for target in fields)
             tree = {k: v for k, v in tree.items() if not f"{k}.".startswith(gone)}
         else:
             raise ValueError(f"unknown step: {op}")
-    return df.withColumn(col, F.to_json(entries if tree is None else _nested(tree)))
+    shaped = F.col("_entries") if tree is None else _nested(tree)
+    return df.withColumn(col, F.to_json(shaped)).drop("_doc", "_entries")
 
 
 def _without(entries: Column, fields: Sequence[str]) -> Column:

@@ -85,7 +85,13 @@ def write_files(
     mode: str = "error",
     **options,
 ) -> str:
-    """Write files, in one folder for each value of ``partition_by``; returns the path."""
+    """Write files, in one folder for each value of ``partition_by``; returns the path.
+
+    Rows of one value are brought together first, so that not every task writes to
+    every folder; a value with very many rows is split over several tasks again.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.format(fmt).mode(mode).options(**options)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)

@@ -2,6 +2,7 @@
 
 import json
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -325,3 +326,33 @@ def test_timer_period_is_the_trigger():
     assert trigger("5 min") == {"processingTime": "300000 milliseconds"}
     assert trigger("1.5 sec") == {"processingTime": "1500 milliseconds"}
     assert trigger(None) == trigger("0 0/5 * * * ?") == {"availableNow": True}
+
+
+def test_rows_of_one_folder_come_together_and_a_hot_one_is_split(spark, tmp):
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 4))
+    df = spark.range(0, 200_000, 1, 8).select(key.alias("k"), "id", F.xxhash64("id").alias("x"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "256KB")
+    try:
+        sources.write_files(df, f"{tmp}/by", partition_by=["k"])
+    finally:
+        spark.conf.set(size, before)
+    written = spark.read.parquet(f"{tmp}/by")
+    named = written.select("k", F.input_file_name().alias("file")).distinct()
+    files = {r.k: r["count"] for r in named.groupBy("k").count().collect()}
+    assert written.count() == 200_000
+    assert files["hot"] > 1
+    assert sum(files.values()) < 8 * len(files)
+
+
+def test_rate_source(spark, tmp):
+    rate = sources.read_stream(spark, "rate-micro-batch", rowsPerBatch=7, numPartitions=2)
+    query = sources.write_stream(rate, "parquet", f"{tmp}/p", {"processingTime": "0 seconds"}, path=f"{tmp}/r")
+    while not (query.lastProgress and query.lastProgress.batchId >= 2):
+        assert query.isActive
+        time.sleep(0.2)
+    query.stop()
+    found = spark.read.schema("timestamp timestamp, value bigint").parquet(f"{tmp}/r")
+    values = sorted(r.value for r in found.select("value").collect())
+    assert values and values == list(range(len(values)))

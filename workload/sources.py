@@ -59,9 +59,8 @@ def execute_sql(t):
 @query("put_file", "SELECT event_id, user_id, event_type, value FROM events")
 def put_file(t):
     rows = t.events.select("event_id", "user_id", "event_type", "value")
-    by_type = rows.repartition("event_type", F.pmod(F.xxhash64("event_id"), F.lit(8)))
     path = sources.write_files(
-        by_type,
+        rows,
         scratch_path(t.spark, "events"),
         partition_by=["event_type"],
         max_records_per_file=1_000_000,
