@@ -312,7 +312,7 @@ def test_window_counts_close_with_the_watermark(spark, tmp):
     spark.createDataFrame(
         [("a", 1, "2024-01-01 10:00:00"), ("a", 2, "2024-01-01 11:00:00"), ("b", 4, "2024-01-02 10:00:00")],
         "connection_id string, size_bytes bigint, ts string",
-    ).withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(path)
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(path)
     stream = _stream(spark, path, "connection_id string, size_bytes bigint, ts timestamp_ntz")
     found = _drain(queue_status_stream(stream), tmp, "windows")
     assert rows(found, "connection_id", "queued_count", "queued_bytes") == [("a", 2, 3)]
