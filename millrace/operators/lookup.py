@@ -25,7 +25,9 @@ def lookup_join(
     names = [on] if isinstance(on, str) else list(on)
     pairs = [(name, name) if isinstance(name, str) else name for name in names]
     table_keys = [key for _, key in pairs]
-    found = table.dropna(subset=table_keys).select(
+    for key in table_keys:
+        table = table.where(F.col(key).isNotNull())
+    found = table.select(
         F.struct(*[F.col(key).alias(f"k{i}") for i, key in enumerate(table_keys)]).alias("_key"),
         *[c for c in table.columns if c not in table_keys],
     )

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace import sources
 from millrace.operators import records, routing
+from millrace.streaming import wait_notify_stream
 
 
 @dataclass
@@ -176,12 +177,30 @@ def log_attribute(rows, props, env):
 @_node("Notify")
 def notify(rows, props, env):
     signal = F.expr(props.get("count", "1")).cast("bigint").alias("signal")
-    return {"success": rows.select(props["key"], signal)}
+    time = [props["time"]] if "time" in props else []
+    return {"success": rows.select(props["key"], *time, signal)}
 
 
 @_node("Wait")
 def wait(rows, props, env):
-    """Rows with a ``signal`` come from a Notify node; the others wait."""
+    """Rows with a ``signal`` come from a Notify node; the others wait.
+
+    A stream needs the ``time`` column and a ``timeout`` in seconds.
+    """
+    if env.streaming:
+        outcomes = wait_notify_stream(
+            rows,
+            props["key"],
+            int(props["target"]),
+            int(props["timeout"]),
+            F.col("signal"),
+            props["time"],
+            props.get("watermark", "1 hour"),
+        ).drop("signal")
+        return {
+            name: outcomes.where(F.col("outcome") == name).drop("outcome")
+            for name in ("released", "expired")
+        }
     signals = rows.where(F.col("signal").isNotNull())
     waiting = rows.where(F.col("signal").isNull()).drop("signal")
     return routing.wait_notify(waiting, signals, props["key"], int(props["target"]), "signal")
@@ -215,6 +234,10 @@ def put_file(rows, props, env):
 
 @_node("PutDatabaseRecord")
 def put_database_record(rows, props, env):
+    if env.streaming:
+        if "url" in props:
+            raise ValueError("a stream is written to a catalog table, not to a database")
+        return _start(rows, props.get("format", "parquet"), env, table=props["table"])
     sources.write_records(
         rows,
         props["table"],

@@ -135,9 +135,13 @@ def write_stream(
     trigger: Mapping | None = None,
     mode: str = "append",
     name: str | None = None,
+    table: str | None = None,
     **options,
 ) -> StreamingQuery:
-    """Start a streaming sink. Without a trigger it takes what is there and stops."""
+    """Start a streaming sink. Without a trigger it takes what is there and stops.
+
+    With ``table`` the rows are appended to a catalog table.
+    """
     writer = (
         df.writeStream.format(fmt)
         .outputMode(mode)
@@ -147,4 +151,4 @@ def write_stream(
     )
     if name:
         writer = writer.queryName(name)
-    return writer.start()
+    return writer.toTable(table) if table else writer.start()

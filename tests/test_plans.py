@@ -307,6 +307,38 @@ def test_stream_equals_batch(spark, tmp, folder):
         flow.run_stream(spark, {"route": stream})
 
 
+def test_wait_and_notify_types_in_a_stream(spark, tmp):
+    """Signals and waiting rows meet at one node; the outcome goes to a table."""
+    _put(
+        spark, f"{tmp}/in",
+        (1, "a", "wait", None, "2024-01-01 00:00:00"),
+        (2, "a", "signal", 2, "2024-01-01 00:01:00"),
+        (3, "b", "wait", None, "2024-01-01 00:00:00"),
+        (4, "b", "signal", 1, "2024-01-01 05:00:00"),
+    )
+    flow = (
+        Pipeline.create("x")
+        .add_processor("kinds", "RouteOnAttribute", {"route.wait": "kind = 'wait'"})
+        .add_processor("signal", "Notify", {"key": "k", "count": "n", "time": "ts"})
+        .add_processor("hold", "Wait", {
+            "key": "k", "target": "2", "time": "ts", "timeout": "3600", "watermark": "0 seconds"})
+        .add_processor("out", "PutDatabaseRecord", {"table": "plans_released"})
+        .connect("kinds", "signal", ["unmatched"])
+        .connect("kinds", "hold", ["wait"])
+        .connect("signal", "hold")
+        .connect("hold", "out", ["released"])
+        .build()
+    )
+    stream = _stream(spark, f"{tmp}/in", EVENTS)
+    spark.sql(
+        f"CREATE TABLE plans_released (id int, k string, kind string, n int, ts timestamp) "
+        f"USING parquet LOCATION '{tmp}/table'"
+    )
+    for query in flow.run_stream(spark, {"kinds": stream}, checkpoint=f"{tmp}/progress"):
+        query.awaitTermination()
+    assert rows(spark.table("plans_released"), "id", "k") == [(1, "a")]
+
+
 def test_window_counts_close_with_the_watermark(spark, tmp):
     path = f"{tmp}/queue"
     spark.createDataFrame(
