@@ -12,8 +12,8 @@ from workload.registry import query, text
 @query(
     "override_properties",
     """SELECT p_partkey, p_brand AS brand,
-           CASE WHEN p_partkey % 2 = 0 THEN 'type-' || p_size ELSE p_type END AS type,
-           CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS VARCHAR) END AS size
+           CASE WHEN p_size > 25 THEN 'type-' || p_size ELSE p_type END AS type,
+           CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) END AS size
     FROM part""",
 )
 def override_properties(t):
@@ -23,7 +23,7 @@ def override_properties(t):
             "properties"
         ),
     )
-    overrides = t.part.where("p_partkey % 2 = 0").select(
+    overrides = t.part.where("p_size > 25").select(
         "p_partkey",
         F.create_map(
             F.lit("type"), F.concat(F.lit("type-"), "p_size"), F.lit("size"), text("p_size")
@@ -109,23 +109,23 @@ def bind_context(t):
     f"""WITH {roles.PARAMETERS_SQL},
     sets AS (SELECT p_brand AS context, p_name AS name, arg_max(p_type, p_partkey) AS value,
                     arg_max(p_size, p_partkey) % 2 = 0 AS sensitive
-             FROM part WHERE p_partkey % 2 = 1 GROUP BY p_brand, p_name),
+             FROM part WHERE p_size > 25 GROUP BY p_brand, p_name),
     changed AS (SELECT * FROM sets
       UNION ALL SELECT * FROM params p WHERE NOT EXISTS (
         SELECT 1 FROM sets s WHERE s.context = p.context AND s.name = p.name))
     SELECT * FROM changed c WHERE NOT EXISTS (
-      SELECT 1 FROM part WHERE p_partkey % 6 = 0 AND p_brand = c.context
+      SELECT 1 FROM part WHERE p_size < 3 AND p_brand = c.context
         AND c.name IN (p_name, p_type))""",
 )
 def apply_params(t):
-    sets = t.part.where("p_partkey % 2 = 1").select(
+    sets = t.part.where("p_size > 25").select(
         F.col("p_brand").alias("context"),
         F.col("p_name").alias("name"),
         F.col("p_type").alias("value"),
         (F.col("p_size") % 2 == 0).alias("sensitive"),
         F.col("p_partkey").alias("seq"),
     )
-    removals = t.part.where("p_partkey % 6 = 0").select(
+    removals = t.part.where("p_size < 3").select(
         F.col("p_brand").alias("context"), F.explode(F.array("p_name", "p_type")).alias("name")
     )
     return p.apply_params(roles.parameters(t), sets, removals)
@@ -146,7 +146,7 @@ def apply_params(t):
              c_custkey % 2 = 0 AS sensitive FROM customer WHERE c_acctbal < 0
       UNION ALL SELECT 'c' || c_custkey, 'segment', c_mktsegment, false FROM customer
       UNION ALL SELECT 'n' || n_nationkey, 'level', 'nation', false FROM nation
-        WHERE n_nationkey % 2 = 0
+        WHERE n_regionkey > 1
       UNION ALL SELECT 'r' || r_regionkey, 'level', 'region', false FROM region
       UNION ALL SELECT 'r' || r_regionkey, 'region', r_name, true FROM region)
     SELECT context, name, arg_min(value, depth) AS value, arg_min(sensitive, depth) AS sensitive,
@@ -170,7 +170,7 @@ def inherited_params(t):
         ),
         entries(t.customer, "c", "c_custkey", "segment", F.col("c_mktsegment"), no),
         entries(
-            t.nation.where("n_nationkey % 2 = 0"), "n", "n_nationkey", "level", F.lit("nation"), no
+            t.nation.where("n_regionkey > 1"), "n", "n_nationkey", "level", F.lit("nation"), no
         ),
         entries(t.region, "r", "r_regionkey", "level", F.lit("region"), no),
         entries(t.region, "r", "r_regionkey", "region", F.col("r_name"), F.lit(True)),
