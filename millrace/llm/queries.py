@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, suffix_dedup
+from . import language, minhash, suffix_dedup
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,8 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_language(table(spark, sf_dir, "documents"))
