@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, minhash, suffix_dedup
+from . import language, minhash, quality_model, suffix_dedup
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_language(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
