@@ -1,18 +1,23 @@
 """Near duplicates by MinHash with tensored banding.
 
-A table key is a pair: one entry from a collection of A_TABLES two-value hashes and
-one from a collection of B_TABLES single values. So A_TABLES x B_TABLES tables of
-three values each need only 2 * A_TABLES + B_TABLES minhashes. Two sets of similarity
-t share a key unless no A entry or no B entry agrees: with 12 and 8, at t = 0.75 that
-happens for 7 pairs in 100,000, at t = 0.8 for 7 in a million.
+A table key is a pair: one entry of a small collection of hashes and one of another. A
+has A_TABLES entries of two minhashes, B has B_TABLES of one, so A_TABLES x B_TABLES
+tables of three values each need only 2 * A_TABLES + B_TABLES minhashes. Two sets of
+similarity t share a key unless no A entry or no B entry agrees: with 12 and 8, at
+t = 0.75 that happens for 7 pairs in 100,000, at t = 0.8 for 7 in a million.
 
 1. Texts become sets of shingle hashes; equal sets become one class, named by its
    smallest document. Only classes are compared, so exact copies cost nothing.
 2. A key's classes are not paired with each other but with the key's smallest class;
-   what is linked needs no more. Classes of a key that are still apart are compared
-   with the next few, until nothing is left: no link between keys' members is missed.
-3. A pair counts when the full sets say so.
-4. Links are joined to components by alternating large and small stars.
+   what is linked needs no more.
+3. Keys whose other classes are still in several components: up to SMALL of them are
+   compared directly. For those of larger keys (a line that many short texts share) an
+   exact way follows: a set whose overlap with another must reach 75 % shares one of its
+   rarest quarter of shingles with it, so these are the keys of a second search. What is
+   even then in large keys is compared with CENTRES of the key at a time, until nothing
+   is apart and untested.
+4. A pair counts when the full sets say so. Sizes that rule it out are not compared.
+5. Links are joined to components by alternating large and small stars.
 """
 
 from __future__ import annotations
@@ -33,6 +38,9 @@ WORDS = 5
 PERCENT = 75
 A_TABLES = 12
 B_TABLES = 8
+SMALL = 8
+# Columns of the minhash table that are computed at a time.
+COLUMNS = 4096
 # Centres that a key's members are compared with in each further round.
 CENTRES = 16
 
@@ -50,6 +58,22 @@ def _sets(values: list[bytes], words: int) -> Iterator[np.ndarray]:
             yield np.unique(arrays.shingles(hashes[a:b], words))
 
 
+def _minhashes(s: np.ndarray, factor: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    low = np.full(len(factor), np.uint64(2**64 - 1))
+    for at in range(0, len(s), COLUMNS):
+        low = np.minimum(low, (factor[:, None] * s[at : at + COLUMNS] + shift[:, None]).min(1))
+    return arrays.mix(low)
+
+
+def _folded(x: np.ndarray, size: int) -> list[int]:
+    """One hash for each ``size`` consecutive values."""
+    x = x.reshape(-1, size)
+    out = x[:, 0]
+    for k in range(1, size):
+        out = arrays.mix(out * np.uint64(0xD1342543DE82EF95) + x[:, k])
+    return arrays.signed(np.ascontiguousarray(out)).tolist()
+
+
 def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, d1 and d2 (a 128-bit digest of the set), a and b (the two collections)."""
     n = 2 * A_TABLES + B_TABLES
@@ -62,16 +86,10 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 if not len(s):
                     rows.append((0, 0, 0, [], []))
                     continue
-                low = np.empty(n, np.uint64)
-                for k in range(n):
-                    x = s * factor[k] + shift[k]
-                    low[k] = (x ^ (x >> np.uint64(32))).min()
-                low = arrays.mix(low)
-                pairs = arrays.mix(low[:A_TABLES] * np.uint64(0xD1342543DE82EF95) + low[A_TABLES : 2 * A_TABLES])
-                with np.errstate(over="ignore"):
-                    order = np.arange(1, len(s) + 1, dtype=np.uint64)
-                    digest = np.array([(arrays.mix(s + order)).sum(), (arrays.mix(s ^ (order * factor[0]))).sum()], np.uint64)
-                rows.append((len(s), *arrays.signed(digest).tolist(), arrays.signed(pairs).tolist(), arrays.signed(low[2 * A_TABLES :]).tolist()))
+                a, b = np.split(_minhashes(s, factor, shift), [2 * A_TABLES])
+                order = np.arange(1, len(s) + 1, dtype=np.uint64)
+                digest = np.array([arrays.mix(s + order).sum(), arrays.mix(s ^ (order * factor[0])).sum()], np.uint64)
+                rows.append((len(s), *arrays.signed(digest).tolist(), _folded(a, 2), _folded(b, 1)))
             out = pd.DataFrame(rows, columns=["n_shingles", "d1", "d2", "a", "b"])
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
@@ -83,26 +101,39 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 def _table_keys(classes: DataFrame) -> DataFrame:
     """(key, node): the tensor of both collections."""
-    pair = F.expr(
-        "flatten(transform(a, (x, i) -> transform(b, (y, j) -> xxhash64(i, j, x, y))))"
-    )
+    pair = F.expr("flatten(transform(a, (x, i) -> transform(b, (y, j) -> xxhash64(i, j, x, y))))")
     return classes.select(F.explode(pair).alias("key"), "node")
 
 
-def linked(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """The (x, y) of ``pairs`` whose full sets have at least ``percent`` in common.
-
-    ``docs`` has node and text. Sets are read where y is, then meet x; the join on x is
-    split by Spark where one x has many partners.
-    """
+def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """(node, shingles) of texts (node, text)."""
 
     def with_set(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [arrays.signed(s) for s in _sets([arrays.utf8(t) for t in batch["text"]], words)]
             yield pd.DataFrame({"node": batch["node"].array, "shingles": pd.Series(sets, dtype=object)})
 
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    sets = stored(docs.join(wanted, "node", "left_semi").mapInPandas(with_set, "node long, shingles array<long>"), "shingle-sets")
+    return texts.mapInPandas(with_set, "node long, shingles array<long>")
+
+
+def _rare_keys(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node): of each set the rarest shingles, one of which any set close enough shares."""
+    each = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    often = each.groupBy("key").agg(F.count("*").alias("often")).where("often > 1")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("often", "key"))
+    # Shingles of one set only are the rarest of all and lead to nobody.
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("node"))
+    least = F.ceil(F.col("n") * percent / 100)
+    ranked = each.join(often, "key").select("key", "node", (rank + alone <= F.col("n") - least + 1).alias("wanted"))
+    return ranked.where("wanted").select("key", "node")
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The (x, y) of ``pairs`` whose full sets (node, shingles) have at least ``percent`` in common.
+
+    y's set comes first, then it meets x's; the join on x is split by Spark where one x
+    has many partners.
+    """
     both = F.size(F.array_intersect("s", "t"))
     return (
         pairs.join(sets.select(F.col("node").alias("y"), F.col("shingles").alias("t")), "y")
@@ -113,6 +144,10 @@ def linked(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, words: int
     )
 
 
+def _fingerprint(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): for each node of a link the smallest node that it reaches.
 
@@ -120,6 +155,7 @@ def components(links: DataFrame) -> DataFrame:
     neighbours, then the smaller; rounds grow with the logarithm of the longest path.
     """
     edges = stored(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u != v").distinct(), "links")
+    before = _fingerprint(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -127,21 +163,55 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         met = large.join(low, "u")
         small = met.select(F.col("v").alias("u"), F.col("m").alias("v")).union(met.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        new = stored(small, "links")
-        if not new.exceptAll(edges).limit(1).count() and not edges.exceptAll(new).limit(1).count():
-            return new.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).union(new.select(F.col("v"), F.col("v")).distinct())
-        edges = new
-
-
-def _first_pairs(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of keys with two classes or more, and each with its key's smallest class.
-
-    The aggregate combines where keys are made and the join is split by Spark on a hot
-    key, so a group of any size is dealt to many tasks.
-    """
-    low = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("most")).where("x < most")
-    members = stored(keys.join(low.select("key", "x"), "key"), "key-members")
-    return members, members.where("x < node").select("x", F.col("node").alias("y")).distinct()
+        edges = stored(small, "links")
+        after = _fingerprint(edges)
+        if after == before:
+            return stored(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct()), "roots")
+        before = after
+
+
+class _Search:
+    """Components found so far among classes, and the pairs that are still to be tested."""
+
+    def __init__(self, sizes: DataFrame, sets: DataFrame, percent: int):
+        self.sizes, self.sets, self.percent = sizes, sets, percent
+        self.roots: DataFrame | None = None
+
+    def test(self, pairs: DataFrame) -> None:
+        """Link the (x, y) that are near duplicates."""
+        links = linked(pairs, self.sets, self.percent)
+        if self.roots is None:
+            self.roots = components(links)
+            return
+        # Only the components that a new link joins are named anew.
+        for end in ("x", "y"):
+            root = self.roots.select(F.col("node").alias(end), F.col("root").alias("r"))
+            links = links.join(root, end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+        moved = components(links).select(F.col("node").alias("root"), F.col("root").alias("new"))
+        known = self.roots.join(moved, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+        new = moved.select(F.col("root").alias("node"), F.col("new").alias("root")).join(self.roots, "node", "left_anti")
+        self.roots = stored(known.union(new), "roots")
+
+    def apart(self, members: DataFrame) -> DataFrame:
+        """(key, node, root, n, members): of the keys whose classes are in several components."""
+        rows = members.join(self.roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high")
+        return stored(rows.join(mixed.select("key", "members"), "key").join(self.sizes, "node"), "apart")
+
+    def across(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        """Pairs of one key in different components, left before right, whose sizes allow a link."""
+        left = left.select("key", F.col("node").alias("x"), F.col("root").alias("xr"), F.col("n").alias("xn"))
+        fits = (100 * F.least("xn", "n") >= self.percent * F.greatest("xn", "n")) & (F.col("x") < F.col("node")) & (F.col("xr") != F.col("root"))
+        return right.join(left, "key").where(fits).select("x", F.col("node").alias("y")).distinct()
+
+    def candidates(self, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs to test next, and what is left of keys (key, node): all of a small key, CENTRES of a large one."""
+        apart = self.apart(members)
+        few = F.col("members") <= SMALL
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+        ranked = stored(apart.where(~few).withColumn("rank", rank), "ranked")
+        pairs = self.across(apart.where(few), apart.where(few)).union(self.across(ranked.where(F.col("rank") <= CENTRES), ranked))
+        return pairs, ranked
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -152,40 +222,43 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     with nothing and kept. Rows with a null doc_id are returned with a null component and
     kept. Rows that repeat a doc_id count as one node. Other columns are ignored.
     """
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = stored(signatures(docs, words), "signatures")
     full = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("a").alias("a"), F.first("b").alias("b"))
-    named = classes.select("d1", "d2", "node")
+    classes = stored(
+        full.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), *[F.first(k).alias(k) for k in ("n_shingles", "a", "b")]), "classes"
+    )
+    # The aggregate combines where keys are made and the join is split by Spark on a hot
+    # key, so a group of any size is dealt to many tasks.
+    keys = _table_keys(classes)
+    low = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("most")).where("x < most")
+    members = stored(keys.join(low.select("key", "x"), "key"), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-
-    members, pairs = _first_pairs(_table_keys(classes))
-    links = stored(linked(pairs, texts, percent, words), "verified")
-    roots = stored(components(links), "roots")
-    # What remains of each key: its members without the smallest, while they are apart.
-    rest = members.where("x < node").select("key", "node")
+    sets = stored(shingle_sets(texts.join(members.select("node").distinct(), "node", "left_semi"), words), "sets")
+
+    search = _Search(classes.select("node", F.col("n_shingles").alias("n")), sets, percent)
+    others = members.where("x < node")
+    search.test(others.select("x", F.col("node").alias("y")).distinct())
+    apart = search.apart(others.select("key", "node"))
+    few, crowd = apart.where(F.col("members") <= SMALL), apart.where(F.col("members") > SMALL).select("node").distinct()
+    pairs, ranked = search.candidates(_rare_keys(sets.join(crowd, "node", "left_semi"), percent))
+    pairs = search.across(few, few).union(pairs)
     while True:
-        apart = (
-            rest.join(roots, "node", "left")
-            .select("key", "node", F.coalesce("root", "node").alias("root"))
-        )
-        mixed = apart.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a < z").select("key")
-        rest = stored(apart.join(mixed, "key", "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("node"))), "apart")
+        search.test(pairs.distinct())
+        rest = ranked.where(F.col("rank") > CENTRES).select("key", "node")
         if rest.isEmpty():
             break
-        centre = rest.where(F.col("rank") <= CENTRES).select("key", F.col("node").alias("x"), F.col("root").alias("xr"), F.col("rank").alias("xk"))
-        pairs = rest.join(centre, "key").where("rank > xk and root != xr").select("x", F.col("node").alias("y")).distinct()
-        links = links.union(stored(linked(pairs, texts, percent, words), "verified"))
-        roots = stored(components(links), "roots")
-        rest = rest.where(F.col("rank") > CENTRES).select("key", "node")
+        pairs, ranked = search.candidates(rest)
 
     label = (
-        named.join(roots, "node", "left")
+        classes.select("d1", "d2", "node")
+        .join(search.roots, "node", "left")
         .groupBy("d1", "d2")
         .agg(F.min(F.coalesce("root", "node")).alias("component_id"))
     )
     return (
-        rows.join(label, ["d1", "d2"], "left")
+        rows.select("doc_id", "n_shingles", "d1", "d2")
+        .join(label, ["d1", "d2"], "left")
         .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
         .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
