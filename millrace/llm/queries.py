@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, minhash, quality_model, suffix_dedup
+from . import language, minhash, quality_model, suffix_dedup, toxicity
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
