@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, minhash, quality_model, suffix_dedup, toxicity
+from . import language, minhash, quality_model, quality_rules, suffix_dedup, toxicity
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,15 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents")).select(*kept)
+
+
+ORACLE["op1_quality_rules"] = quality_rules.oracle()
+
+
 @query
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
