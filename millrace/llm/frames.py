@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_path, shared_dir
 
+from . import arrays
+
 # Rows that go to Python at a time; the operators then work on a few MB at a time.
 ARROW_ROWS = 500
 
@@ -32,3 +39,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; null for a null id."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, d (crc32 of the text), body (the text as compressed UTF-8, to move it with less disk)."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tool = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            values = [arrays.utf8(t) for t in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].array, "d": [zlib.crc32(v) for v in values], "body": [tool.compress(v) for v in values]})
+
+    return docs.mapInPandas(pack, "doc_id long, d long, body binary")
+
+
+def unpacked(bodies: Iterable[bytes]) -> Iterator[bytes]:
+    tool = zstandard.ZstdDecompressor()
+    return map(tool.decompress, bodies)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, minhash, quality_model, quality_rules, suffix_dedup, toxicity
+from . import decontaminate, language, minhash, quality_model, quality_rules, sentence_dedup, suffix_dedup, toxicity
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_dedup.remove_repeated_sentences(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -27,13 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import arrays
-from .frames import prepare, stored
+from .frames import packed, prepare, stored, unpacked
 
 LENGTH = 100
 GRAM = 32
@@ -196,27 +195,13 @@ def repeats(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     return _merged(rows["doc_id"].to_numpy()[which], rows["d"].to_numpy()[which], start, start + length)
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """doc_id, d, body: the text as compressed UTF-8, to move it with less disk."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tool = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            values = [arrays.utf8(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].array, "d": [zlib.crc32(v) for v in values], "body": [tool.compress(v) for v in values]})
-
-    return docs.mapInPandas(pack, "doc_id long, d long, body binary")
-
-
 def _stretches(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The text of the wanted runs: h, doc_id, d, start, n, body."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tool = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            for doc_id, d, body, asked in zip(batch["doc_id"], batch["d"], batch["body"], batch["asked"], strict=True):
-                text = tool.decompress(body)
+            for doc_id, d, text, asked in zip(batch["doc_id"], batch["d"], unpacked(batch["body"]), batch["asked"], strict=True):
                 for x in asked:
                     n = x["end"] >> 8
                     out.append((x["h"], doc_id, d, x["start"], n, text[x["start"] : x["start"] + n - 1 + length]))
@@ -224,7 +209,7 @@ def _stretches(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     # At most one entry for 35 bytes or so of one document.
     by_doc = wanted.groupBy("doc_id", "d").agg(F.collect_list(F.struct("h", "start", "end")).alias("asked"))
-    return _packed(docs).join(by_doc, ["doc_id", "d"]).mapInPandas(cut, "h long, doc_id long, d long, start long, n long, body binary")
+    return packed(docs).join(by_doc, ["doc_id", "d"]).mapInPandas(cut, "h long, doc_id long, d long, start long, n long, body binary")
 
 
 def _sorted_repeats(stretches: DataFrame, length: int) -> DataFrame:
@@ -289,11 +274,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     named = docs.where("doc_id is not null")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tool = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            for body, ranges in zip(batch["body"], batch["ranges"], strict=True):
-                text, kept, at, spans = tool.decompress(body), [], 0, 0
+            for text, ranges in zip(unpacked(batch["body"]), batch["ranges"], strict=True):
+                kept, at, spans = [], 0, 0
                 reach = -1
                 for x in sorted((x["start"], x["end"]) for x in ranges) if ranges is not None else ():
                     if x[0] > reach:
@@ -312,7 +296,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # One document's ranges; a run for 35 bytes or so at most.
     ranges = removed_ranges(named, length).groupBy("doc_id", "d").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     return (
-        _packed(docs)
+        packed(docs)
         .join(ranges, ["doc_id", "d"], "left")
         .select("doc_id", "body", "ranges")
         .mapInPandas(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
