@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, quality_model, quality_rules, sentence_dedup, suffix_dedup, toxicity
+from . import decontaminate, language, minhash, pii, quality_model, quality_rules, sentence_dedup, suffix_dedup, toxicity
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op8_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
