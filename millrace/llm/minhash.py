@@ -10,12 +10,12 @@ t = 0.75 that happens for 7 pairs in 100,000, at t = 0.8 for 7 in a million.
    smallest document. Only classes are compared, so exact copies cost nothing.
 2. A key's classes are not paired with each other but with the key's smallest class;
    what is linked needs no more.
-3. Keys whose other classes are still in several components: up to SMALL of them are
-   compared directly. For those of larger keys (a line that many short texts share) an
-   exact way follows: a set whose overlap with another must reach 75 % shares one of its
-   rarest quarter of shingles with it, so these are the keys of a second search. What is
-   even then in large keys is compared with CENTRES of the key at a time, until nothing
-   is apart and untested.
+3. Classes of keys that are still in several components need more: any two of a key may
+   be linked. An exact filter narrows them down: a set whose overlap with another must
+   reach 75 % shares one of its rarest quarter of shingles with it. Classes that share such
+   shingles form families, and a family is compared inside a task over an inverted index:
+   only links that join components leave it. Families above BLOCK_SHINGLES are dealt in
+   blocks, each pair of blocks to a task, so no task grows with a family.
 4. A pair counts when the full sets say so. Sizes that rule it out are not compared.
 5. Links are joined to components by alternating large and small stars.
 """
@@ -26,9 +26,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import arrays
@@ -38,11 +37,10 @@ WORDS = 5
 PERCENT = 75
 A_TABLES = 12
 B_TABLES = 8
-SMALL = 8
 # Columns of the minhash table that are computed at a time.
 COLUMNS = 4096
-# Centres that a key's members are compared with in each further round.
-CENTRES = 16
+# Shingles of a block of a family; a task holds two blocks.
+BLOCK_SHINGLES = 2_000_000
 
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,8 +142,11 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
     )
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _with_fingerprint(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+    """``edges`` stored, and their number and sum of hashes, from the same job."""
+    seen = Observation()
+    kept = stored(edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), name)
+    return kept, tuple(seen.get.values())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -154,8 +155,7 @@ def components(links: DataFrame) -> DataFrame:
     Each round hangs every neighbourhood below its smallest node, first the larger
     neighbours, then the smaller; rounds grow with the logarithm of the longest path.
     """
-    edges = stored(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u != v").distinct(), "links")
-    before = _fingerprint(edges)
+    edges, before = _with_fingerprint(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u != v").distinct(), "links")
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -163,23 +163,21 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         met = large.join(low, "u")
         small = met.select(F.col("v").alias("u"), F.col("m").alias("v")).union(met.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        edges = stored(small, "links")
-        after = _fingerprint(edges)
+        edges, after = _with_fingerprint(small, "links")
         if after == before:
             return stored(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct()), "roots")
         before = after
 
 
 class _Search:
-    """Components found so far among classes, and the pairs that are still to be tested."""
+    """Components found so far among classes, and the keys whose classes are still apart."""
 
-    def __init__(self, sizes: DataFrame, sets: DataFrame, percent: int):
-        self.sizes, self.sets, self.percent = sizes, sets, percent
+    def __init__(self, sizes: DataFrame, sets: DataFrame):
+        self.sizes, self.sets = sizes, sets
         self.roots: DataFrame | None = None
 
-    def test(self, pairs: DataFrame) -> None:
-        """Link the (x, y) that are near duplicates."""
-        links = linked(pairs, self.sets, self.percent)
+    def add(self, links: DataFrame) -> None:
+        """Join the components of the verified (x, y)."""
         if self.roots is None:
             self.roots = components(links)
             return
@@ -193,25 +191,85 @@ class _Search:
         self.roots = stored(known.union(new), "roots")
 
     def apart(self, members: DataFrame) -> DataFrame:
-        """(key, node, root, n, members): of the keys whose classes are in several components."""
+        """(key, node, low): of the keys whose classes are in several components; low is the smallest class."""
         rows = members.join(self.roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high")
-        return stored(rows.join(mixed.select("key", "members"), "key").join(self.sizes, "node"), "apart")
-
-    def across(self, left: DataFrame, right: DataFrame) -> DataFrame:
-        """Pairs of one key in different components, left before right, whose sizes allow a link."""
-        left = left.select("key", F.col("node").alias("x"), F.col("root").alias("xr"), F.col("n").alias("xn"))
-        fits = (100 * F.least("xn", "n") >= self.percent * F.greatest("xn", "n")) & (F.col("x") < F.col("node")) & (F.col("xr") != F.col("root"))
-        return right.join(left, "key").where(fits).select("x", F.col("node").alias("y")).distinct()
-
-    def candidates(self, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Pairs to test next, and what is left of keys (key, node): all of a small key, CENTRES of a large one."""
-        apart = self.apart(members)
-        few = F.col("members") <= SMALL
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        ranked = stored(apart.where(~few).withColumn("rank", rank), "ranked")
-        pairs = self.across(apart.where(few), apart.where(few)).union(self.across(ranked.where(F.col("rank") <= CENTRES), ranked))
-        return pairs, ranked
+        mixed = (
+            rows.groupBy("key")
+            .agg(F.min("root").alias("a"), F.max("root").alias("z"), F.min("node").alias("low"))
+            .where("a < z")
+            .select("key", "low")
+        )
+        return rows.join(mixed, "key").select("key", "node", "low")
+
+    def families(self, members: DataFrame) -> DataFrame:
+        """(group, side, node, root, shingles): the classes that share keys, by pairs of blocks."""
+        edges = self.apart(members).select(F.col("node").alias("y"), F.col("low").alias("x")).distinct()
+        family = components(edges).select("node", F.col("root").alias("family"))
+        named = family.join(self.sizes, "node").join(self.roots, "node", "left").select("family", "node", "n", F.coalesce("root", "node").alias("root"))
+        blocks = named.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+        placed = named.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        low, high = F.least("block", "other"), F.greatest("block", "other")
+        return dealt.select(
+            F.xxhash64("family", low, high).alias("group"), (F.col("block") != low).alias("side"), (low != high).alias("two"), "node", "root"
+        ).join(self.sets, "node")
+
+
+def _family_links(groups: DataFrame, percent: int) -> DataFrame:
+    """(x, y): links in each pair of blocks that join components."""
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = []
+        for batch in batches:
+            group = batch["group"].to_numpy()
+            cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1), len(group)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and b > a and held[-1]["group"].iloc[0] != group[a]:
+                    yield _links_within(pd.concat(held), percent)
+                    held = []
+                held.append(batch[a:b])
+        if held:
+            yield _links_within(pd.concat(held), percent)
+
+    return groups.repartition("group").sortWithinPartitions("group").mapInPandas(find, "x long, y long")
+
+
+def _links_within(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """The links of one group that a spanning forest needs, from overlaps by inverted index."""
+    node, two = rows["node"].to_numpy(), bool(rows["two"].iloc[0]) if len(rows) else False
+    side = rows["side"].to_numpy()
+    sizes = np.fromiter(map(len, rows["shingles"]), np.int64, len(rows))
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    every = np.concatenate(list(rows["shingles"])) if len(rows) else np.zeros(0, np.int64)
+    _, number = np.unique(every, return_inverse=True)
+    by_shingle = np.argsort(number, kind="stable")
+    begin = np.concatenate([[0], np.cumsum(np.bincount(number))])
+    postings = owner[by_shingle]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    _, first, root = np.unique(rows["root"].to_numpy(), return_index=True, return_inverse=True)
+    parent = list(range(len(first)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for i in range(len(rows)):
+        if two and side[i]:
+            continue
+        own = number[ends[i] : ends[i + 1]]
+        length = begin[own + 1] - begin[own]
+        places = np.repeat(begin[own] - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
+        both = np.bincount(postings[places], minlength=len(rows))
+        close = 100 * both >= percent * (sizes + sizes[i] - both)
+        for j in np.flatnonzero(close & (side if two else np.arange(len(rows)) > i)).tolist():
+            a, b = find(root[i]), find(root[j])
+            if a != b:
+                parent[a] = b
+                out.append((node[i], node[j]))
+    return pd.DataFrame(out, columns=["x", "y"], dtype=np.int64)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -236,19 +294,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     sets = stored(shingle_sets(texts.join(members.select("node").distinct(), "node", "left_semi"), words), "sets")
 
-    search = _Search(classes.select("node", F.col("n_shingles").alias("n")), sets, percent)
+    search = _Search(classes.select("node", F.col("n_shingles").alias("n")), sets)
     others = members.where("x < node")
-    search.test(others.select("x", F.col("node").alias("y")).distinct())
-    apart = search.apart(others.select("key", "node"))
-    few, crowd = apart.where(F.col("members") <= SMALL), apart.where(F.col("members") > SMALL).select("node").distinct()
-    pairs, ranked = search.candidates(_rare_keys(sets.join(crowd, "node", "left_semi"), percent))
-    pairs = search.across(few, few).union(pairs)
-    while True:
-        search.test(pairs.distinct())
-        rest = ranked.where(F.col("rank") > CENTRES).select("key", "node")
-        if rest.isEmpty():
-            break
-        pairs, ranked = search.candidates(rest)
+    search.add(linked(others.select("x", F.col("node").alias("y")).distinct(), sets, percent))
+    crowd = search.apart(others.select("key", "node")).select("node").distinct()
+    rare = stored(_rare_keys(sets.join(crowd, "node", "left_semi"), percent), "rare-shingles")
+    search.add(_family_links(search.families(rare), percent))
 
     label = (
         classes.select("d1", "d2", "node")
