@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -268,19 +269,28 @@ def redacted(text: str, spans: list[Span]) -> str:
     return "".join([*parts, text[at:]])
 
 
-def find_personal_data(docs: DataFrame, redact: bool = False) -> DataFrame:
+def _find(text: str | None, field: Field) -> tuple[list[Span], list[Span]]:
+    """The base spans, and all spans."""
+    base = base_spans(text) if isinstance(text, str) else []
+    return base, base + (added_spans(text, base, field) if isinstance(text, str) else [])
+
+
+def _shared(docs: DataFrame):
+    """The fitted field for all tasks: DIM weights for each kind, whatever the number of documents."""
+    field = _train(docs)
+    return docs.sparkSession.sparkContext.broadcast((field.unary.astype(np.float32), field.chain, field.skip))
+
+
+def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for each row of ``docs`` (doc_id, text).
 
     The counts and base_sha256 are of the patterns' matches, spans of all: kind:start:end in
-    code points, by kind, then start. With ``redact`` also the text with each span replaced
-    by its kind. A null text counts as empty and stays null when redacted. Null ids and
-    repeated rows are treated like any other; other columns are not read.
+    code points, by kind, then start. A null text counts as empty. Null ids and repeated
+    rows are treated like any other; other columns are not read.
     """
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    field = _train(docs)
-    # DIM weights for each kind; of the same size for any number of documents.
-    model = spark.sparkContext.broadcast((field.unary.astype(np.float32), field.chain, field.skip))
+    model = _shared(docs)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         field = Field(*model.value)
@@ -288,14 +298,27 @@ def find_personal_data(docs: DataFrame, redact: bool = False) -> DataFrame:
         for batch in batches:
             out = []
             for text in batch["text"]:
-                base = base_spans(text) if isinstance(text, str) else []
-                spans = base + (added_spans(text, base, field) if isinstance(text, str) else [])
+                base, spans = _find(text, field)
                 counts = [sum(s[0] == k for s in base) for k in KINDS[:4]]
-                digest = hashlib.sha256(_written(base).encode()).hexdigest() if base else nothing
-                out.append((*counts, digest, _written(spans), redacted(text, spans) if redact and isinstance(text, str) else text))
-            result = pd.DataFrame(out, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "text"])
+                out.append((*counts, hashlib.sha256(_written(base).encode()).hexdigest() if base else nothing, _written(spans)))
+            result = pd.DataFrame(out, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
             result.insert(0, "doc_id", batch["doc_id"].array)
-            yield result if redact else result.drop(columns="text")
+            yield result
+
+    return docs.mapInPandas(find, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """``docs``, all columns and rows, with each span of the text replaced by its kind; a null text stays null."""
+    prepare(docs.sparkSession)
+    model = _shared(docs)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        field = Field(*model.value)
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            texts = [t if t is None else redacted(t, _find(t, field)[1]) for t in batch.column(at).to_pylist()]
+            columns = [pa.array(texts, batch.schema.field(at).type) if k == at else batch.column(k) for k in range(batch.num_columns)]
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
-    return docs.mapInPandas(find, schema + ", text string" * redact)
+    return docs.mapInArrow(write, docs.schema)

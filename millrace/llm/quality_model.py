@@ -145,13 +145,14 @@ def fit(x: np.ndarray, y: np.ndarray) -> tuple[float, list[tuple[float, Rule]]]:
     return bias, [(float(w), r) for w, r in zip(weights, rules, strict=True) if abs(w) > 1e-6]
 
 
-def compiled(bias: float, rules: list[tuple[float, Rule]]) -> Column:
-    """The score as one expression over the statistics' columns."""
+def compiled(bias: float, rules: list[tuple[float, Rule]], prefix: str = "") -> Column:
+    """The score as one expression over the statistics' columns, whose names begin with ``prefix``."""
     total = F.lit(bias)
     for weight, rule in rules:
         holds = F.lit(True)
         for k, at_most, at in rule:
-            holds = holds & ((F.col(NAMES[k]) <= at) if at_most else (F.col(NAMES[k]) > at))
+            value = F.col(prefix + NAMES[k])
+            holds = holds & ((value <= at) if at_most else (value > at))
         total = total + F.when(holds, F.lit(weight)).otherwise(0.0)
     return 1 / (1 + F.exp(-total))
 
@@ -173,6 +174,18 @@ def train(stats: DataFrame, labels: DataFrame, name: str = "quality") -> tuple[f
     return fit(data[:, 1:], data[:, 0])
 
 
+def _stored_statistics(docs: DataFrame) -> DataFrame:
+    prepare(docs.sparkSession)
+    return stored(docs.select(F.col("doc_id").cast("long"), *[c.alias(k) for k, c in statistics(F.col("text")).items()]), "statistics")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that are predicted to be good; read in place, without a shuffle."""
+    score = compiled(*train(_stored_statistics(docs), labels), prefix="__statistics.")
+    measured = docs.withColumn("__statistics", F.struct(*[c.alias(k) for k, c in statistics(docs["text"]).items()]))
+    return measured.where(score >= THRESHOLD).select(*[docs[f"`{c}`"] for c in docs.columns])
+
+
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted and the statistics for each row of ``docs`` (doc_id, text).
 
@@ -180,9 +193,7 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     A null doc_id is held out. Without labels of both kinds every row gets the same
     score. Repeated rows are scored alike. Other columns are not read.
     """
-    prepare(docs.sparkSession)
-    stats = statistics(F.col("text"))
-    stats = stored(docs.select(F.col("doc_id").cast("long"), *[c.alias(k) for k, c in stats.items()]), "statistics")
+    stats = _stored_statistics(docs)
     score = compiled(*train(stats, labels))
     return (
         stats.withColumn("score", score)

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, pii, quality_model, quality_rules, sentence_dedup, suffix_dedup, toxicity
+from . import decontaminate, language, minhash, packing, pii, quality_model, quality_rules, sentence_dedup, suffix_dedup, toxicity
 from .frames import table
 
+# Files of the public tokenizer; every executor has them in the same place.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -65,3 +70,8 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op6_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, RANKS)
