@@ -33,7 +33,7 @@ EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 6
 # Bins with less are packed again together with those of other shards.
-WELL_FILLED = 0.97
+WELL_FILLED = 0.99
 LEVELS = 12
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -193,16 +193,16 @@ def _bred(rows: DataFrame, length: int) -> DataFrame:
     homes = rows.select("shard", *_ORDER).withColumn("island", F.explode(F.array(*map(F.lit, range(ISLANDS)))))
     for epoch in range(EPOCHS):
 
-        def bred(key, shard: pd.DataFrame, elite: pd.DataFrame, epoch: int = epoch) -> pd.DataFrame:
+        def bred(key: tuple, shard: pd.DataFrame, elite: pd.DataFrame, epoch: int = epoch) -> pd.DataFrame:
             sizes = _shard(shard)["length"].to_numpy()
             known = [np.array(b) for b in elite.sort_values(["n_bins", "rank"])["bins"]] if len(elite) else []
             best = evolve(sizes, known, length, hash((*map(int, key), epoch)))
             return pd.DataFrame({"shard": key[0], "island": key[1], "rank": range(len(best)), "n_bins": [int(b.max()) + 1 for b in best], "bins": [b.astype(np.int32) for b in best]})
 
-        def first(key, shard: pd.DataFrame) -> pd.DataFrame:
+        def first(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
             return bred(key, shard, pd.DataFrame())  # noqa: B023
 
-        def later(key, shard: pd.DataFrame, elite: pd.DataFrame) -> pd.DataFrame:
+        def later(key: tuple, shard: pd.DataFrame, elite: pd.DataFrame) -> pd.DataFrame:
             return bred(key, shard, elite)  # noqa: B023
 
         if state is None:
@@ -217,7 +217,7 @@ def _bred(rows: DataFrame, length: int) -> DataFrame:
 def _placed(rows: DataFrame, solutions: DataFrame, level: int, length: int) -> DataFrame:
     """The pieces with sequence_id, offset and the filling of their sequence."""
 
-    def place(key, shard: pd.DataFrame, solution: pd.DataFrame) -> pd.DataFrame:
+    def place(key: tuple, shard: pd.DataFrame, solution: pd.DataFrame) -> pd.DataFrame:
         shard = _shard(shard)
         if len(shard):
             bins = np.array(solution["bins"].iloc[0], np.int64)
