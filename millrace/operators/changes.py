@@ -42,12 +42,13 @@ def apply_changes(
     ``current`` has ``key``, ``version`` and fields; ``changes`` has ``key``,
     ``seq`` (unique within a key), ``op``, ``sent_version`` and fields. Of the
     changes to one key the first by ``seq`` is tried: a create needs the key to
-    be free, an update or delete the version that was sent. The others conflict.
-    Returns the new table and the conflicting changes.
+    be free, an update or delete the version that was sent. The others conflict,
+    as do changes without a key, which name nothing. Returns the new table and the conflicting changes.
     """
     fields = [c for c in current.columns if c not in (key, "version")]
     first = (
-        changes.groupBy(key)
+        changes.where(F.col(key).isNotNull())
+        .groupBy(key)
         .agg(F.min_by(F.struct("seq", "op", "sent_version", *fields), "seq").alias("change"))
     )
     now = current.select(key, F.struct("version", *fields).alias("now"))

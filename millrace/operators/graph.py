@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from millrace.operators.ordered import next_rows
 from millrace.session import cut_lineage, fits_broadcast
 
+# Rounds of a roll-up after which a cycle is looked for.
+SUSPICIOUS_ROUNDS = 32
+
 
 def _levels(
     edges: DataFrame, start: DataFrame, max_depth: int | None, **carried: Column
@@ -97,30 +100,41 @@ def subtree(groups: DataFrame, root: str, max_depth: int | None = None) -> DataF
     ).select(*groups.columns, "depth")
 
 
-def rollup(
-    groups: DataFrame, measures: DataFrame, cols: Sequence[str], max_depth: int = 100
-) -> DataFrame:
+def _check_acyclic(groups: DataFrame) -> None:
+    """Groups that no root leads to are in a cycle or below one."""
+    known = groups.select(F.col("group_id").alias("parent_id"))
+    roots = groups.join(known, "parent_id", "left_anti").select(F.col("group_id").alias("root"))
+    tops = roots.select(F.lit(0).alias("seed"), F.col("root").alias("node"), F.lit(0).alias("depth"))
+    edges = groups.select(F.col("parent_id").alias("src"), F.col("group_id").alias("dst"))
+    reached = _levels(edges, tops, None).select("node").distinct()
+    if groups.join(reached, groups["group_id"] == reached["node"], "left_anti").limit(1).count():
+        raise ValueError("groups are nested in a cycle")
+
+
+def rollup(groups: DataFrame, measures: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Sums of ``cols`` for each group over itself and all nested groups.
 
     Measures move up one level in each round and are added up before they move
-    on, so no (ancestor, descendant) pair is ever written.
+    on, so no (ancestor, descendant) pair is ever written. Any depth is followed; groups
+    nested in a cycle are refused, which is looked into once after many rounds.
     """
     parents = groups.select("group_id", "parent_id")
     sums = [F.sum(c).alias(c) for c in cols]
     level, rows, _ = cut_lineage(measures.groupBy("group_id").agg(*sums))
     levels = level
-    for _ in range(max_depth):
+    rounds = 0
+    while rows:
+        rounds += 1
+        if rounds == SUSPICIOUS_ROUNDS:
+            _check_acyclic(groups)
         moved = (
             level.join(parents.where(F.col("parent_id").isNotNull()), "group_id")
             .groupBy(F.col("parent_id").alias("group_id"))
             .agg(*sums)
         )
         level, rows, _ = cut_lineage(moved)
-        if not rows:
-            break
-        levels = levels.unionByName(level)
-    else:
-        raise ValueError(f"groups are nested deeper than {max_depth} or in a cycle")
+        if rows:
+            levels = levels.unionByName(level)
     totals = levels.groupBy("group_id").agg(*sums)
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in cols]
     return groups.select("group_id").join(totals, "group_id", "left").select("group_id", *zero)
@@ -134,7 +148,8 @@ def flowfile_lineage(
     The FlowFile is looked up in a scalar subquery, whose result is pushed to the
     scan. Events are ordered by (ts, event_id).
     """
-    of_event = events.where(F.col("event_id") == event_id).select("flowfile_uuid").limit(1)
+    # Of an event id that occurs more than once the largest FlowFile, whatever is read first.
+    of_event = events.where(F.col("event_id") == event_id).agg(F.max("flowfile_uuid"))
     nodes = events.where(F.col("flowfile_uuid") == of_event.scalar())
     edges = (
         next_rows(

@@ -9,7 +9,6 @@ from millrace.functions import merge_maps
 from millrace.functions.maps import STRING_MAP
 from millrace.operators.graph import ranked_closure
 from millrace.operators.lookup import lookup_join
-from millrace.session import BROADCAST_ROWS, is_small
 
 # How a text refers to a parameter.
 REFERENCE = r"#\{([^}]+)\}"
@@ -52,46 +51,14 @@ def _rebuild(col: str, value_of) -> Column:
     return F.array_join(F.zip_with(literals, names, piece), "")
 
 
-def substitute(
-    df: DataFrame,
-    col: str,
-    params: DataFrame,
-    context: str,
-    max_broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def substitute(df: DataFrame, col: str, params: DataFrame, context: str) -> DataFrame:
     """Replace ``#{name}`` in ``col`` by the parameters of the context the row names.
 
-    Unknown names stay in the text and are listed in ``unresolved``. Parameters
-    are unique by (context, name). They are broadcast as one map for each
-    context only while the counted table is small; beyond that the references
-    are joined on (context, name).
-    """
-    if is_small(params, max_broadcast_rows):
-        return _substitute_broadcast(df, col, params, context)
-    return _substitute_joined(df, col, params, context)
-
-
-def _substitute_broadcast(df: DataFrame, col: str, params: DataFrame, context: str) -> DataFrame:
-    maps = params.groupBy(F.col("context").alias("_context")).agg(
-        F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("_values")
-    )
-    names = F.regexp_extract_all(col, F.lit(REFERENCE), 1)
-    known = F.coalesce("_values", F.create_map().cast(STRING_MAP))
-    joined = df.join(F.broadcast(maps), df[context] == maps["_context"], "left").withColumn(
-        "_values", known
-    )
-    return joined.withColumn(
-        "unresolved", F.filter(names, lambda name: ~F.map_contains_key("_values", name))
-    ).withColumn(
-        col, _rebuild(col, lambda name: F.try_element_at("_values", name))
-    ).drop("_context", "_values")
-
-
-def _substitute_joined(df: DataFrame, col: str, params: DataFrame, context: str) -> DataFrame:
-    """References become rows, meet their values on (context, name) and return to their text.
-
-    Texts without a reference take no part in the shuffles. A text is found again
-    by its content and context, so equal texts are looked up once.
+    Unknown names stay in the text and are listed in ``unresolved``. Of a parameter that
+    is given more than once in a context the smallest value holds; one without a name or
+    a context is never referred to. References become rows, meet their values on
+    (context, name) and return to their text; texts without one take no part in that. A
+    text is found again by its content and context, so equal texts are looked up once.
     """
     names = F.regexp_extract_all(col, F.lit(REFERENCE), 1)
     texts = (
@@ -102,9 +69,8 @@ def _substitute_joined(df: DataFrame, col: str, params: DataFrame, context: str)
     wanted = texts.select(
         "_context", "_text", F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(REFERENCE), 1))).alias("_name")
     )
-    values = params.select(
-        F.col("context").alias("_context"), F.col("name").alias("_name"),
-        F.struct("value").alias("_value"),
+    values = params.groupBy(F.col("context").alias("_context"), F.col("name").alias("_name")).agg(
+        F.min(F.struct("value")).alias("_value")
     )
     # One text names finitely many parameters, so this list is bounded by the text.
     found = wanted.join(values, ["_context", "_name"]).groupBy("_context", "_text").agg(
@@ -144,13 +110,12 @@ def apply_params(params: DataFrame, sets: DataFrame, removals: DataFrame) -> Dat
     return latest.join(removed, key, "left_anti").select(*params.columns)
 
 
-def inherited_params(
-    params: DataFrame, inherits: DataFrame, max_depth: int = 100
-) -> DataFrame:
+def inherited_params(params: DataFrame, inherits: DataFrame) -> DataFrame:
     """The parameters each context sees: its own and those of the contexts it inherits from.
 
     ``inherits`` has (child, parent, rank). The nearest level wins, then the
-    lowest rank on the way there.
+    lowest rank on the way there. Chains of any length are followed; a cycle ends
+    where a context would meet itself.
     """
     contexts = params.select("context").union(inherits.select("child")).union(
         inherits.select("parent")
@@ -158,7 +123,6 @@ def inherited_params(
     reach = ranked_closure(
         inherits.select(F.col("child").alias("src"), F.col("parent").alias("dst"), "rank"),
         contexts.select(F.col("context").alias("seed")),
-        max_depth,
     )
     entry = F.struct("value", "sensitive", F.col("node").alias("origin"), "depth")
     return (

@@ -69,15 +69,18 @@ def replace_text(df: DataFrame, col: str, pattern: str, replacement: str) -> Dat
     return df.withColumn(col, F.regexp_replace(col, pattern, replacement))
 
 
-def restructure_json(df: DataFrame, col: str, spec: Sequence[Mapping]) -> DataFrame:
-    """Reshape JSON text by a list of steps, compiled once to column expressions.
+def restructure_json(df: DataFrame, col: str, spec: Sequence[Mapping]) -> dict[str, DataFrame]:
+    """Reshape JSON text by a list of steps, as ``success``; ``failure`` has what is no object, as it was.
 
     ``{"op": "shift", "fields": {from: to}}`` keeps only the named fields and
     moves them; ``{"op": "default", "fields": {to: value}}`` fills what is
     missing; ``{"op": "remove", "fields": [to]}`` takes out. Paths are dotted; a
     source path may end in ``:type`` to cast, such as ``a.b:int``, and is text
     otherwise. Without a shift the other fields stay and paths are top-level.
+    The steps are compiled once to column expressions.
     """
+    if not spec:
+        raise ValueError("there are no steps")
     # Columns of their own, so that each text is parsed once for all its fields.
     df = df.withColumn("_doc", F.try_parse_json(col))
     tree: dict[str, Column] | None = None
@@ -104,7 +107,11 @@ def restructure_json(df: DataFrame, col: str, spec: Sequence[Mapping]) -> DataFr
         else:
             raise ValueError(f"unknown step: {op}")
     shaped = F.col("_entries") if tree is None else _nested(tree)
-    return df.withColumn(col, F.to_json(shaped)).drop("_doc", "_entries")
+    is_object = F.coalesce(F.schema_of_variant("_doc").startswith("OBJECT"), F.lit(False))
+    return {
+        "success": df.where(is_object).withColumn(col, F.to_json(shaped)).drop("_doc", "_entries"),
+        "failure": df.where(~is_object).drop("_doc", "_entries"),
+    }
 
 
 def _without(entries: Column, fields: Sequence[str]) -> Column:

@@ -73,15 +73,11 @@ def _list(text: str | None) -> list[str]:
 @_node("GetFile")
 def get_file(rows, props, env):
     read = sources.read_stream if env.streaming else sources.read_files
-    options = prefixed(props, "option")
+    options, fmt = prefixed(props, "option"), props.get("format", "parquet")
     if env.streaming:
         options["path"] = props["path"]
-        return {"success": read(env.spark, props["format"], props.get("schema"), **options)}
-    return {
-        "success": read(
-            env.spark, props["path"], props.get("format", "parquet"), props.get("schema"), **options
-        )
-    }
+        return {"success": read(env.spark, fmt, props.get("schema"), **options)}
+    return {"success": read(env.spark, props["path"], fmt, props.get("schema"), **options)}
 
 
 @_node("GenerateFlowFile")
@@ -91,14 +87,18 @@ def generate_flowfile(rows, props, env):
 
 @_node("ExecuteSQL")
 def execute_sql(rows, props, env):
+    _batch_only(env, "ExecuteSQL")
     options = prefixed(props, "option")
     return {"success": sources.read_sql(env.spark, props["query"], props.get("url"), **options)}
 
 
 @_node("ConsumeKafka")
 def consume_topic(rows, props, env):
-    options = prefixed(props, "option")
-    return {"success": sources.read_stream(env.spark, props.get("format", "kafka"), **options)}
+    options, fmt = prefixed(props, "option"), props.get("format", "kafka")
+    if env.streaming:
+        return {"success": sources.read_stream(env.spark, fmt, props.get("schema"), **options)}
+    reader = env.spark.read.format(fmt).options(**options)
+    return {"success": (reader.schema(props["schema"]) if props.get("schema") else reader).load()}
 
 
 @_node("ConvertRecord")
@@ -124,7 +124,7 @@ def update_attribute(rows, props, env):
 @_node("JoltTransformJSON")
 def transform_json(rows, props, env):
     spec = json.loads(props["spec"])
-    return {"success": records.restructure_json(rows, props["column"], spec)}
+    return records.restructure_json(rows, props["column"], spec)
 
 
 @_node("ReplaceText")
@@ -206,6 +206,11 @@ def wait(rows, props, env):
     return routing.wait_notify(waiting, signals, props["key"], int(props["target"]), "signal")
 
 
+def _batch_only(env, kind):
+    if env.streaming:
+        raise ValueError(f"{kind} reads or writes a table once; it has no streaming form")
+
+
 def _start(rows, fmt, env, **options):
     env.started.append(
         sources.write_stream(
@@ -219,7 +224,11 @@ def _start(rows, fmt, env, **options):
 def put_file(rows, props, env):
     fmt, options = props.get("format", "parquet"), prefixed(props, "option")
     if env.streaming:
-        return _start(rows, fmt, env, path=props["path"], **options)
+        if props.get("mode", "append") != "append":
+            raise ValueError("a stream of files can only be appended to")
+        if props.get("max_records_per_file"):
+            options["maxRecordsPerFile"] = props["max_records_per_file"]
+        return _start(rows, fmt, env, path=props["path"], partition_by=_list(props.get("partition_by")), **options)
     sources.write_files(
         rows,
         props["path"],
@@ -252,10 +261,15 @@ def put_database_record(rows, props, env):
 
 @_node("PutSQL")
 def put_sql(rows, props, env):
+    _batch_only(env, "PutSQL")
     sources.insert_into(rows, props["table"])
     return {"success": env.spark.table(props["table"])}
 
 
 @_node("PublishKafka")
 def publish_topic(rows, props, env):
-    return _start(rows, props.get("format", "kafka"), env, **prefixed(props, "option"))
+    fmt, options = props.get("format", "kafka"), prefixed(props, "option")
+    if env.streaming:
+        return _start(rows, fmt, env, **options)
+    rows.write.format(fmt).options(**options).mode("append").save()
+    return {"success": rows}

@@ -99,11 +99,16 @@ def run(
 
 
 def trigger_of(processor: Processor) -> dict:
-    """The streaming trigger of a timer period; without one, what is there is taken once."""
-    period = processor.scheduling.get("schedulingPeriod", "")
+    """The streaming trigger of a timer period; without one, what is there is taken once.
+
+    Anything else, such as a cron expression, is an error.
+    """
+    period = processor.scheduling.get("schedulingPeriod") or ""
+    if not period.strip():
+        return {"availableNow": True}
     match = re.fullmatch(r"\s*([0-9]+(?:\.[0-9]+)?)\s*([A-Za-z]+)\s*", period)
     if not match or match[2].lower() not in PERIOD_UNITS:
-        return {"availableNow": True}
+        raise ValueError(f"{processor.name}: cannot read the period {period!r}")
     seconds = float(match[1]) * float(PERIOD_UNITS[match[2].lower()])
     return {"processingTime": f"{int(seconds * 1000)} milliseconds"}
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,21 +43,29 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a session whose executor is the driver itself may do without: it gets a
+    temporary folder of its own, which goes when the process ends.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if context.getCheckpointDir():
             return context.getCheckpointDir()
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="millrace-")
+        folder = _own_folder()
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+@cache
+def _own_folder() -> str:
+    kept = tempfile.TemporaryDirectory(prefix="millrace-", ignore_cleanup_errors=True)
+    atexit.register(kept.cleanup)
+    return kept.name
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"

@@ -136,6 +136,7 @@ def write_stream(
     mode: str = "append",
     name: str | None = None,
     table: str | None = None,
+    partition_by: Sequence[str] = (),
     **options,
 ) -> StreamingQuery:
     """Start a streaming sink. Without a trigger it takes what is there and stops.
@@ -151,4 +152,6 @@ def write_stream(
     )
     if name:
         writer = writer.queryName(name)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return writer.toTable(table) if table else writer.start()

@@ -357,7 +357,9 @@ def test_timer_period_is_the_trigger():
 
     assert trigger("5 min") == {"processingTime": "300000 milliseconds"}
     assert trigger("1.5 sec") == {"processingTime": "1500 milliseconds"}
-    assert trigger(None) == trigger("0 0/5 * * * ?") == {"availableNow": True}
+    assert trigger(None) == trigger(" ") == {"availableNow": True}
+    with pytest.raises(ValueError, match="period"):
+        trigger("0 0/5 * * * ?")
 
 
 def test_rows_of_one_folder_come_together_and_a_hot_one_is_split(spark, tmp):

@@ -61,7 +61,7 @@ def cases(spark):
     yield changes.empty_queue(queue, known.select(F.col("key").alias("connection_id")))[0]
     texts = rows.select("pipeline_id", F.concat(F.lit("#{"), "key", F.lit("}")).alias("text"), "noise")
     values = known.groupBy(F.lit("p").alias("context"), F.col("key").alias("name")).agg(F.lit("v").alias("value"))
-    yield params.substitute(texts, "text", values, "pipeline_id", max_broadcast_rows=0)
+    yield params.substitute(texts, "text", values, "pipeline_id")
 
 
 @pytest.mark.parametrize("case", range(5))

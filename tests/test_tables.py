@@ -21,8 +21,7 @@ def frame(spark, schema, *data):
 PARAMS = "context string, name string, value string"
 
 
-@pytest.mark.parametrize("bound", [0, 1000])
-def test_substitution_is_one_pass(spark, bound):
+def test_substitution_is_one_pass(spark):
     values = frame(
         spark, PARAMS,
         ("c", "x", "#{y}"), ("c", "y", "2"), ("c", "money", "$1 \\ {}"), ("other", "z", "no"),
@@ -32,7 +31,7 @@ def test_substitution_is_one_pass(spark, bound):
         (1, "c", "#{x}"), (2, "c", "a#{y}b#{x}#{z}c"), (3, "c", "plain #{} #y"), (4, None, "#{y}"),
         (5, "c", None), (6, "c", "#{money}#{money}"), (7, "c", ""), (8, "c", "#{y}"), (9, "c", "#{y}"),
     )
-    found = params.substitute(texts, "text", values, "context", max_broadcast_rows=bound)
+    found = params.substitute(texts, "text", values, "context")
     assert found.columns == ["id", "context", "text", "unresolved"]
     assert rows(found, "id", "text", "unresolved") == [
         (1, "#{y}", []),
@@ -50,9 +49,15 @@ def test_substitution_is_one_pass(spark, bound):
 def test_null_parameter_value_keeps_the_reference(spark):
     values = frame(spark, PARAMS, ("c", "x", None))
     texts = frame(spark, "context string, text string", ("c", "<#{x}>"))
-    for bound in (0, 10):
-        found = params.substitute(texts, "text", values, "context", bound)
-        assert rows(found, "text", "unresolved") == [("<#{x}>", [])]
+    found = params.substitute(texts, "text", values, "context")
+    assert rows(found, "text", "unresolved") == [("<#{x}>", [])]
+
+
+def test_repeated_and_nameless_parameters_have_one_rule(spark):
+    values = frame(spark, PARAMS, ("c", "x", "2"), ("c", "x", "1"), ("c", None, "3"), (None, "x", "4"), ("c", "unused", "5"), ("c", "unused", "6"))
+    texts = frame(spark, "context string, text string", ("c", "<#{x}>"), (None, "#{x}"))
+    found = params.substitute(texts, "text", values, "context")
+    assert rows(found, "text", "unresolved") == [("#{x}", ["x"]), ("<1>", [])]
 
 
 def test_removal_beats_set(spark):
@@ -202,7 +207,14 @@ def test_rollup_over_a_cycle_is_refused(spark):
     groups = frame(spark, GROUPS, ("a", "b", "a"), ("b", "a", "b"))
     measures = frame(spark, "group_id string, n bigint", ("a", 1))
     with pytest.raises(ValueError, match="cycle"):
-        graph.rollup(groups, measures, ["n"], max_depth=4)
+        graph.rollup(groups, measures, ["n"])
+
+
+def test_deep_chains_are_followed_to_the_end(spark):
+    n = 150
+    groups = frame(spark, GROUPS, *[(f"g{i}", f"g{i - 1}" if i else None, "x") for i in range(n)])
+    measures = frame(spark, "group_id string, n bigint", (f"g{n - 1}", 7))
+    assert rows(graph.rollup(groups, measures, ["n"])) == sorted((f"g{i}", 7) for i in range(n))
 
 
 # Ordered rows
@@ -343,17 +355,21 @@ def test_xml_and_csv_can_be_written(spark):
 
 
 def test_json_steps(spark):
-    df = frame(spark, "text string", ('{"a":{"b":1},"c":"x","d":null}',), ("broken",))
+    df = frame(spark, "text string", ('{"a":{"b":1},"c":"x","d":null}',), ("{}",), ("broken",), (None,), ("[1]",))
     steps = [
         {"op": "shift", "fields": {"a.b:int": "n.v", "c": "s", "no": "gone.x"}},
         {"op": "default", "fields": {"s": "none", "k": True}},
         {"op": "remove", "fields": ["gone"]},
     ]
-    assert [r.text for r in records.restructure_json(df, "text", steps).collect()] == [
+    routes = records.restructure_json(df, "text", steps)
+    assert sorted(map(repr, (r.text for r in routes["failure"].collect()))) == ["'[1]'", "'broken'", "None"]
+    assert [r.text for r in routes["success"].collect()] == [
         '{"n":{"v":1},"s":"x","k":true}', '{"n":{},"s":"none","k":true}',
     ]
     with pytest.raises(ValueError, match="unknown step"):
         records.restructure_json(df, "text", [{"op": "spin", "fields": {}}])
+    with pytest.raises(ValueError, match="no steps"):
+        records.restructure_json(df, "text", [])
 
 
 def test_element_fields(spark):

@@ -4,8 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import difference
-
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from workload import ORACLE, QUERIES
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -107,9 +107,9 @@ def lineage_closure(t):
     "lineage_closure_up",
     f"""WITH RECURSIVE {DERIVATIONS_SQL}, reached AS (
       SELECT seed, seed AS node, 0 AS depth FROM seeds
-      UNION SELECT seed, src, depth + 1 FROM reached JOIN edges ON dst = node WHERE depth < 2)
+      UNION SELECT seed, src, depth + 1 FROM reached JOIN edges ON dst = node)
     SELECT * FROM reached""",
 )
 def lineage_closure_up(t):
     edges, seeds = _derivations(t)
-    return graph.lineage_closure(edges, seeds, "up", max_depth=2)
+    return graph.lineage_closure(edges, seeds, "up")

@@ -74,11 +74,10 @@ def substitute_params(t):
 
 @query("substitute_params_joined", SUBSTITUTE_SQL)
 def substitute_params_joined(t):
-    """The same beyond the broadcast bound."""
+    """The same with each parameter given twice, the second time with a larger value."""
     templates, values = _templates(t)
-    return _substituted(
-        p.substitute(templates, "template", values, "context", max_broadcast_rows=0)
-    )
+    again = values.withColumn("value", F.concat("value", F.lit("~")))
+    return _substituted(p.substitute(templates, "template", values.union(again), "context"))
 
 
 @query(

@@ -83,11 +83,14 @@ def replace_text(t):
     """SELECT event_id, '{"attr":{"k":' || json_extract_string(props, '$.k')
            || ',"source":"events"},"unit":"ms"}' AS props,
            '{"k":' || json_extract_string(props, '$.k') || ',"source":"events"}' AS opened
-    FROM events""",
+    FROM events WHERE event_id % 10 > 1
+    UNION ALL SELECT event_id, CASE WHEN event_id % 10 = 0 THEN '{"k": oops' END, props
+    FROM events WHERE event_id % 10 < 2""",
 )
 def restructure_json(t):
+    text = F.when(F.col("event_id") % 10 == 0, '{"k": oops').when(F.col("event_id") % 10 > 1, F.col("props"))
     shaped = r.restructure_json(
-        t.events.select("event_id", "props", F.col("props").alias("opened")),
+        t.events.select("event_id", text.alias("props"), F.col("props").alias("opened")),
         "props",
         [
             {"op": "shift", "fields": {"k:int": "attr.k", "missing": "attr.gone"}},
@@ -95,14 +98,15 @@ def restructure_json(t):
             {"op": "remove", "fields": ["attr.gone"]},
         ],
     )
-    return r.restructure_json(
-        shaped,
+    opened = r.restructure_json(
+        shaped["success"],
         "opened",
         [
             {"op": "default", "fields": {"source": "events", "k": 0, "spare": [1]}},
             {"op": "remove", "fields": ["spare"]},
         ],
     )
+    return opened["success"].unionByName(shaped["failure"])
 
 
 @query(
