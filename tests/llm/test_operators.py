@@ -145,8 +145,8 @@ def test_cover_order_sorts_suffixes():
 def sentences_by_hand(rows, span=3):
     seen, out = set(), {}
     for i, t in sorted(rows):
-        t = t or ""
-        found = [" ".join(t[a:b].split()) for a, b in sentence_dedup.sentences(t)]
+        t = (t or "").encode()
+        found = [b" ".join(t[a:b].split()) for a, b in sentence_dedup.sentences(t)]
         gone = [0] * len(found)
         for k in range(len(found) - span + 1):
             run = tuple(found[k : k + span])
@@ -157,6 +157,17 @@ def sentences_by_hand(rows, span=3):
     return out
 
 
+def test_sentences():
+    text = "One two. Three?! four\nfive  six... Ünd so 3.5 weiter".encode()
+    assert [text[a:b].decode() for a, b in sentence_dedup.sentences(text)] == ["One two.", "Three?!", "four", "five  six...", "Ünd so 3.5 weiter"]
+    long = b" ".join(b"w%d" % k for k in range(200))
+    parts = [long[a:b] for a, b in sentence_dedup.sentences(long)]
+    assert len(parts) > 5 and b" ".join(parts) == long
+    inner = [long[8:][a:b] for a, b in sentence_dedup.sentences(long[8:])]
+    assert inner[1:] == parts[-len(inner) + 1 :]
+    assert sentence_dedup.sentences(b"") == sentence_dedup.sentences(b" \n ") == []
+
+
 def test_sentence_dedup(corpus, docs, odd):
     got = {r.doc_id: (r.n_sentences, r.n_removed) for r in sentence_dedup.remove_repeated_sentences(docs).collect()}
     want = sentences_by_hand(corpus)
