@@ -9,12 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import blank_to_null, short_type_name
 from millrace.functions.maps import STRING_MAP, empty_map
-from millrace.operators.lookup import lookup_join
 
 # The reject reasons, in the order they are tried.
 REASON_BLANK = "definition is required."
@@ -28,6 +27,9 @@ REASON_CONTEXT = 'Each parameter context must have a "name" field.'
 # The relationship of an edge that names none.
 DEFAULT_RELATIONSHIPS = ["success"]
 
+# The fields that hold a definition's children.
+CHILDREN = ["processors", "connections", "controllerServices", "parameterContexts", "ports"]
+
 # The scheduling keys a manifest keeps.
 SCHEDULING_KEYS = [
     "schedulingStrategy",
@@ -97,20 +99,27 @@ def _truthy(value: Column) -> Column:
     )
 
 
-def parse_definitions(df: DataFrame, id_col: str, json_col: str) -> Definitions:
+def parse_definitions(
+    df: DataFrame, id_col: str, json_col: str, part_col: str | None = None
+) -> Definitions:
     """Split definition texts into child tables and rejects, without a Python UDF.
 
+    With ``part_col`` the rows of one id are the parts that ``nest_documents`` writes:
+    positions go on from part to part, the first part names the definition, and a fault
+    in any part rejects it as a whole, once, for the first such fault.
+
     Each table reads only what it needs of the text. A caller that uses several
     of them may persist ``df`` or write the tables.
     """
     parsed = df.select(
         F.col(id_col).cast("string").alias("pipeline_id"),
         blank_to_null(json_col).alias("raw"),
+        (F.col(part_col) if part_col else F.lit(0)).cast("bigint").alias("part"),
     )
     # As the output of a generator the document is parsed once, where a plain
     # column would be repeated in every test that a filter makes of it.
     parsed = parsed.select(
-        "pipeline_id", "raw", F.explode(F.array(F.try_parse_json("raw"))).alias("doc")
+        "pipeline_id", "raw", "part", F.explode(F.array(F.try_parse_json("raw"))).alias("doc")
     )
     reason = (
         F.when(F.col("raw").isNull(), REASON_BLANK)
@@ -125,27 +134,48 @@ def parse_definitions(df: DataFrame, id_col: str, json_col: str) -> Definitions:
         .when(_any_without(_items("doc", "parameterContexts"), "$.name"), REASON_CONTEXT)
     )
     judged = parsed.withColumn("reason", reason)
-    good = judged.where(F.col("reason").isNull()).select("pipeline_id", "doc")
+    before = {field: F.lit(0) for field in CHILDREN}
+    if part_col:
+        parts = Window.partitionBy("pipeline_id").orderBy("part")
+        earlier = parts.rowsBetween(Window.unboundedPreceding, -1)
+        whole = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        before = {
+            field: F.coalesce(F.sum(F.size(_items("doc", field))).over(earlier), F.lit(0)).cast("int")
+            for field in CHILDREN
+        }
+        judged = judged.withColumn("reason", F.first("reason", ignorenulls=True).over(whole))
+    judged = judged.withColumns({f"before_{field}": n for field, n in before.items()})
+    good = judged.where(F.col("reason").isNull()).drop("reason")
+
+    def one_row(rows: DataFrame, column: str) -> DataFrame:
+        """``column`` of each definition, from its first part."""
+        if part_col:
+            rows = rows.groupBy("pipeline_id").agg(F.min_by(column, "part").alias(column))
+        return rows.select("pipeline_id", column)
 
     def children(field: str) -> DataFrame:
-        return good.select(
-            "pipeline_id", F.posexplode(_items("doc", field)).alias("pos", "item")
+        exploded = good.select(
+            "pipeline_id", "raw", f"before_{field}", F.posexplode(_items("doc", field)).alias("at", "item")
         )
+        return exploded.withColumn("pos", F.col(f"before_{field}") + F.col("at"))
 
     def text_map(path: str) -> Column:
         return F.coalesce(_get("item", path, STRING_MAP), empty_map())
 
     named = F.coalesce(_get("item", "$.name"), short_type_name(_get("item", "$.type")))
     contexts = children("parameterContexts")
+    # A parsed object has its names in alphabetical order; the text has them as they were written.
+    written = F.expr("json_object_keys(get_json_object(raw, concat('$.parameterContexts[', at, '].parameters')))")
     entries = contexts.select(
         "pipeline_id",
         F.col("pos").alias("context_pos"),
         _get("item", "$.name").alias("context"),
-        F.explode(_get("item", "$.parameters", "map<string,variant>")).alias("name", "entry"),
-    )
+        written.alias("written"),
+        F.posexplode(_get("item", "$.parameters", "map<string,variant>")).alias("at", "name", "entry"),
+    ).withColumn("pos", F.coalesce(F.nullif(F.array_position("written", F.col("name")), F.lit(0)) - 1, F.col("at")).cast("int"))
     is_entry = F.coalesce(_is_collection("entry"), F.lit(False))
     return Definitions(
-        pipelines=good.select("pipeline_id", _get("doc", "$.name").alias("name")),
+        pipelines=one_row(good.withColumn("name", _get("doc", "$.name")), "name"),
         processors=children("processors").select(
             "pipeline_id",
             "pos",
@@ -196,6 +226,7 @@ def parse_definitions(df: DataFrame, id_col: str, json_col: str) -> Definitions:
             .otherwise(F.lit(False))
             .alias("sensitive"),
             F.when(is_entry, _get("entry", "$.description")).alias("description"),
+            "pos",
         ),
         ports=children("ports").select(
             "pipeline_id",
@@ -203,7 +234,7 @@ def parse_definitions(df: DataFrame, id_col: str, json_col: str) -> Definitions:
             _get("item", "$.name").alias("name"),
             F.coalesce(_get("item", "$.type"), F.lit("INPUT")).alias("port_type"),
         ),
-        rejects=judged.where(F.col("reason").isNotNull()).select("pipeline_id", "reason"),
+        rejects=one_row(judged.where(F.col("reason").isNotNull()), "reason"),
     )
 
 
@@ -231,43 +262,50 @@ def nest_documents(
     parents: DataFrame,
     key: str,
     header: Mapping[str, Column],
-    children: Mapping[str, tuple[DataFrame, Column, Column]],
+    children: Mapping[str, tuple],
     part_rows: int = 10_000,
 ) -> DataFrame:
     """One JSON document for each parent, with its children as ordered lists.
 
-    ``children`` maps a field to (table with ``key``, position, item). The rows
-    of all tables meet in one shuffle, already as text. A parent with more than
-    ``part_rows`` children of a kind is written as several documents numbered by
-    ``part``, each with the next slice of every list; the header is in part 0.
-    So no task holds all children of a very large parent, and none is left out.
+    ``children`` maps a field to (table with ``key``, position, item), if need be with
+    the least part that an item may be in. The rows of all tables meet in one shuffle,
+    already as text. A parent with more than ``part_rows`` children of a kind is written
+    as several documents numbered by ``part``, each with the header and the next ``part_rows`` of every list, counted in
+    the order of position (null first) and text, whatever the positions are. So no list
+    is longer than ``part_rows``, and ``parse_definitions`` can join the parts again.
     """
 
-    def rows(df: DataFrame, kind: str, pos: Column, item: Column) -> DataFrame:
+    def rows(df: DataFrame, kind: str, pos: Column, item: Column, least: Column = F.lit(0)) -> DataFrame:
         return df.select(
             key,
-            F.floor(pos.cast("bigint") / part_rows).alias("part"),
             F.lit(kind).alias("kind"),
             pos.cast("bigint").alias("pos"),
             F.to_json(item).alias("body"),
+            least.cast("bigint").alias("least"),
         )
 
     head = F.struct(*[column.alias(name) for name, column in header.items()])
     pieces = rows(parents, "", F.lit(0), head)
-    for kind, (df, pos, item) in children.items():
-        pieces = pieces.unionByName(rows(df, kind, pos, item))
-
-    of_kind = lambda kind: F.when(F.col("kind") == kind, F.struct("pos", "body"))
-    grouped = pieces.groupBy(key, "part").agg(
-        F.max(F.when(F.col("kind") == "", F.col("body"))).alias("head"),
-        *[F.sort_array(F.collect_list(of_kind(kind))).alias(kind) for kind in children],
+    for kind, (df, *columns) in children.items():
+        pieces = pieces.unionByName(rows(df, kind, *columns))
+
+    # Dealt by the parent once; the window and both aggregates below keep to that.
+    rank = F.row_number().over(Window.partitionBy(key, "kind").orderBy("pos", "body"))
+    ranked = pieces.repartition(key).withColumn("rank", rank)
+    grouped = (
+        ranked.groupBy(key, F.greatest(F.floor((F.col("rank") - 1) / part_rows), "least").alias("part"))
+        .agg(
+            F.max(F.when(F.col("kind") == "", F.col("body"))).alias("head"),
+            F.sort_array(F.collect_list(F.when(F.col("kind") != "", F.struct("kind", "rank", "body")))).alias("items"),
+        )
+        .withColumn("head", F.max("head").over(Window.partitionBy(key)))
     )
+
+    def of_kind(kind: str) -> Column:
+        return F.filter("items", lambda piece: piece["kind"] == kind)["body"]
+
     lists = [
-        F.concat(
-            F.lit(f'"{kind}":['),
-            F.array_join(F.transform(kind, lambda piece: piece["body"]), ","),
-            F.lit("]"),
-        )
+        F.concat(F.lit(f'"{kind}":['), F.array_join(of_kind(kind), ","), F.lit("]"))
         for kind in children
     ]
     opening = F.when(F.col("head") != "{}", F.expr("concat(left(head, length(head) - 1), ',')"))
@@ -287,7 +325,7 @@ def _component(*fields: Column) -> Column:
 
 
 def _contexts_with_parameters(definitions: Definitions, part_rows: int) -> DataFrame:
-    """Contexts with their parameters as JSON text; a very large context in several slices."""
+    """Contexts with their parameters in definition order (by name where none is known); a very large context in slices."""
     keys = ["pipeline_id", "context_pos"]
     entry = F.struct(
         F.struct(
@@ -297,12 +335,14 @@ def _contexts_with_parameters(definitions: Definitions, part_rows: int) -> DataF
             F.nullif("description", F.lit("")).alias("description"),
         ).alias("parameter")
     )
-    parameters = definitions.parameters.select(*keys, "name", F.struct("name", entry.alias("entry")).alias("item"))
-    slices = parameters.groupBy(*keys).agg(F.ceil(F.count("*") / part_rows).alias("slices"))
+    table = definitions.parameters
+    if "pos" not in table.columns:
+        table = table.withColumn("pos", F.lit(None).cast("int"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("pos", "name"))
     listed = (
-        lookup_join(parameters, slices, keys)
-        .groupBy(*keys, F.pmod(F.xxhash64("name"), "slices").alias("slice"))
-        .agg(F.sort_array(F.collect_list("item")).alias("items"))
+        table.withColumn("rank", rank)
+        .groupBy(*keys, F.floor((F.col("rank") - 1) / part_rows).alias("slice"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", entry.alias("entry")))).alias("items"))
         .select(*keys, "slice", F.col("items.entry").alias("parameters"))
     )
     return definitions.contexts.withColumnRenamed("pos", "context_pos").join(listed, keys, "left")
@@ -346,8 +386,8 @@ def manifest(definitions: Definitions, part_rows: int = 10_000) -> DataFrame:
         F.coalesce("parameters", no_parameters).alias("parameters"),
         F.nullif("description", F.lit("")).alias("description"),
     )
-    # A slice of a large context goes to a later part, like a later child.
-    context_pos = F.col("context_pos") + F.coalesce("slice", F.lit(0)) * part_rows
+    # A slice of a large context goes to a later part, so no document has all of them.
+    slice_of = F.coalesce("slice", F.lit(0))
     port_type = F.when(F.col("port_type") == "INPUT", "INPUT_PORT").otherwise("OUTPUT_PORT")
     port = _component(F.col("name"), port_type.alias("type"))
     pos = F.col("pos")
@@ -356,7 +396,7 @@ def manifest(definitions: Definitions, part_rows: int = 10_000) -> DataFrame:
         "pipeline_id",
         {"processGroup": _component(F.col("name"))},
         {
-            "parameterContexts": (contexts, context_pos, context),
+            "parameterContexts": (contexts, F.col("context_pos"), context, slice_of),
             "controllerServices": (definitions.services, pos, service),
             "processors": (definitions.processors, pos, processor),
             "connections": (definitions.connections, pos, connection),

@@ -15,7 +15,7 @@ SERVICES = "pipeline_id string, pos int, name string, type string, properties ma
 CONTEXTS = "pipeline_id string, pos int, name string, description string"
 PARAMETERS = (
     "pipeline_id string, context_pos int, context string, name string, value string, "
-    "sensitive boolean, description string"
+    "sensitive boolean, description string, pos int"
 )
 PORTS = "pipeline_id string, pos int, name string, port_type string"
 REJECTS = "pipeline_id string, reason string"

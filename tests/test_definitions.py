@@ -231,7 +231,8 @@ def test_large_definition_is_written_in_parts(spark):
     parts = d.manifest(corpus(spark, many), part_rows=10).orderBy("part").collect()
     documents = [json.loads(p.document) for p in parts]
     assert [p.part for p in parts] == list(range(len(parts)))
-    assert ["processGroup" in doc for doc in documents] == [True] + [False] * (len(parts) - 1)
+    assert all(doc["processGroup"]["component"]["name"] == "big" for doc in documents)
+    assert all(len(doc["processors"]) <= 10 for doc in documents)
     names = [p["component"]["name"] for doc in documents for p in doc["processors"]]
     assert names == [f"p{i}" for i in range(25)]
     parameters = [
@@ -240,7 +241,42 @@ def test_large_definition_is_written_in_parts(spark):
         for c in doc["parameterContexts"]
         for p in c["component"]["parameters"]
     ]
-    assert sorted(parameters) == sorted(f"k{i}" for i in range(45))
+    assert parameters == [f"k{i}" for i in range(45)]
+
+
+def test_parameters_keep_the_order_of_the_definition(spark):
+    definition = {"name": "x", "parameterContexts": [{"name": "c", "parameters": {"zeta": "1", "alpha": "2", "mid": {"value": "3"}}}]}
+    parsed = corpus(spark, definition)
+    assert rows(parsed.parameters, "pos", "name") == [(0, "zeta"), (1, "alpha"), (2, "mid")]
+    (row,) = d.manifest(parsed).collect()
+    (context,) = json.loads(row.document)["parameterContexts"]
+    assert [p["parameter"]["name"] for p in context["component"]["parameters"]] == ["zeta", "alpha", "mid"]
+
+
+@pytest.mark.parametrize("positions", ["dense", "repeated", "sparse", "null"])
+def test_parts_are_joined_again(spark, positions):
+    """Parts are cut by rank, whatever the positions, and lose nothing."""
+    n = 10_001 if positions == "dense" else 50
+    pos = {"dense": F.col("id"), "repeated": F.col("id") % 3, "sparse": F.col("id") * 1000, "null": F.lit(None)}[positions]
+    children = spark.range(n).select(F.lit("a").alias("pipeline_id"), pos.cast("int").alias("pos"), F.format_string("p%05d", "id").alias("name"))
+    parents = spark.createDataFrame([("a", "big"), ("b", "none")], "pipeline_id string, name string")
+    item = F.struct("name", F.lit("org.example.T").alias("type"))
+    size = 10_000 if positions == "dense" else 7
+    documents = d.nest_documents(parents, "pipeline_id", {"name": F.col("name")}, {"processors": (children, F.col("pos"), item)}, size)
+    assert documents.where("pipeline_id = 'a'").count() == -(-n // size)
+    again = d.parse_definitions(documents, "pipeline_id", "document", "part")
+    assert again.rejects.count() == 0 and rows(again.pipelines, "pipeline_id", "name") == [("a", "big"), ("b", "none")]
+    found = again.processors.orderBy("pos").collect()
+    assert [r.pos for r in found] == list(range(n)) and len({r.name for r in found}) == n
+    if positions in ("dense", "sparse"):
+        assert [r.name for r in found] == [f"p{i:05d}" for i in range(n)]
+
+
+def test_a_fault_in_one_part_rejects_the_definition_once(spark):
+    parts = [("a", 0, '{"name":"x"}'), ("a", 1, '{"name":"x","processors":[{}]}'), ("a", 2, "broken"), ("b", 0, '{"name":"y"}')]
+    parsed = d.parse_definitions(spark.createDataFrame(parts, "id string, part int, text string"), "id", "text", "part")
+    assert rows(parsed.rejects, "pipeline_id", "reason") == [("a", d.REASON_PROCESSOR)]
+    assert rows(parsed.pipelines, "pipeline_id") == [("b",)]
 
 
 def test_json_round_trip(spark):

@@ -51,6 +51,32 @@ def _documents(t):
     return docs.select("pipeline_id", broken.alias("document"))
 
 
+@query(
+    "round_trip_definitions",
+    f"""WITH {PROCESSORS_SQL}
+    SELECT pipeline_id,
+           CAST(row_number() OVER (PARTITION BY pipeline_id ORDER BY pos, type) - 1 AS INTEGER)
+             AS pos,
+           name, 'org.example.' || type AS type, o_clerk AS pipeline
+    FROM processors JOIN (SELECT CAST(o_orderkey AS VARCHAR) AS pipeline_id, o_orderpriority AS o_clerk FROM orders)
+    USING (pipeline_id)""",
+)
+def round_trip_definitions(t):
+    """Written in parts of two children, most definitions in several, and joined again."""
+    item = F.struct("name", F.concat(F.lit("org.example."), "type").alias("type"))
+    docs = d.nest_documents(
+        t.orders.select(F.col("o_orderkey").cast("string").alias("pipeline_id"), "o_orderpriority"),
+        "pipeline_id",
+        {"name": F.col("o_orderpriority")},
+        {"processors": (roles.processors(t), F.col("pos"), item)},
+        part_rows=2,
+    )
+    again = d.parse_definitions(docs, "pipeline_id", "document", "part")
+    return again.processors.join(again.pipelines.withColumnRenamed("name", "pipeline"), "pipeline_id").select(
+        "pipeline_id", "pos", "name", "type", "pipeline"
+    )
+
+
 @query(
     "parse_definitions",
     f"""WITH {PROCESSORS_SQL}
