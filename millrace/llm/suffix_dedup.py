@@ -17,6 +17,9 @@ bucket, and one bucket has to fit a task.
   however long their common start, then follows from at most two bytes and the ranks of
   the cover positions behind them. Neighbours in that order that agree in LENGTH bytes
   are one string, of which the first start is kept.
+* **Buckets of more than HOT_RUNS runs** (one line in very many texts, with other text
+  around it each time) would not fit. Their strings are buckets of their own, named by a
+  hash of all LENGTH bytes, and go through the second step again, one string to a row.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ GRAM = 32
 # Text whose equal runs are set aside together, and text that is sorted together.
 BLOCK_BYTES = 32 << 20
 SORT_BYTES = 1 << 19
+HOT_RUNS = 20_000
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -241,24 +245,59 @@ def _sorted_repeats(stretches: DataFrame, length: int) -> DataFrame:
     )
 
 
-def removed_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, d (crc32 of the text), start, end: byte ranges that repeat an earlier string."""
+def _hot_windows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """As ``_all_runs``, each string of the wanted runs as a run of its own."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for batch in batches:
+            for doc_id, d, text, asked in zip(batch["doc_id"], batch["d"], unpacked(batch["body"]), batch["asked"], strict=True):
+                rolling = arrays.Rolling(np.frombuffer(text, np.uint8))
+                p = np.concatenate([np.arange(x["start"], x["start"] + (x["end"] >> 8)) for x in asked])
+                h = rolling.of(p, p + length)
+                rest = arrays.mix(rolling.of(p, p + length // 2) ^ np.uint64(length))
+                held.append(pd.DataFrame({"p0": p, "n": 1, "off": 0, "h": arrays.signed(h), "rh": arrays.signed(rest), "doc_id": doc_id, "d": d}))
+                size += 16 * len(p)
+            if size >= BLOCK_BYTES:
+                yield _set_aside(held, length)
+                held, size = [], 0
+        if held:
+            yield _set_aside(held, length)
+
+    by_doc = wanted.groupBy("doc_id", "d").agg(F.collect_list(F.struct("start", "end")).alias("asked"))
+    return packed(docs).join(by_doc, ["doc_id", "d"]).mapInPandas(cut, "h long, rh long, doc_id long, d long, start long, end long")
+
+
+def _judged(runs: DataFrame, length: int) -> DataFrame:
+    """Of all runs those that repeat (as removed ranges) and those of buckets with several kinds."""
     w = Window.partitionBy("h")
-    found = stored(
-        _all_runs(docs, length)
-        .withColumn("before", F.lag("rh").over(w.orderBy("rh", "doc_id", "d", "start")))
-        .withColumn("low", F.min("rh").over(w))
-        .withColumn("high", F.max("rh").over(w))
-        .withColumn("repeat", F.coalesce(F.col("before") == F.col("rh"), F.lit(False)))
-        .where("rh is null or repeat or low < high")
-        .select("doc_id", "d", "start", "end", "h", F.when(F.col("rh").isNull(), "range").when(F.col("repeat"), "run").otherwise("differs").alias("kind")),
-        "equal-runs",
+    repeat = F.coalesce(F.col("before") == F.col("rh"), F.lit(False))
+    kind = (
+        F.when(F.col("rh").isNull() | F.col("repeat"), "range")
+        .when(F.col("low") < F.col("high"), F.when(F.col("runs") > HOT_RUNS, "hot").otherwise("differs"))
     )
-    ranges = found.where("kind != 'differs'").select(
-        "doc_id", "d", "start", F.when(F.col("kind") == "range", F.col("end")).otherwise(F.col("start") + F.shiftright("end", 8) + F.lit(length - 1)).alias("end")
+    end = F.when(F.col("repeat"), F.col("start") + F.shiftright("end", 8) + F.lit(length - 1)).otherwise(F.col("end"))
+    return (
+        runs.withColumn("before", F.lag("rh").over(w.orderBy("rh", "doc_id", "d", "start")))
+        .withColumns({"low": F.min("rh").over(w), "high": F.max("rh").over(w), "runs": F.count("rh").over(w)})
+        .withColumn("repeat", repeat)
+        .withColumn("kind", kind)
+        .where("kind is not null")
+        .select("doc_id", "d", "start", end.alias("end"), "h", "kind")
     )
+
+
+def removed_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """doc_id, d (crc32 of the text), start, end: byte ranges that repeat an earlier string."""
+    columns = ["doc_id", "d", "start", "end"]
+    found = stored(_judged(_all_runs(docs, length), length), "equal-runs")
     text = _stretches(docs, found.where("kind = 'differs'"), length)
-    return ranges.union(_sorted_repeats(text, length))
+    ranges = found.where("kind = 'range'").select(columns).union(_sorted_repeats(text, length))
+    hot = found.where("kind = 'hot'")
+    if not hot.isEmpty():
+        windows = _judged(_hot_windows(docs, hot, length), length)
+        ranges = ranges.union(windows.where("kind = 'range'").select(columns))
+    return ranges
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -121,7 +121,9 @@ def bytes_by_hand(rows, length=100):
     return out
 
 
-def test_suffix_dedup(corpus, docs):
+@pytest.mark.parametrize("hot", [1, 3, 20_000])
+def test_suffix_dedup(corpus, docs, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_RUNS", hot)
     got = suffix_dedup.remove_repeats(docs).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got} == bytes_by_hand(corpus)
 
