@@ -1,4 +1,4 @@
-"""Wait and notify over a stream, with state and a time-out in event time."""
+"""Wait and notify over a stream, decided in event time."""
 
 from __future__ import annotations
 
@@ -8,96 +8,97 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Time buckets that the signals of one time-out are kept in.
+_BUCKETS = 2
+# Rows that leave a task in one frame.
+_FRAME = 10_000
+
 
 def _combiner():
-    """Sums the signals of each key within a batch, before they are shuffled."""
+    """Sums the signals of each key and time within a batch, before they are shuffled."""
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             is_signal = batch["row"].isna()
             yield batch[~is_signal]
-            summed = batch[is_signal].groupby("key", as_index=False).agg(
-                amount=("amount", "sum"), end=("end", "max")
-            )
-            yield summed.assign(row=None)[["key", "row", "amount", "end"]]
+            summed = batch[is_signal].groupby(["key", "at"], as_index=False)["amount"].sum()
+            yield summed.assign(row=None)[["key", "row", "amount", "at"]]
 
     return combine
 
 
-def _processor(target: int):
+def _processor(target: int, ttl: int):
     """The state processor, made here so that executors need no module of ours.
 
-    ``end`` is the time in milliseconds when a row expires or a signal is forgotten.
+    Times are in milliseconds. A row at t is decided by a timer just after t + ttl, when no
+    signal of its window can come any more. Signals are kept by time bucket, each bucket
+    until the last row that may count it is decided; rows by the time of their decision.
     """
+    width = max(1, -(-ttl // _BUCKETS))
     from pyspark.sql.streaming import StatefulProcessor
 
     class WaitNotify(StatefulProcessor):
         def init(self, handle):
             self.handle = handle
-            self.total = handle.getValueState("total", "amount bigint, until bigint, timer bigint")
-            self.held = handle.getListState("held", "row string, until bigint")
+            self.signals = handle.getMapState("signals", "bucket bigint", "at array<bigint>, amount array<bigint>")
+            self.held = handle.getMapState("held", "due bigint", "rows array<string>")
 
         def handleInputRows(self, key, rows, timerValues):
-            total, until, timer = self.total.get() or (0, 0, 0)
-            was_done = total >= target
-            added, arrived = 0, []
+            signals, waits = {}, {}
             for batch in rows:
-                for row, amount, end in zip(
-                    batch["row"].tolist(), batch["amount"].tolist(), batch["end"].tolist()
-                ):
-                    if row is None:
-                        added += amount
-                        until = max(until, end)
-                    else:
-                        arrived.append((row, end))
-            total += added
-            if total >= target:
-                if added and not was_done:
-                    held = [(row, end) for row, end in self.held.get()]
-                    if held:
-                        self.held.clear()
-                    arrived += held
-                if arrived:
-                    yield self._out(arrived, "released")
-            elif arrived:
-                self.held.appendList(arrived)
-            self._save(total, until, timer, [] if total >= target else arrived, bool(added))
+                is_signal = batch["row"].isna()
+                new = batch[is_signal]
+                for bucket, part in new.groupby(new["at"] // width):
+                    signals.setdefault(int(bucket), []).append(part[["at", "amount"]])
+                new = batch[~is_signal]
+                for at, part in new.groupby("at"):
+                    waits.setdefault(int(at) + ttl + 1, []).extend(part["row"])
+            for bucket, parts in signals.items():
+                if self.signals.containsKey((bucket,)):
+                    at, amount = self.signals.getValue((bucket,))
+                    parts.append(pd.DataFrame({"at": at, "amount": amount}))
+                else:
+                    self.handle.registerTimer(self._forgotten(bucket))
+                summed = pd.concat(parts).groupby("at")["amount"].sum()
+                self.signals.updateValue((bucket,), (summed.index.tolist(), summed.tolist()))
+            for due, texts in waits.items():
+                if self.held.containsKey((due,)):
+                    texts = [*self.held.getValue((due,))[0], *texts]
+                else:
+                    self.handle.registerTimer(due)
+                self.held.updateValue((due,), (texts,))
+            yield from ()
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-            total, until, _ = self.total.get() or (0, 0, 0)
-            if until <= now:
-                total, until = 0, 0
-            held = [(row, end) for row, end in self.held.get()]
-            late = [pair for pair in held if pair[1] <= now]
-            kept = [pair for pair in held if pair[1] > now]
-            if late:
-                if kept:
-                    self.held.put(kept)
-                else:
-                    self.held.clear()
-                yield self._out(late, "expired")
-            self._save(total, until, 0, kept, True)
-
-        def _save(self, total, until, timer, held, changed):
-            """Keep one timer for a group, at the first time something may end."""
-            ends = [end for _, end in held] + ([until] if until else [])
-            first = min(ends, default=0)
-            if first and (not timer or first < timer):
-                self.handle.registerTimer(first)
-                timer, changed = first, True
-            if not ends and not timer:
-                self.total.clear()
-            elif changed:
-                self.total.update((total, until, timer))
+            now = expiredTimerInfo.getExpiryTimeInMs()
+            if self.held.containsKey((now,)):
+                (texts,) = self.held.getValue((now,))
+                self.held.removeKey((now,))
+                outcome = "released" if self._sum(now - 1 - 2 * ttl, now - 1) >= target else "expired"
+                for k in range(0, len(texts), _FRAME):
+                    yield pd.DataFrame({"row": texts[k : k + _FRAME], "outcome": outcome})
+            # The bucket whose time is up, if this is its timer.
+            bucket = (now - 2 * ttl - 2) // width - 1
+            if self._forgotten(bucket) == now and self.signals.containsKey((bucket,)):
+                self.signals.removeKey((bucket,))
+
+        @staticmethod
+        def _forgotten(bucket):
+            """After the decision of the last row that a signal of the bucket counts for."""
+            return (bucket + 1) * width + 2 * ttl + 2
+
+        def _sum(self, first, last):
+            total = 0
+            for bucket in range(first // width, last // width + 1):
+                if self.signals.containsKey((bucket,)):
+                    for at, amount in zip(*self.signals.getValue((bucket,)), strict=True):
+                        if first <= at <= last:
+                            total += amount
+            return total
 
         def close(self):
             pass
 
-        @staticmethod
-        def _out(pairs, outcome):
-            return pd.DataFrame({"row": [row for row, _ in pairs], "outcome": outcome})
-
     return WaitNotify()
 
 
@@ -114,13 +115,14 @@ def wait_notify_stream(
     """Rows that wait until the signals for their key add up to ``target``.
 
     A row where ``amount`` is null waits; any other row is a signal of that
-    amount. The result has the waiting rows with an ``outcome``: ``released``, or
-    ``expired`` once the watermark is ``ttl_seconds`` past the row. Signals of a
-    key are forgotten when the watermark is as far past the last of them.
+    amount. A row is ``released`` if the signals of its key within ``ttl_seconds``
+    before and after it add up to ``target``, else ``expired``. It is decided once the
+    watermark is past that time, so the batches that rows and signals come in make no
+    difference; what the watermark declares late is dropped, as everywhere.
 
     The waiting rows of one key are spread over ``salts`` groups, and signals are
-    summed for each batch before each group gets a copy of the sum, so a key with
-    very many rows is held by several tasks.
+    summed for each batch and time before each group gets a copy of the sum, so a key
+    with very many rows is held by several tasks.
     """
     flat = df.select(
         F.col(key).cast("string").alias("key"),
@@ -129,14 +131,14 @@ def wait_notify_stream(
         F.col(ts).cast("timestamp").alias("ts"),
     )
     combined = flat.withWatermark("ts", watermark).select(
-        "key", "row", "amount", (F.unix_millis("ts") + ttl_seconds * 1000).alias("end")
-    ).mapInPandas(_combiner(), "key string, row string, amount bigint, end bigint")
+        "key", "row", "amount", F.unix_millis("ts").alias("at")
+    ).mapInPandas(_combiner(), "key string, row string, amount bigint, at bigint")
     groups = F.when(
         F.col("row").isNull(), F.array(*[F.lit(s).cast("bigint") for s in range(salts)])
     ).otherwise(F.array(F.pmod(F.xxhash64("row"), F.lit(salts).cast("bigint"))))
     salted = combined.withColumn("salt", F.explode(groups))
     out = salted.groupBy("key", "salt").transformWithStateInPandas(
-        statefulProcessor=_processor(target),
+        statefulProcessor=_processor(target, ttl_seconds * 1000),
         outputStructType="row string, outcome string",
         outputMode="append",
         timeMode="EventTime",

@@ -98,19 +98,26 @@ def stream_queue_windows(t):
 
 @query(
     "stream_wait_notify",
-    """WITH sums AS (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'purchase'
-                  GROUP BY user_id),
-    waits AS (SELECT event_id, e.user_id, coalesce(n, 0) >= 15 AS done, ts
-              FROM events e LEFT JOIN sums USING (user_id) WHERE event_type = 'signup'),
-    clock AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM events
-              WHERE event_type IN ('signup', 'purchase'))
-    SELECT event_id, user_id, CASE WHEN done THEN 'released' ELSE 'expired' END AS outcome
-    FROM waits, clock WHERE done OR ts + INTERVAL 1 DAY <= watermark""",
+    """WITH moves AS (SELECT event_id, user_id, event_type, epoch_ms(ts) AS ms FROM events
+              WHERE event_type IN ('signup', 'purchase')),
+    clock AS (SELECT max(ms) - 3600000 AS watermark FROM moves),
+    waits AS (SELECT w.event_id, w.user_id, count(s.event_id) AS n
+              FROM moves w CROSS JOIN clock LEFT JOIN moves s ON s.user_id = w.user_id
+                AND s.event_type = 'purchase' AND abs(s.ms - w.ms) <= 86400000
+              WHERE w.event_type = 'signup' AND w.ms + 86400001 < watermark
+              GROUP BY w.event_id, w.user_id)
+    SELECT event_id, user_id, CASE WHEN n >= 2 THEN 'released' ELSE 'expired' END AS outcome
+    FROM waits""",
 )
 def stream_wait_notify(t):
-    rows = _events(t).where("event_type IN ('signup', 'purchase')").select(
+    """The rows come in several files, one for each batch."""
+    folder = scratch_path(t.spark, "stream_moves")
+    moves = t.events.where("event_type IN ('signup', 'purchase')").select(
         "event_id", "user_id", "event_type", "ts"
     )
+    for days in ("day(ts) < 8", "day(ts) BETWEEN 8 AND 20", "day(ts) > 20"):
+        moves.where(days).write.mode("append").parquet(folder)
+    rows = read_stream(t.spark, "parquet", moves.schema, path=folder, **_CAP)
     is_signal = F.when(F.col("event_type") == "purchase", 1)
-    outcomes = wait_notify_stream(rows, "user_id", 15, 24 * 3600, is_signal)
+    outcomes = wait_notify_stream(rows, "user_id", 2, 24 * 3600, is_signal)
     return _drained(t, outcomes.select("event_id", "user_id", "outcome"), "stream_wait")
