@@ -1,4 +1,9 @@
-"""Routing rows to named relationships. Every route is a lazy filter of the same rows."""
+"""Routing rows to named relationships.
+
+Each operator has two forms: a frame for each relationship, every one a lazy filter of
+the same rows, for a caller that uses few of them; and all rows in one pass with the
+relationship as a column (``label_…``), for one that uses several.
+"""
 
 from __future__ import annotations
 
@@ -43,6 +48,44 @@ def route_on_attribute(
     return {**routes, UNMATCHED: df.where(~any_match)}
 
 
+def label_on_attribute(
+    df: DataFrame, predicates: Mapping[str, Column | str], mode: str = "all", name: str = "relationship"
+) -> DataFrame:
+    """As ``route_on_attribute`` in one pass: a row for each relationship, named in ``name``."""
+    if mode == "first":
+        return df.withColumn(name, route_label(predicates))
+    if mode != "all":
+        raise ValueError("mode is 'all' or 'first'")
+    found = F.filter(
+        F.array(*[F.when(_predicate(p), F.lit(relationship)) for relationship, p in predicates.items()]),
+        lambda relationship: relationship.isNotNull(),
+    )
+    # Materialised before it is tested, so each predicate is evaluated once.
+    labels = df.withColumn(name, found)
+    return labels.withColumn(
+        name, F.explode(F.when(F.size(name) > 0, F.col(name)).otherwise(F.array(F.lit(UNMATCHED))))
+    )
+
+
+def label_on_content(
+    df: DataFrame, col: str, patterns: Mapping[str, str], mode: str = "all", name: str = "relationship"
+) -> DataFrame:
+    """As ``route_on_content`` in one pass."""
+    found = {relationship: F.col(col).rlike(pattern) for relationship, pattern in patterns.items()}
+    return label_on_attribute(df, found, mode, name)
+
+
+def label_outcome(
+    df: DataFrame, ok: Column | str, reason: Column | str, name: str = "relationship"
+) -> DataFrame:
+    """As ``split_outcome`` in one pass; successful rows have a null ``reason``."""
+    good = _predicate(ok)
+    why = F.expr(reason) if isinstance(reason, str) else reason
+    return df.withColumns(
+        {name: F.when(good, "success").otherwise("failure"), "reason": F.when(~good, why)}
+    )
+
+
 def route_on_content(
     df: DataFrame, col: str, patterns: Mapping[str, str], mode: str = "all"
 ) -> dict[str, DataFrame]:
@@ -66,6 +109,24 @@ def fan_in(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def label_wait_notify(
+    waiting: DataFrame,
+    signals: DataFrame,
+    key: str,
+    target: int,
+    count_col: str | None = None,
+    name: str = "relationship",
+) -> DataFrame:
+    """As ``wait_notify`` with one aggregate and one join: ``signals`` and the relationship of each row."""
+    # Signals are summed where they are read, so a busy key sends few rows.
+    amount = F.lit(1) if count_col is None else F.col(count_col)
+    sums = signals.groupBy(key).agg(F.sum(amount).cast("bigint").alias("signals"))
+    held = lookup_join(waiting, sums, key).withColumn(
+        "signals", F.coalesce("signals", F.lit(0))
+    )
+    return held.withColumn(name, F.when(F.col("signals") >= target, "released").otherwise("waiting"))
+
+
 def wait_notify(
     waiting: DataFrame, signals: DataFrame, key: str, target: int, count_col: str | None = None
 ) -> dict[str, DataFrame]:
@@ -73,13 +134,11 @@ def wait_notify(
 
     Signals are summed where they are read, so a busy key sends few rows.
     """
-    amount = F.lit(1) if count_col is None else F.col(count_col)
-    sums = signals.groupBy(key).agg(F.sum(amount).cast("bigint").alias("signals"))
-    held = lookup_join(waiting, sums, key).withColumn(
-        "signals", F.coalesce("signals", F.lit(0))
-    )
-    done = F.col("signals") >= target
-    return {"released": held.where(done), "waiting": held.where(~done)}
+    held = label_wait_notify(waiting, signals, key, target, count_col, "_label")
+    return {
+        relationship: held.where(F.col("_label") == relationship).drop("_label")
+        for relationship in ("released", "waiting")
+    }
 
 
 def log_attributes(

@@ -326,6 +326,21 @@ def test_null_predicates_do_not_match_and_first_partitions_the_input(spark):
     assert [r.id for r in first["huge"].collect()] == []
 
 
+def test_labels_are_the_routes_in_one_pass(spark, folder):
+    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "value", "event_type")
+    predicates = {"big": "value > 50", "huge": "value > 90", "views": "event_type = 'view'"}
+    for mode in ("all", "first"):
+        labelled = routing.label_on_attribute(events, predicates, mode, "route")
+        for name, routed in routing.route_on_attribute(events, predicates, mode).items():
+            assert labelled.where(F.col("route") == name).count() == routed.count()
+        plan = labelled._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan parquet") == 1 and "Exchange" not in plan
+    parsed = routing.label_outcome(events, "value > 10", F.lit("small"))
+    assert {(r.relationship, r.reason) for r in parsed.select("relationship", "reason").distinct().collect()} == {
+        ("success", None), ("failure", "small"),
+    }
+
+
 def test_wait_counts_amounts(spark):
     waiting = frame(spark, "k string, id int", ("a", 1), ("b", 2), ("a", 3), (None, 4))
     signals = frame(spark, "k string, n int", ("a", 2), ("a", 3), ("b", 4))

@@ -254,12 +254,9 @@ _same_sql(
       WHERE event_type <> 'error' AND NOT coalesce(value > 50, false)""",
 )
 def route_on_attribute(t):
-    routes = routing.route_on_attribute(
+    return routing.label_on_attribute(
         t.events, {"errors": "event_type = 'error'", "large": "value > 50"}
-    )
-    return routing.fan_in(
-        [df.select(F.lit(name).alias("relationship"), "event_id") for name, df in routes.items()]
-    )
+    ).select("relationship", "event_id")
 
 
 @query(
@@ -268,12 +265,9 @@ def route_on_attribute(t):
              ELSE 'unmatched' END AS relationship, event_id FROM events""",
 )
 def route_first_match(t):
-    routes = routing.route_on_attribute(
+    return routing.label_on_attribute(
         t.events, {"errors": "event_type = 'error'", "large": "value > 50"}, mode="first"
-    )
-    return routing.fan_in(
-        [df.select(F.lit(name).alias("relationship"), "event_id") for name, df in routes.items()]
-    )
+    ).select("relationship", "event_id")
 
 
 @query(
@@ -285,12 +279,9 @@ def route_first_match(t):
       WHERE NOT regexp_matches(html, '<script[^>]*>') AND NOT regexp_matches(html, '<li>.*</li>')""",
 )
 def route_on_content(t):
-    routes = routing.route_on_content(
+    return routing.label_on_content(
         t.pages, "html", {"script": "<script[^>]*>", "list": "<li>.*</li>"}
-    )
-    return routing.fan_in(
-        [df.select(F.lit(name).alias("relationship"), "page_id", "url") for name, df in routes.items()]
-    )
+    ).select("relationship", "page_id", "url")
 
 
 @query(
@@ -307,10 +298,9 @@ def split_outcome(t):
     rows = t.events.select("event_id", raw.alias("raw")).withColumn(
         "parsed", F.col("raw").try_cast("int")
     )
-    routes = routing.split_outcome(
+    return routing.label_outcome(
         rows, "parsed IS NOT NULL", F.concat(F.lit("not a number: "), "raw")
-    )
-    return routing.fan_in([routes["success"], routes["failure"]])
+    ).drop("relationship")
 
 
 @query(
@@ -342,14 +332,12 @@ def fan_in_out(t):
 )
 def wait_notify(t):
     events = t.events.select("event_id", "user_id", "event_type")
-    routes = routing.wait_notify(
+    return routing.label_wait_notify(
         events.where("event_type = 'signup'").drop("event_type"),
         events.where("event_type = 'purchase'"),
         "user_id",
         15,
-    )
-    return routing.fan_in(
-        [df.withColumn("state", F.lit(name)) for name, df in routes.items()]
+        name="state",
     )
 
 
