@@ -110,6 +110,40 @@ def apply_params(params: DataFrame, sets: DataFrame, removals: DataFrame) -> Dat
     return latest.join(removed, key, "left_anti").select(*params.columns)
 
 
+# Why a text of parameters is rejected.
+REASON_NOT_ENTRIES = "parameters must be a JSON object."
+
+
+def parse_parameter_entries(df: DataFrame, context: str, json: str) -> tuple[DataFrame, DataFrame]:
+    """Parameter sets given as JSON text, as rows for ``apply_params``, and the rejects.
+
+    An entry is a value, or an object with ``value``, ``sensitive`` and ``description``;
+    what it lacks is an empty value, not sensitive, no description. The rows are
+    (context, name, value, sensitive, description) with the other columns of ``df``; a text
+    that is no JSON object is rejected as it is, with a reason. A blank text sets nothing.
+    """
+    rest = [c for c in df.columns if c not in (context, json)]
+    parsed = df.withColumn("_entries", F.try_variant_get(F.try_parse_json(json), "$", "map<string,variant>"))
+    blank = F.coalesce(F.trim(json), F.lit("")) == ""
+    entries = parsed.where(F.col("_entries").isNotNull()).select(
+        F.col(context).alias("context"), *rest, F.explode("_entries").alias("name", "_entry")
+    )
+    get = lambda path, kind="string": F.try_variant_get("_entry", path, kind)
+    is_object = F.coalesce(F.schema_of_variant("_entry").startswith("OBJECT"), F.lit(False))
+    rows = entries.select(
+        "context",
+        "name",
+        F.coalesce(F.when(is_object, get("$.value")).otherwise(get("$")), F.lit("")).alias("value"),
+        F.coalesce(F.when(is_object, get("$.sensitive", "boolean")), F.lit(False)).alias("sensitive"),
+        F.when(is_object, get("$.description")).alias("description"),
+        *rest,
+    )
+    rejects = parsed.where(F.col("_entries").isNull() & ~blank).drop("_entries").withColumn(
+        "reason", F.lit(REASON_NOT_ENTRIES)
+    )
+    return rows, rejects
+
+
 def inherited_params(params: DataFrame, inherits: DataFrame) -> DataFrame:
     """The parameters each context sees: its own and those of the contexts it inherits from.
 

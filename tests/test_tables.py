@@ -60,6 +60,19 @@ def test_repeated_and_nameless_parameters_have_one_rule(spark):
     assert rows(found, "text", "unresolved") == [("#{x}", ["x"]), ("<1>", [])]
 
 
+def test_parameter_sets_as_json(spark):
+    texts = frame(
+        spark, "c string, seq bigint, text string",
+        ("c", 1, '{"a":"1","b":{"value":"2","sensitive":true,"description":"about"},"n":3,"e":{}}'),
+        ("c", 2, "[1]"), ("c", 3, "broken"), ("c", 4, " "), ("c", 5, None),
+    )
+    found, rejects = params.parse_parameter_entries(texts, "c", "text")
+    assert rows(found, "context", "seq", "name", "value", "sensitive", "description") == [
+        ("c", 1, "a", "1", False, None), ("c", 1, "b", "2", True, "about"), ("c", 1, "e", "", False, None), ("c", 1, "n", "3", False, None),
+    ]
+    assert rows(rejects, "seq", "reason") == [(2, params.REASON_NOT_ENTRIES), (3, params.REASON_NOT_ENTRIES)]
+
+
 def test_removal_beats_set(spark):
     current = frame(spark, PARAMS, ("c", "a", "1"), ("c", "b", "2"), ("c", "keep", "3"))
     sets = frame(

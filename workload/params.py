@@ -130,6 +130,39 @@ def apply_params(t):
     return p.apply_params(roles.parameters(t), sets, removals)
 
 
+@query(
+    "apply_params_json",
+    f"""WITH {roles.PARAMETERS_SQL},
+    sets AS (SELECT p_brand AS context, p_name AS name, arg_max(p_type, p_partkey) AS value,
+                    arg_max(p_size, p_partkey) % 2 = 0 AS sensitive
+             FROM part WHERE p_size > 25 GROUP BY p_brand, p_name),
+    changed AS (SELECT * FROM sets
+      UNION ALL SELECT * FROM params p WHERE NOT EXISTS (
+        SELECT 1 FROM sets s WHERE s.context = p.context AND s.name = p.name))
+    SELECT *, CAST(NULL AS VARCHAR) AS reason FROM changed c WHERE NOT EXISTS (
+      SELECT 1 FROM part WHERE p_size < 3 AND p_brand = c.context
+        AND c.name IN (p_name, p_type))
+    UNION ALL SELECT p_brand, NULL, NULL, NULL, 'parameters must be a JSON object.' FROM part
+      WHERE p_size = 25""",
+)
+def apply_params_json(t):
+    """The sets of ``apply_params`` as JSON text, some of it broken."""
+    entry = F.struct(F.col("p_type").alias("value"), (F.col("p_size") % 2 == 0).alias("sensitive"))
+    texts = t.part.where("p_size >= 25").select(
+        F.col("p_brand").alias("context"),
+        F.when(F.col("p_size") == 25, "[1]").otherwise(F.to_json(F.create_map("p_name", entry))).alias("text"),
+        F.col("p_partkey").alias("seq"),
+    )
+    sets, rejects = p.parse_parameter_entries(texts, "context", "text")
+    removals = t.part.where("p_size < 3").select(
+        F.col("p_brand").alias("context"), F.explode(F.array("p_name", "p_type")).alias("name")
+    )
+    changed = p.apply_params(roles.parameters(t), sets, removals)
+    return changed.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        rejects.select("context", "reason"), allowMissingColumns=True
+    )
+
+
 @query(
     "inherited_params",
     """WITH levels AS (
