@@ -2,7 +2,8 @@
 
 Numbers, the units behind them and names become typed placeholders, so a question that
 was given other figures or another name has the same template. Windows of WINDOW words
-of the templates are joined by hash. Matches of one item in one document on one diagonal
+of the templates are joined by hash, and windows of the plain words as well, so that a
+window of hardly anything but placeholders is found word for word. Matches of one item in one document on one diagonal
 are one occurrence; it counts if its placeholders can be filled consistently: equal
 values of the item stand for equal values of the document, and the other way round.
 """
@@ -17,7 +18,7 @@ from millrace.session import is_small
 from .frames import prepare, stored
 
 WINDOW = 8
-# Words of a window that must not be placeholders.
+# Words of a window's template that must not be placeholders.
 LITERALS = 3
 # Items with fewer words only match a document that has no others.
 SHORTEST = 5
@@ -55,34 +56,58 @@ def _is_slot(token: Column) -> Column:
     return token < "\x04"
 
 
-def _template(tokens: Column) -> Column:
-    """The words in lower case, and only the mark of a placeholder."""
-    return F.transform(tokens, lambda t: F.when(_is_slot(t), F.left(t, F.lit(1))).otherwise(F.lower(t)))
+def _plain(token: Column) -> Column:
+    """The word in lower case, without the marks of a placeholder."""
+    return F.lower(F.translate(token, NUMBER + NAME + UNIT, ""))
 
 
-def _windows(rows: DataFrame, sizes: list[int], key: str) -> DataFrame:
-    """(key, size, at, h, slots): the windows of each size of rows (key, tokens)."""
-    rows = rows.withColumn("template", _template(F.col("tokens"))).withColumn("marked", F.exists("tokens", _is_slot))
+def _windows(rows: DataFrame, sizes: list[int], key: str, judged: bool = False) -> DataFrame:
+    """(key, size, at, h, slots, rich): the windows of each size of rows (key, tokens).
+
+    Every window has a key of its plain words, with slots null. One that holds placeholders
+    and enough other words has a key of its template, too. If ``judged``, the former has in
+    rich whether the window has enough words that are no placeholders.
+    """
+    rows = rows.select(
+        key,
+        "tokens",
+        F.transform("tokens", lambda t: F.xxhash64(_plain(t))).alias("words"),
+        F.transform("tokens", lambda t: F.when(_is_slot(t), F.xxhash64(F.left(t, F.lit(1)))).otherwise(F.xxhash64(_plain(t)))).alias("template"),
+        F.filter(F.transform("tokens", lambda t, i: F.when(_is_slot(t), i + 1)), lambda i: i.isNotNull()).alias("marked"),
+    )
     count = F.size("tokens")
+    nothing = F.array().cast("array<struct<size: int, at: int, h: bigint, slots: array<string>, rich: boolean>>")
 
     def of(size: int) -> Column:
         last = count - size + 1
-        places = F.when(last >= 1 if size >= SHORTEST else last == 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1))))
-        made = F.transform(
-            places,
-            lambda i: F.struct(
-                F.lit(size).alias("size"),
-                i.alias("at"),
-                F.xxhash64(F.slice("template", i, size)).alias("h"),
-                F.when(F.col("marked"), F.filter(F.slice("tokens", i, size), _is_slot)).alias("slots"),
-            ),
-        )
-        return F.coalesce(made, F.array().cast("array<struct<size: int, at: int, h: bigint, slots: array<string>>>"))
-
-    found = rows.select(key, F.explode(F.flatten(F.array(*map(of, sizes)))).alias("w")).select(key, "w.*")
-    # A short window is all there is of its text, so its words need no minimum.
-    enough = F.col("slots").isNull() | (F.col("size") - F.size("slots") >= LITERALS) | (F.col("size") < SHORTEST)
-    return found.where(enough)
+        fits = last >= 1 if size >= SHORTEST else last == 1
+
+        def rich(i: Column) -> Column:
+            # A short window is all there is of its text, so its words need no minimum.
+            return F.lit(True) if size < SHORTEST else F.size(F.filter("marked", lambda m: (m >= i) & (m < i + size))) <= size - LITERALS
+
+        def made(places: Column, hashes: str, slots, rich) -> Column:
+            windows = F.transform(
+                places,
+                lambda i: F.struct(
+                    F.lit(size).alias("size"),
+                    i.alias("at"),
+                    F.xxhash64(F.slice(hashes, i, size)).alias("h"),
+                    slots(i).alias("slots"),
+                    rich(i).alias("rich"),
+                ),
+            )
+            return F.coalesce(F.when(fits, windows), nothing)
+
+        every = F.sequence(F.lit(1), F.greatest(last, F.lit(1)))
+        # The windows over a placeholder.
+        over = F.transform("marked", lambda m: F.sequence(F.greatest(m - size + 1, F.lit(1)), F.greatest(F.least(m, last), F.lit(1))))
+        unknown = lambda i: F.lit(None).cast("boolean")
+        plain = made(every, "words", lambda i: F.lit(None).cast("array<string>"), rich if judged else unknown)
+        filled = made(F.array_distinct(F.flatten(over)), "template", lambda i: F.filter(F.slice("tokens", i, size), _is_slot), unknown)
+        return F.concat(plain, F.filter(filled, lambda w: size - F.size(w["slots"]) >= LITERALS) if size >= SHORTEST else filled)
+
+    return rows.select(key, F.explode(F.flatten(F.array(*map(of, sizes)))).alias("w")).select(key, "w.*")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED) -> DataFrame:
@@ -90,8 +115,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED)
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. n_windows counts the
     item's windows (one, the whole, if it is shorter than WINDOW), n_matched those found in
-    the document; at least ``covered`` percent must be. is_copy tells whether all
-    placeholders have the item's own values. Null and empty texts have no words and match
+    the document, by their template or word for word. At least ``covered`` percent must be,
+    of all windows or of those that have a template or no placeholder. is_copy tells whether
+    all placeholders have the item's own values. Null and empty texts have no words and match
     nothing; rows with a null id are left out, as they cannot be named; repeated rows give
     one result; other columns are not read.
     """
@@ -105,15 +131,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED)
     sizes = [r[0] for r in items.select("length").distinct().orderBy("length").collect()]  # WINDOW values at most
     if not sizes:
         return spark.createDataFrame([], "doc_id long, item_id long, n_matched int, n_windows int, is_copy boolean")
-    own = _windows(items.select("item_id", "tokens", "length"), sizes, "item_id").join(
+    own = _windows(items.select("item_id", "tokens"), sizes, "item_id", judged=True).join(
         items.select("item_id", "length").distinct(), "item_id"
     ).where("size = length")
-    own = stored(own.select("item_id", "size", F.col("at").alias("j"), "h", F.col("slots").alias("item_slots")), "benchmark-windows")
-    total = own.groupBy("item_id").agg(F.countDistinct("j").alias("n_windows"))
+    own = stored(own.select("item_id", "size", F.col("at").alias("j"), "h", F.col("slots").alias("item_slots"), "rich"), "benchmark-windows")
+    judged = own.where("rich is not null").groupBy("item_id", "j").agg(F.max("rich").alias("rich"))
+    total = judged.groupBy("item_id").agg(F.count("j").alias("n_windows"), F.count_if("rich").alias("n_rich"))
+    own = own.drop("rich").join(F.broadcast(judged) if is_small(judged) else judged, ["item_id", "j"])
     side = F.broadcast(own) if is_small(own) else own
 
     named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), tokens(F.col("text")).alias("tokens"))
-    found = _windows(named, sizes, "doc_id").join(side, ["h", "size"])
+    found = _windows(named, sizes, "doc_id").drop("rich").join(side, ["h", "size"])
     pairs = F.when(
         F.size("slots") == F.size("item_slots"),
         F.transform(F.arrays_zip("item_slots", "slots"), lambda p: F.struct(p["item_slots"].alias("a"), p["slots"].alias("b"))),
@@ -122,17 +150,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED)
     occurrence = (
         found.withColumn("pairs", F.coalesce(pairs, F.array().cast("array<struct<a: string, b: string>>")))
         .groupBy("doc_id", "item_id", (F.col("at") - F.col("j")).alias("diagonal"))
-        .agg(F.collect_set("j").alias("js"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+        .agg(F.collect_set(F.struct("j", "rich")).alias("js"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     )
     # How an item's value is filled in: one value each way.
     one_way = F.size("pairs") == F.size(F.array_distinct("pairs.a"))
     back = F.size("pairs") == F.size(F.array_distinct("pairs.b"))
     consistent = occurrence.where(one_way & back).withColumn("same", F.forall("pairs", lambda p: p["a"] == p["b"]))
     return (
-        consistent.select("doc_id", "item_id", "same", F.explode("js").alias("j"))
+        consistent.select("doc_id", "item_id", "same", F.explode("js").alias("at"))
+        .select("doc_id", "item_id", "same", "at.*")
+        .groupBy("doc_id", "item_id", "j")
+        .agg(F.min("same").alias("same"), F.max("rich").alias("rich"))
         .groupBy("doc_id", "item_id")
-        .agg(F.countDistinct("j").cast("int").alias("n_matched"), F.min("same").alias("is_copy"))
+        .agg(F.count("j").cast("int").alias("n_matched"), F.count_if("rich").alias("n_rich_matched"), F.min("same").alias("is_copy"))
         .join(total, "item_id")
-        .where(F.col("n_matched") * 100 >= F.col("n_windows") * covered)
+        .where((F.col("n_matched") * 100 >= F.col("n_windows") * covered) | ((F.col("n_rich_matched") >= 1) & (F.col("n_rich_matched") * 100 >= F.col("n_rich") * covered)))
         .select("doc_id", "item_id", "n_matched", F.col("n_windows").cast("int"), "is_copy")
     )

@@ -247,6 +247,15 @@ def test_templates(spark):
     assert decontaminate.contaminated(frame(spark, rows).limit(0), items).count() == 0
 
 
+def test_items_of_placeholders_are_found_word_for_word(spark):
+    table = "Year 1990 1991 1992 1993 1994 1995 1996 sums 17 28 39 41 52 63 74"
+    items = spark.createDataFrame([(1, "Solve 3 x + 5 = 20"), (2, "What is 12 + 30 + 4"), (3, table), (4, "31 41 59 26 53 58 97 93 23 84")], "item_id long, text string")
+    rows = [(1, "First: Solve 3 x + 5 = 20"), (2, "He asks: What is 12 + 30 + 4 in all"), (3, f"See {table} there"), (4, "digits 31 41 59 26 53 58 97 93 23 84")]
+    rows += [(5, "Solve 4 x + 6 = 20"), (6, "digits 31 41 59 27 53 58 97 93 24 84"), (7, re.sub("[0-9]", "7", table))]
+    got = {(r.doc_id, r.item_id): (r.n_matched, r.n_windows, r.is_copy) for r in decontaminate.contaminated(frame(spark, rows), items).collect()}
+    assert got == {(1, 1): (1, 1, True), (2, 2): (1, 1, True), (3, 3): (9, 9, True), (4, 4): (3, 3, True)}
+
+
 def test_decontamination_by_hand(spark, folder):
     docs, items = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
     plan = decontaminate.contaminated(docs, items)._jdf.queryExecution().toString()
