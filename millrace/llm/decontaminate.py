@@ -3,7 +3,7 @@
 Numbers, the units behind them and names become typed placeholders, so a question that
 was given other figures or another name has the same template. Windows of WINDOW words
 of the templates are joined by hash, and windows of the plain words as well, so that a
-window of hardly anything but placeholders is found word for word. Matches of one item in one document on one diagonal
+window of hardly anything but placeholders, or in another case, is found word for word. Matches of one item in one document on one diagonal
 are one occurrence; it counts if its placeholders can be filled consistently: equal
 values of the item stand for equal values of the document, and the other way round.
 """
@@ -40,42 +40,61 @@ NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 def tokens(text: Column) -> Column:
     """Words without punctuation; numbers, names and units keep their value behind a mark.
 
-    A name is a capitalised word inside a sentence: after a word or a comma and one space.
+    A name is a capitalised word inside a sentence: after a word or a comma and white space.
+    Units may be written in any case.
     """
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
     text = F.translate(F.coalesce(text, F.lit("")), NUMBER + NAME + UNIT, "")
+    text = F.regexp_replace(text, r"[\s\p{Z}]+", " ")
     text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", NAME + "$1")
     text = F.regexp_replace(
-        text, rf"(?<![\p{{L}}\p{{N}}{NUMBER}-{UNIT}])(\d+(?:[.,:/]\d+)*)(?: ?({units}))?(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1 {UNIT}$2"
+        text, rf"(?<![\p{{L}}\p{{N}}{NUMBER}-{UNIT}])(\d+(?:[.,:/]\d+)*)(?: ?((?i:{units})))?(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1 {UNIT}$2"
     )
     text = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}\s{NUMBER}-{UNIT}]+", "")
-    return F.filter(F.split(text, r"\s+"), lambda t: (t != "") & (t != UNIT))
+    return F.filter(F.split(text, " "), lambda t: (t != "") & (t != UNIT))
 
 
 def _is_slot(token: Column) -> Column:
     return token < "\x04"
 
 
+def _is_name(token: Column) -> Column:
+    return F.left(token, F.lit(1)) == NAME
+
+
 def _plain(token: Column) -> Column:
-    """The word in lower case, without the marks of a placeholder."""
-    return F.lower(F.translate(token, NUMBER + NAME + UNIT, ""))
+    """The word in lower case (by way of upper case, as for the German sharp s), without the marks of a placeholder."""
+    return F.lower(F.upper(F.translate(token, NUMBER + NAME + UNIT, "")))
 
 
 def _windows(rows: DataFrame, sizes: list[int], key: str, judged: bool = False) -> DataFrame:
     """(key, size, at, h, slots, rich): the windows of each size of rows (key, tokens).
 
-    Every window has a key of its plain words, with slots null. One that holds placeholders
-    and enough other words has a key of its template, too. If ``judged``, the former has in
-    rich whether the window has enough words that are no placeholders.
+    Every window has a key of its plain words, with slots null. Those with enough other
+    words have a key of their template, too, if they hold a name, and one in which names
+    are words, if they hold a number: names are told by their case, which a copy may not
+    have. If ``judged``, the key of plain words has in rich whether the window has enough
+    words that are no placeholders.
     """
+    rows = rows.select(key, "tokens", F.transform("tokens", _plain).alias("folded"))
     rows = rows.select(
         key,
-        "tokens",
-        F.transform("tokens", lambda t: F.xxhash64(_plain(t))).alias("words"),
-        F.transform("tokens", lambda t: F.when(_is_slot(t), F.xxhash64(F.left(t, F.lit(1)))).otherwise(F.xxhash64(_plain(t)))).alias("template"),
-        F.filter(F.transform("tokens", lambda t, i: F.when(_is_slot(t), i + 1)), lambda i: i.isNotNull()).alias("marked"),
+        F.transform("folded", lambda t: F.xxhash64(t)).alias("words"),
+        # Values in lower case behind their mark, null for a word.
+        F.transform("tokens", lambda t, i: F.when(_is_slot(t), F.concat(F.left(t, F.lit(1)), F.element_at("folded", i + 1)))).alias("values"),
     )
-    count = F.size("tokens")
+    rows = rows.select(
+        key,
+        "words",
+        "values",
+        F.transform("values", lambda v: F.when(_is_name(v), F.lit(None)).otherwise(v)).alias("figures"),
+        F.filter(F.transform("values", lambda v, i: F.when(v.isNotNull(), i + 1)), lambda i: i.isNotNull()).alias("marked"),
+        F.filter(F.transform("values", lambda v, i: F.when(_is_name(v), i + 1)), lambda i: i.isNotNull()).alias("named"),
+    ).withColumn("figured", F.array_except("marked", "named"))
+    for values in ("values", "figures"):
+        hashes = F.zip_with("words", values, lambda w, v: F.when(v.isNull(), w).otherwise(F.xxhash64(F.left(v, F.lit(1)))))
+        rows = rows.withColumn(f"template_{values}", hashes)
+    count = F.size("words")
     nothing = F.array().cast("array<struct<size: int, at: int, h: bigint, slots: array<string>, rich: boolean>>")
 
     def of(size: int) -> Column:
@@ -100,12 +119,19 @@ def _windows(rows: DataFrame, sizes: list[int], key: str, judged: bool = False)
             return F.coalesce(F.when(fits, windows), nothing)
 
         every = F.sequence(F.lit(1), F.greatest(last, F.lit(1)))
-        # The windows over a placeholder.
-        over = F.transform("marked", lambda m: F.sequence(F.greatest(m - size + 1, F.lit(1)), F.greatest(F.least(m, last), F.lit(1))))
+
+        def over(places: str) -> Column:
+            around = F.transform(places, lambda m: F.sequence(F.greatest(m - size + 1, F.lit(1)), F.greatest(F.least(m, last), F.lit(1))))
+            return F.array_distinct(F.flatten(around))
+
+        def filled(places: str, values: str) -> Column:
+            slots = lambda i: F.filter(F.slice(values, i, size), lambda v: v.isNotNull())
+            windows = made(over(places), f"template_{values}", slots, unknown)
+            return F.filter(windows, lambda w: size - F.size(w["slots"]) >= LITERALS) if size >= SHORTEST else windows
+
         unknown = lambda i: F.lit(None).cast("boolean")
         plain = made(every, "words", lambda i: F.lit(None).cast("array<string>"), rich if judged else unknown)
-        filled = made(F.array_distinct(F.flatten(over)), "template", lambda i: F.filter(F.slice("tokens", i, size), _is_slot), unknown)
-        return F.concat(plain, F.filter(filled, lambda w: size - F.size(w["slots"]) >= LITERALS) if size >= SHORTEST else filled)
+        return F.concat(plain, filled("named", "values"), filled("figured", "figures"))
 
     return rows.select(key, F.explode(F.flatten(F.array(*map(of, sizes)))).alias("w")).select(key, "w.*")
 

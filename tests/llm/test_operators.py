@@ -256,6 +256,16 @@ def test_items_of_placeholders_are_found_word_for_word(spark):
     assert got == {(1, 1): (1, 1, True), (2, 2): (1, 1, True), (3, 3): (9, 9, True), (4, 4): (3, 3, True)}
 
 
+def test_case_and_white_space_hide_no_item(spark):
+    item = "Gestern hat der Bauer Peter auf dem Markt in Berlin 12 Äpfel und 5 kg Birnen an die große Schule der Stadt verkauft."
+    other = item.replace("12", "31").replace("5 kg", "7 g")
+    rows = [(1, item.lower()), (2, item.upper()), (3, item.replace(" ", "\n  ")), (4, item.title()), (5, other.lower()), (6, other.upper())]
+    rows += [(7, re.sub(" (?=[A-ZÄ])", "\u00a0\r\n", other.replace("Peter", "Paul"))), (8, "Morgen kauft die Schule keine Birnen auf dem Markt in Berlin und auch sonst nichts.")]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r.is_copy for r in decontaminate.contaminated(frame(spark, rows), items).collect()}
+    assert got == {1: True, 2: True, 3: True, 4: True, 5: False, 6: False, 7: False}
+
+
 def test_decontamination_by_hand(spark, folder):
     docs, items = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
     plan = decontaminate.contaminated(docs, items)._jdf.queryExecution().toString()
