@@ -24,6 +24,8 @@ LITERALS = 3
 SHORTEST = 5
 # Share of an item's windows that a document must have, in percent.
 COVERED = 50
+# Or so many running words of it, however long the item is.
+RUN = 13
 
 # Units of measure.
 UNITS = [
@@ -142,7 +144,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED)
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. n_windows counts the
     item's windows (one, the whole, if it is shorter than WINDOW), n_matched those found in
     the document, by their template or word for word. At least ``covered`` percent must be,
-    of all windows or of those that have a template or no placeholder. is_copy tells whether
+    of all windows or of those that have a template or no placeholder, or the windows of RUN
+    running words in one occurrence. is_copy tells whether
     all placeholders have the item's own values. Null and empty texts have no words and match
     nothing; rows with a null id are left out, as they cannot be named; repeated rows give
     one result; other columns are not read.
@@ -182,14 +185,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED)
     one_way = F.size("pairs") == F.size(F.array_distinct("pairs.a"))
     back = F.size("pairs") == F.size(F.array_distinct("pairs.b"))
     consistent = occurrence.where(one_way & back).withColumn("same", F.forall("pairs", lambda p: p["a"] == p["b"]))
+    # The first and last of RUN - WINDOW + 1 windows in order lie as far apart as in an unbroken run.
+    step = RUN - WINDOW
+    place = lambda i: F.element_at("place", i)
+    consistent = consistent.withColumn("place", F.array_sort(F.array_distinct("js.j"))).withColumn(
+        "run", F.when(F.size("place") > step, F.exists(F.sequence(F.lit(1), F.size("place") - step), lambda i: place(i + step) - place(i) == step)).otherwise(False)
+    )
+    share = lambda part, whole: (F.col(part) >= 1) & (F.col(part) * 100 >= F.col(whole) * covered)
     return (
-        consistent.select("doc_id", "item_id", "same", F.explode("js").alias("at"))
-        .select("doc_id", "item_id", "same", "at.*")
+        consistent.select("doc_id", "item_id", "same", "run", F.explode("js").alias("at"))
+        .select("doc_id", "item_id", "same", "run", "at.*")
         .groupBy("doc_id", "item_id", "j")
-        .agg(F.min("same").alias("same"), F.max("rich").alias("rich"))
+        .agg(F.min("same").alias("same"), F.max("rich").alias("rich"), F.max("run").alias("run"))
         .groupBy("doc_id", "item_id")
-        .agg(F.count("j").cast("int").alias("n_matched"), F.count_if("rich").alias("n_rich_matched"), F.min("same").alias("is_copy"))
+        .agg(F.count("j").cast("int").alias("n_matched"), F.count_if("rich").alias("n_rich_matched"), F.min("same").alias("is_copy"), F.max("run").alias("run"))
         .join(total, "item_id")
-        .where((F.col("n_matched") * 100 >= F.col("n_windows") * covered) | ((F.col("n_rich_matched") >= 1) & (F.col("n_rich_matched") * 100 >= F.col("n_rich") * covered)))
+        .where(share("n_matched", "n_windows") | share("n_rich_matched", "n_rich") | F.col("run"))
         .select("doc_id", "item_id", "n_matched", F.col("n_windows").cast("int"), "is_copy")
     )

@@ -266,6 +266,17 @@ def test_case_and_white_space_hide_no_item(spark):
     assert got == {1: True, 2: True, 3: True, 4: True, 5: False, 6: False, 7: False}
 
 
+def test_a_passage_of_a_long_item_is_found(spark):
+    chance = random.Random(3)
+    w = words(chance, 500)
+    far = words(chance, 40)
+    items = spark.createDataFrame([(1, " ".join(w)), (2, "1 2 " + " ".join(far))], "item_id long, text string")
+    rows = [(1, " ".join(w[100:300])), (2, "before it " + " ".join(w[480:493]) + " behind it"), (3, " ".join(w[480:492]) + " behind it")]
+    rows += [(4, " ".join([*w[10:20], "else", *w[20:30], "else", *w[30:40]])), (5, " ".join(w))]
+    got = {(r.doc_id, r.item_id): (r.n_matched, r.n_windows) for r in decontaminate.contaminated(frame(spark, rows), items).collect()}
+    assert got == {(1, 1): (193, 493), (2, 1): (6, 493), (5, 1): (493, 493)}
+
+
 def test_decontamination_by_hand(spark, folder):
     docs, items = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
     plan = decontaminate.contaminated(docs, items)._jdf.queryExecution().toString()
