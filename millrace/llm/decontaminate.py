@@ -4,8 +4,9 @@ Numbers, the units behind them and names become typed placeholders, so a questio
 was given other figures or another name has the same template. Windows of WINDOW words
 of the templates are joined by hash, and windows of the plain words as well, so that a
 window of hardly anything but placeholders, or in another case, is found word for word. Matches of one item in one document on one diagonal
-are one occurrence; it counts if its placeholders can be filled consistently: equal
-values of the item stand for equal values of the document, and the other way round.
+are one occurrence. Equal values of the item must stand for equal values of the document
+in it: windows with a value that has several there do not count, unless they have the
+item's own values.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ UNITS = [
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 
 
-def tokens(text: Column) -> Column:
-    """Words without punctuation; numbers, names and units keep their value behind a mark.
+def marked(text: Column) -> Column:
+    """The words without punctuation, a space between them; numbers, names and units keep their value behind a mark.
 
     A name is a capitalised word inside a sentence: after a word or a comma and white space.
     Units may be written in any case.
@@ -53,6 +54,11 @@ def tokens(text: Column) -> Column:
         text, rf"(?<![\p{{L}}\p{{N}}{NUMBER}-{UNIT}])(\d+(?:[.,:/]\d+)*)(?: ?((?i:{units})))?(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1 {UNIT}$2"
     )
     text = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}\s{NUMBER}-{UNIT}]+", "")
+    return text
+
+
+def tokens(text: Column) -> Column:
+    """The words of a marked text."""
     return F.filter(F.split(text, " "), lambda t: (t != "") & (t != UNIT))
 
 
@@ -64,13 +70,13 @@ def _is_name(token: Column) -> Column:
     return F.left(token, F.lit(1)) == NAME
 
 
-def _plain(token: Column) -> Column:
-    """The word in lower case (by way of upper case, as for the German sharp s), without the marks of a placeholder."""
-    return F.lower(F.upper(F.translate(token, NUMBER + NAME + UNIT, "")))
+def _folded(text: Column) -> Column:
+    """In lower case, by way of upper case, as for the German sharp s."""
+    return F.lower(F.upper(text))
 
 
 def _windows(rows: DataFrame, sizes: list[int], key: str, judged: bool = False) -> DataFrame:
-    """(key, size, at, h, slots, rich): the windows of each size of rows (key, tokens).
+    """(key, size, at, h, slots, rich): the windows of each size of rows (key, text), texts marked.
 
     Every window has a key of its plain words, with slots null. Those with enough other
     words have a key of their template, too, if they hold a name, and one in which names
@@ -78,24 +84,32 @@ def _windows(rows: DataFrame, sizes: list[int], key: str, judged: bool = False)
     have. If ``judged``, the key of plain words has in rich whether the window has enough
     words that are no placeholders.
     """
-    rows = rows.select(key, "tokens", F.transform("tokens", _plain).alias("folded"))
+    rows = rows.select(key, _folded(F.col("text")).alias("text")).select(
+        key,
+        F.transform(tokens(F.translate("text", NUMBER + NAME + UNIT, "")), lambda t: F.xxhash64(t)).alias("words"),
+        # Null for a text without placeholders, which most steps then skip.
+        F.when(F.col("text").rlike(f"[{NUMBER}-{UNIT}]"), tokens(F.col("text"))).alias("tokens"),
+    )
     rows = rows.select(
         key,
-        F.transform("folded", lambda t: F.xxhash64(t)).alias("words"),
-        # Values in lower case behind their mark, null for a word.
-        F.transform("tokens", lambda t, i: F.when(_is_slot(t), F.concat(F.left(t, F.lit(1)), F.element_at("folded", i + 1)))).alias("values"),
+        "words",
+        # Values behind their mark, null for a word.
+        F.transform("tokens", lambda t: F.when(_is_slot(t), t)).alias("values"),
+        F.filter(F.transform("tokens", lambda t, i: F.when(_is_slot(t), i + 1)), lambda i: i.isNotNull()).alias("marked"),
+        F.filter(F.transform("tokens", lambda t, i: F.when(_is_name(t), i + 1)), lambda i: i.isNotNull()).alias("named"),
     )
     rows = rows.select(
         key,
         "words",
         "values",
-        F.transform("values", lambda v: F.when(_is_name(v), F.lit(None)).otherwise(v)).alias("figures"),
-        F.filter(F.transform("values", lambda v, i: F.when(v.isNotNull(), i + 1)), lambda i: i.isNotNull()).alias("marked"),
-        F.filter(F.transform("values", lambda v, i: F.when(_is_name(v), i + 1)), lambda i: i.isNotNull()).alias("named"),
-    ).withColumn("figured", F.array_except("marked", "named"))
-    for values in ("values", "figures"):
+        "marked",
+        F.when(F.size("named") > 0, F.col("named")).alias("named"),
+        F.when(F.size("marked") > F.size("named"), F.array_except("marked", "named")).alias("figured"),
+    )
+    rows = rows.withColumn("figures", F.when(F.col("figured").isNotNull(), F.transform("values", lambda v: F.when(~_is_name(v), v))))
+    for places, values in (("named", "values"), ("figured", "figures")):
         hashes = F.zip_with("words", values, lambda w, v: F.when(v.isNull(), w).otherwise(F.xxhash64(F.left(v, F.lit(1)))))
-        rows = rows.withColumn(f"template_{values}", hashes)
+        rows = rows.withColumn(f"template_{values}", F.when(F.col(places).isNotNull(), hashes))
     count = F.size("words")
     nothing = F.array().cast("array<struct<size: int, at: int, h: bigint, slots: array<string>, rich: boolean>>")
 
@@ -105,7 +119,7 @@ def _windows(rows: DataFrame, sizes: list[int], key: str, judged: bool = False)
 
         def rich(i: Column) -> Column:
             # A short window is all there is of its text, so its words need no minimum.
-            return F.lit(True) if size < SHORTEST else F.size(F.filter("marked", lambda m: (m >= i) & (m < i + size))) <= size - LITERALS
+            return F.lit(True) if size < SHORTEST else F.coalesce(F.size(F.filter("marked", lambda m: (m >= i) & (m < i + size))), F.lit(0)) <= size - LITERALS
 
         def made(places: Column, hashes: str, slots, rich) -> Column:
             windows = F.transform(
@@ -129,7 +143,8 @@ def _windows(rows: DataFrame, sizes: list[int], key: str, judged: bool = False)
         def filled(places: str, values: str) -> Column:
             slots = lambda i: F.filter(F.slice(values, i, size), lambda v: v.isNotNull())
             windows = made(over(places), f"template_{values}", slots, unknown)
-            return F.filter(windows, lambda w: size - F.size(w["slots"]) >= LITERALS) if size >= SHORTEST else windows
+            windows = F.filter(windows, lambda w: size - F.size(w["slots"]) >= LITERALS) if size >= SHORTEST else windows
+            return F.when(F.col(places).isNotNull(), windows).otherwise(nothing)
 
         unknown = lambda i: F.lit(None).cast("boolean")
         plain = made(every, "words", lambda i: F.lit(None).cast("array<string>"), rich if judged else unknown)
@@ -146,21 +161,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED)
     the document, by their template or word for word. At least ``covered`` percent must be,
     of all windows or of those that have a template or no placeholder, or the windows of RUN
     running words in one occurrence. is_copy tells whether
-    all placeholders have the item's own values. Null and empty texts have no words and match
+each window found has the item's own values somewhere. Null and empty texts have no words and match
     nothing; rows with a null id are left out, as they cannot be named; repeated rows give
     one result; other columns are not read.
     """
     spark = prepare(docs.sparkSession)
     items = (
         benchmark.where("item_id is not null")
-        .select(F.col("item_id").cast("long"), tokens(F.col("text")).alias("tokens"))
-        .where(F.size("tokens") > 0)
-        .withColumn("length", F.least(F.size("tokens"), F.lit(WINDOW)))
+        .select(F.col("item_id").cast("long"), marked(F.col("text")).alias("text"))
+        .withColumn("length", F.least(F.size(tokens(F.col("text"))), F.lit(WINDOW)))
+        .where("length > 0")
     )
     sizes = [r[0] for r in items.select("length").distinct().orderBy("length").collect()]  # WINDOW values at most
     if not sizes:
         return spark.createDataFrame([], "doc_id long, item_id long, n_matched int, n_windows int, is_copy boolean")
-    own = _windows(items.select("item_id", "tokens"), sizes, "item_id", judged=True).join(
+    own = _windows(items.select("item_id", "text"), sizes, "item_id", judged=True).join(
         items.select("item_id", "length").distinct(), "item_id"
     ).where("size = length")
     own = stored(own.select("item_id", "size", F.col("at").alias("j"), "h", F.col("slots").alias("item_slots"), "rich"), "benchmark-windows")
@@ -169,36 +184,53 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED)
     own = own.drop("rich").join(F.broadcast(judged) if is_small(judged) else judged, ["item_id", "j"])
     side = F.broadcast(own) if is_small(own) else own
 
-    named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), tokens(F.col("text")).alias("tokens"))
-    found = _windows(named, sizes, "doc_id").drop("rich").join(side, ["h", "size"])
+    # Rows that repeat an id with another text are occurrences of their own.
+    named = docs.where("doc_id is not null").select(
+        F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("d")).alias("doc"), marked(F.col("text")).alias("text")
+    )
+    found = _windows(named, sizes, "doc").drop("rich").join(side, ["h", "size"])
+    none = F.array().cast("array<struct<a: string, b: string>>")
     pairs = F.when(
         F.size("slots") == F.size("item_slots"),
         F.transform(F.arrays_zip("item_slots", "slots"), lambda p: F.struct(p["item_slots"].alias("a"), p["slots"].alias("b"))),
-    ).otherwise(F.array().cast("array<struct<a: string, b: string>>"))
+    ).otherwise(none)
     # One occurrence has at most the item's windows, so its lists are bounded by the item.
     occurrence = (
-        found.withColumn("pairs", F.coalesce(pairs, F.array().cast("array<struct<a: string, b: string>>")))
-        .groupBy("doc_id", "item_id", (F.col("at") - F.col("j")).alias("diagonal"))
-        .agg(F.collect_set(F.struct("j", "rich")).alias("js"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+        found.withColumn("pairs", F.coalesce(pairs, none))
+        .groupBy("doc", "item_id", (F.col("at") - F.col("j")).alias("diagonal"))
+        .agg(F.collect_set(F.struct("j", "rich", "pairs")).alias("js"))
+        .withColumn("pairs", F.array_sort(F.array_distinct(F.flatten("js.pairs"))))
+    )
+    # The item's values that stand for several: in order, they follow each other.
+    pair = lambda i: F.element_at("pairs", i)
+    follows = F.when(F.size("pairs") > 1, F.filter(F.sequence(F.lit(1), F.size("pairs") - 1), lambda i: pair(i)["a"] == pair(i + 1)["a"]))
+    torn = F.coalesce(F.transform(follows, lambda i: pair(i)["a"]), F.array().cast("array<string>"))
+    consistent = occurrence.withColumn("torn", torn).withColumn(
+        "js",
+        F.transform(
+            F.transform("js", lambda w: F.struct(w["j"].alias("j"), w["rich"].alias("rich"), F.forall(w["pairs"], lambda p: p["a"] == p["b"]).alias("same"), w["pairs"].alias("pairs"))),
+            lambda w: F.struct(w["j"].alias("j"), w["rich"].alias("rich"), w["same"].alias("same"), (w["same"] | ~F.arrays_overlap(w["pairs"]["a"], "torn")).alias("whole")),
+        ),
     )
-    # How an item's value is filled in: one value each way.
-    one_way = F.size("pairs") == F.size(F.array_distinct("pairs.a"))
-    back = F.size("pairs") == F.size(F.array_distinct("pairs.b"))
-    consistent = occurrence.where(one_way & back).withColumn("same", F.forall("pairs", lambda p: p["a"] == p["b"]))
     # The first and last of RUN - WINDOW + 1 windows in order lie as far apart as in an unbroken run.
     step = RUN - WINDOW
     place = lambda i: F.element_at("place", i)
-    consistent = consistent.withColumn("place", F.array_sort(F.array_distinct("js.j"))).withColumn(
+    consistent = consistent.withColumn("place", F.array_sort(F.array_distinct(F.filter("js", lambda w: w["whole"])["j"]))).withColumn(
         "run", F.when(F.size("place") > step, F.exists(F.sequence(F.lit(1), F.size("place") - step), lambda i: place(i + step) - place(i) == step)).otherwise(False)
     )
     share = lambda part, whole: (F.col(part) >= 1) & (F.col(part) * 100 >= F.col(whole) * covered)
     return (
-        consistent.select("doc_id", "item_id", "same", "run", F.explode("js").alias("at"))
-        .select("doc_id", "item_id", "same", "run", "at.*")
+        consistent.select("doc.doc_id", "item_id", "run", F.explode("js").alias("at"))
+        .select("doc_id", "item_id", "run", "at.*")
         .groupBy("doc_id", "item_id", "j")
-        .agg(F.min("same").alias("same"), F.max("rich").alias("rich"), F.max("run").alias("run"))
+        .agg(*(F.max(c).alias(c) for c in ("rich", "run", "same", "whole")))
         .groupBy("doc_id", "item_id")
-        .agg(F.count("j").cast("int").alias("n_matched"), F.count_if("rich").alias("n_rich_matched"), F.min("same").alias("is_copy"), F.max("run").alias("run"))
+        .agg(
+            F.count_if("whole").cast("int").alias("n_matched"),
+            F.count_if(F.col("whole") & F.col("rich")).alias("n_rich_matched"),
+            F.min("same").alias("is_copy"),
+            F.max("run").alias("run"),
+        )
         .join(total, "item_id")
         .where(share("n_matched", "n_windows") | share("n_rich_matched", "n_rich") | F.col("run"))
         .select("doc_id", "item_id", "n_matched", F.col("n_windows").cast("int"), "is_copy")

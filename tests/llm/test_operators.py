@@ -277,6 +277,17 @@ def test_a_passage_of_a_long_item_is_found(spark):
     assert got == {(1, 1): (193, 493), (2, 1): (6, 493), (5, 1): (493, 493)}
 
 
+def test_a_conflict_of_values_costs_its_windows_only(spark):
+    sums = "A train that needs 12 minutes for a way of 5 km and a car on the road beside it meet at the bridge"
+    twice = "There were 40 boats in the old harbour when the storm came and after a long night without any light all of the 40 boats had gone down with their crews"
+    rows = [(1, sums.replace("12", "6").replace("5", "6")), (2, twice.replace("40 boats in", "44 boats in")), (3, twice), (4, twice.replace("40", "44"))]
+    rows += [(5, twice), (5, twice.replace("40", "41")), (5, twice.replace("40", "42"))]
+    items = spark.createDataFrame([(1, sums), (2, twice)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_matched, r.n_windows, r.is_copy) for r in decontaminate.contaminated(frame(spark, rows), items).collect()}
+    # Only the three windows over the edited number are lost.
+    assert got == {(1, 1): (17, 17, False), (2, 2): (21, 24, False), (3, 2): (24, 24, True), (4, 2): (24, 24, False), (5, 2): (24, 24, True)}
+
+
 def test_decontamination_by_hand(spark, folder):
     docs, items = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
     plan = decontaminate.contaminated(docs, items)._jdf.queryExecution().toString()
