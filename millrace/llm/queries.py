@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, packing, pii, quality_model, quality_rules, sentence_dedup, suffix_dedup, toxicity
+from . import conversation_repair, decontaminate, language, minhash, packing, pii, quality_model, quality_rules, sentence_dedup, suffix_dedup, toxicity
 from .frames import table
 
 # Files of the public tokenizer; every executor has them in the same place.
@@ -75,3 +75,8 @@ def op6_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, RANKS)
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
