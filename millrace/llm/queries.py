@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversation_repair, decontaminate, language, minhash, packing, pii, quality_model, quality_rules, sentence_dedup, suffix_dedup, toxicity
+from . import conversation_repair, decontaminate, jaccard_join, language, minhash, packing, pii, quality_model, quality_rules, sentence_dedup, spelling, suffix_dedup, toxicity
 from .frames import table
 
 # Files of the public tokenizer; every executor has them in the same place.
@@ -80,3 +80,19 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_ngram_jaccard_join"] = jaccard_join.oracle()
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_spelling_variants"] = spelling.oracle()
