@@ -1,8 +1,10 @@
 """Pipelines from the builder and from JSON, in batch and as a stream; sources and sinks."""
 
 import json
+import random
 import tempfile
 import time
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -298,6 +300,32 @@ def test_wait_notify_does_not_depend_on_the_batches(spark, tmp, files):
     assert rows(out) == [(1, "a", "released"), (3, "b", "expired"), (7, "a", "released")]
 
 
+@pytest.mark.parametrize("files, chunk", [(1, 4096), (3, 5), (30, 5)])
+def test_wait_notify_by_running_sums(spark, tmp, files, chunk):
+    """Busy keys with sealed chunks of state, out of order, against every pair of row and signal."""
+    chance, minute = random.Random(6), datetime(2024, 1, 1)
+    moves = []
+    for i in range(360):
+        at = minute + timedelta(minutes=i, seconds=chance.choice([0, 0, 30, -300]))
+        kind = chance.choice(["wait", "signal"])
+        moves.append((i, chance.choice("aab"), kind, chance.randint(0, 2) if kind == "signal" else None, str(at)))
+    moves.append((999, "z", "signal", 1, "2024-01-02 00:00:00"))
+    size = -(-len(moves) // files)
+    for k in range(0, len(moves), size):
+        _put(spark, f"{tmp}/in", *moves[k : k + size])
+    amount = F.when(F.col("kind") == "signal", F.col("n"))
+    df = wait_notify_stream(_stream(spark, f"{tmp}/in", EVENTS), "k", 12, 1200, amount, watermark="10 minutes", salts=2, chunk=chunk)
+    found = rows(_drain(df.select("id", "outcome"), tmp, "out"))
+    time = {m[0]: datetime.fromisoformat(m[4]) for m in moves}
+    wanted = []
+    for i, k, kind, _, _ in moves:
+        if kind == "wait":
+            near = [n for j, key, other, n, _ in moves if key == k and other == "signal" and abs(time[j] - time[i]) <= timedelta(seconds=1200)]
+            wanted.append((i, "released" if sum(near) >= 12 else "expired"))
+    assert found == sorted(wanted, key=repr)
+    assert {"released", "expired"} == {o for _, o in wanted}
+
+
 def test_stream_equals_batch(spark, tmp, folder):
     flow = (
         Pipeline.create("x")
