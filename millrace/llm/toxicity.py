@@ -27,6 +27,8 @@ from .frames import prepare, remainder
 # Labelled documents for the fit, at most about so many of each label; a fifth of them
 # sets the document score.
 TRAIN_DOCS = 1500
+# Longer texts, in bytes, are not learnt from, which bounds what the driver holds; they are scored whole.
+TRAIN_BYTES = 100_000
 DIM = 1 << 18
 PREFIXES = (4, 5, 6, 8)
 SEGMENT = 128
@@ -39,7 +41,7 @@ LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0
 def tokens(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(features of each token, first bytes, end bytes, where each value's tokens start and the end).
 
-    ``values`` are lower-cased texts; the features are indices below DIM: the form, its
+    ``values`` are folded texts; the features are indices below DIM: the form, its
     beginnings and the forms before and behind it.
     """
     data, starts = arrays.join(values)
@@ -58,6 +60,23 @@ def tokens(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return found, first, last, bounds
 
 
+class _Folding(dict):
+    """Lower case of each letter that has one with as many bytes, so offsets hold in every text."""
+
+    def __missing__(self, letter: int) -> str:
+        lower = chr(letter).lower()
+        self[letter] = lower if len(lower) == 1 and len(arrays.utf8(lower)) == len(arrays.utf8(chr(letter))) else chr(letter)
+        return self[letter]
+
+
+_FOLDING = _Folding()
+
+
+def folded(text: str | None) -> bytes:
+    """A text as it is scored and learnt from; none for a null."""
+    return arrays.utf8(text.translate(_FOLDING) if isinstance(text, str) else None)
+
+
 class Field:
     """Weights of the toxic tag (the other tag's are 0) and of the four tag pairs."""
 
@@ -207,7 +226,7 @@ def fit(rows: list[tuple[int, str, float, bool]]) -> tuple[Field, np.ndarray]:
     field = Field(np.zeros(DIM), -3.0, np.zeros((2, 2)))
     if any(r[0] for r in part[0]) and not all(r[0] for r in part[0]):
         toxic = np.array([r[0] for r in part[0]])
-        features, _, _, bounds = tokens([arrays.utf8(r[1].lower()) for r in part[0]])
+        features, _, _, bounds = tokens([folded(r[1]) for r in part[0]])
         weight = np.ones(len(features))
         tags = token_labels(features, bounds, toxic)
         field = fit_field(features, bounds, tags, weight)
@@ -217,7 +236,7 @@ def fit(rows: list[tuple[int, str, float, bool]]) -> tuple[Field, np.ndarray]:
     judge = part[1] or part[0]
     if not judge:
         return field, np.zeros(4)
-    _, x = _scored(field, [arrays.utf8(r[1].lower()) for r in judge])
+    _, x = _scored(field, [folded(r[1]) for r in judge])
     return field, logistic(x, np.array([r[0] for r in judge], float), np.array([r[2] for r in judge]))
 
 
@@ -267,7 +286,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Field, np.ndarray]:
     keep = F.when(F.col("toxic") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < keep * 1_000_000)
     # About 2 * TRAIN_DOCS ids, whatever the input.
-    texts = docs.where("text is not null").select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
+    texts = docs.where("text is not null").where(F.octet_length("text") <= TRAIN_BYTES).select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
     rows = texts.withColumn("judge", F.pmod(F.xxhash64("doc_id", F.lit("judge")), F.lit(5)) == 0).orderBy("doc_id", "text").collect()
     return fit([(r["toxic"], r["text"], 1 / share[r["toxic"]], r["judge"]) for r in rows])
 
@@ -289,9 +308,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         field = Field(weights, bias, pairs)
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            # Lower case of the same length only, so offsets hold.
-            lower = [x if len(x) == len(t) and len(arrays.utf8(x)) == len(arrays.utf8(t)) else t for t, x in ((t, t.lower()) for t in texts)]
-            hot, x = _scored(field, [arrays.utf8(t) for t in lower])
+            hot, x = _scored(field, [folded(t) for t in texts])
             p = 1 / (1 + np.exp(-np.clip(x @ document[:3] + document[3], -30, 30)))
             spans = [[{"start": a, "end": b} for a, b in _spans(t, h)] for t, h in zip(texts, hot, strict=True)]
             yield pd.DataFrame({"doc_id": batch["doc_id"].array, "held_out": batch["held_out"].array, "score": p, "predicted": (p >= 0.5).astype(int), "spans": spans})

@@ -144,29 +144,64 @@ def test_cover_order_sorts_suffixes():
         assert [text[i : i + 100] for i in order] == sorted(text[i : i + 100] for i in range(len(text)))
 
 
-def sentences_by_hand(rows, span=3):
-    seen, out = set(), {}
+def pieces_by_hand(text):
+    """(words, word index at which each piece begins, piece starts of spans), one window at a time."""
+    found = list(re.finditer(rb"[^\x20\x09-\x0D]+", text))
+    words = [m[0] for m in found]
+    data, _ = arrays.join([text])
+    order = arrays.Rolling(data).of(np.array([m.start() for m in found], int), np.array([m.end() for m in found], int)).tolist()
+
+    def least(size):
+        windows = [range(k, k + size) for k in range(len(words) - size + 1)]
+        return {i for w in windows for i in w if order[i] == min(order[j] for j in w)}
+
+    starts = {0} | least(sentence_dedup.START) if words else set()
+    cuts = starts | least(sentence_dedup.CUT)
+    for k in range(1, len(words)):
+        if words[k - 1][-1:] in (b".", b"!", b"?") or b"\n" in text[found[k - 1].end() : found[k].start()]:
+            cuts.add(k)
+    return words, sorted(cuts), sorted(starts)
+
+
+def spans_by_hand(text):
+    """(first piece, end piece, words) of each span of one text."""
+    words, cuts, starts = pieces_by_hand(text)
+    edges, out = [*cuts, len(words)], []
+    for start in starts:
+        p = cuts.index(start)
+        e = next((e for e in range(p + 3, len(cuts) + 1) if edges[e] - start >= 20), None)
+        if e:
+            out.append((p, e))
+    if words and not out:
+        out = [(0, len(cuts))]
+    elif out and out[-1][1] < len(cuts):
+        out.append((out[-1][0], len(cuts)))
+    return len(cuts), [(p, e, tuple(words[edges[p] : edges[e]])) for p, e in out]
+
+
+def sentences_by_hand(rows):
+    seen, out = {}, {}
     for i, t in sorted(rows):
-        t = (t or "").encode()
-        found = [b" ".join(t[a:b].split()) for a, b in sentence_dedup.sentences(t)]
-        gone = [0] * len(found)
-        for k in range(len(found) - span + 1):
-            run = tuple(found[k : k + span])
-            if run in seen:
-                gone[k : k + span] = [1] * span
-            seen.add(run)
-        out[i] = (len(found), sum(gone))
+        n, spans = spans_by_hand((t or "").encode())
+        gone = [0] * n
+        for p, e, run in spans:
+            # A span and the one to the end of the text may start at one piece and be equal only to others.
+            if seen.setdefault(run, (i, p, e)) != (i, p, e):
+                gone[p:e] = [1] * (e - p)
+        out[i] = (n, sum(gone))
     return out
 
 
 def test_sentences():
     text = "One two. Three?! four\nfive  six... Ünd so 3.5 weiter".encode()
-    assert [text[a:b].decode() for a, b in sentence_dedup.sentences(text)] == ["One two.", "Three?!", "four", "five  six...", "Ünd so 3.5 weiter"]
+    words, cuts, _ = pieces_by_hand(text)
+    edges = [*cuts, len(words)]
+    assert [text[a:b].split() for a, b in sentence_dedup.sentences(text)] == [words[a:b] for a, b in zip(edges, edges[1:])]
     long = b" ".join(b"w%d" % k for k in range(200))
     parts = [long[a:b] for a, b in sentence_dedup.sentences(long)]
-    assert len(parts) > 5 and b" ".join(parts) == long
+    assert len(parts) > 30 and b" ".join(parts) == long and max(len(p.split()) for p in parts) <= sentence_dedup.CUT
     inner = [long[8:][a:b] for a, b in sentence_dedup.sentences(long[8:])]
-    assert inner[1:] == parts[-len(inner) + 1 :]
+    assert inner[-20:] == parts[-20:]
     assert sentence_dedup.sentences(b"") == sentence_dedup.sentences(b" \n ") == []
 
 
@@ -175,6 +210,28 @@ def test_sentence_dedup(corpus, docs, odd):
     want = sentences_by_hand(corpus)
     assert got == want and any(n for _, n in want.values())
     assert sentence_dedup.remove_repeated_sentences(odd).count() == len(ODD)
+    assert sentence_dedup.remove_repeated_sentences(odd.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("ends", ["", ".", "\n"])
+def test_every_repeated_passage_loses_words(spark, ends):
+    """51 words in other surroundings, from any word on, with full stops, line breaks or nothing; short copies."""
+    chance = random.Random(3)
+    vocabulary = [f"v{k}" for k in range(3000)]
+
+    def prose(n):
+        out = chance.choices(vocabulary, k=n)
+        return [w + chance.choice(["", "", "", "", "", ends]) for w in out] if ends else out
+
+    rows = []
+    for k in range(0, 800, 2):
+        passage = prose(51)
+        rows += [(i, " ".join(prose(chance.randint(0, 60)) + passage + prose(chance.randint(0, 60)))) for i in (k, k + 1)]
+    rows += [(1000, "Two sentences. Only."), (1001, "Two sentences. Only."), (1002, "one"), (1003, "one"), (1004, "other")]
+    got = {r.doc_id: (r.n_removed, r.kept) for r in sentence_dedup.remove_repeated_sentences(frame(spark, rows)).collect()}
+    assert not [k for k in range(0, 800, 2) if not got[k + 1][0]]
+    assert not [k for k in range(0, 800, 2) if got[k][0]]
+    assert [got[i][1].strip() for i in range(1000, 1005)] == [rows[800][1], "", "one", "", "other"]
 
 
 # -- 5 near duplicates ----------------------------------------------------------------
@@ -409,6 +466,27 @@ def test_models_on_odd_input(spark, docs, odd, labels):
     assert language.predict_language(odd.limit(0)).count() == 0
 
 
+def test_case_of_any_letter_hides_no_toxic_text(spark, folder):
+    """Letters whose lower case has another length stay as they are and switch nothing off."""
+    for text in ("ABC İẞK", "Straße ẞ", "ΑΣ", "𝒳yz", "", "É\x00Ü"):
+        assert len(toxicity.folded(text)) == len(text.encode()) and toxicity.folded(text) == b"".join(toxicity.folded(c) for c in text)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    toxic = docs.join(labels.where("toxic = 1").select("doc_id").distinct(), "doc_id").orderBy("doc_id").limit(40).collect()
+    rows = []
+    for r in toxic:
+        rows += [(r.doc_id, r.text), (100_000 + r.doc_id, r.text.upper()), (200_000 + r.doc_id, r.text.upper() + " İ"), (300_000 + r.doc_id, "ẞ K " + r.text + " K")]
+    extra = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs.union(extra.where("doc_id >= 100000")), labels).collect()}
+    known = [r.doc_id for r in toxic if got[r.doc_id].predicted]
+    assert len(known) > 30
+    for shift in (100_000, 200_000, 300_000):
+        assert [i for i in known if got[shift + i].predicted] == known
+    # The spans are the words of the list that makes a text toxic, not all of it.
+    spans = [got[i].spans for i in known]
+    assert all(spans) and sum(s.end - s.start for x in spans for s in x) < 0.5 * sum(len(r.text) for r in toxic if r.doc_id in known)
+
+
 def test_spans_are_code_points(spark):
     text = "éé bad wörd, fine"
     hot = (np.ones(2), np.array([5, 9]), np.array([8, 14]))
