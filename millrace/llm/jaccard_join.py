@@ -13,8 +13,8 @@ that the sum of v + 1 is above H, one of them holds within its tolerance: exact.
 3. Only keys of several classes lead anywhere. Their numbers of classes are the costs: a
    class takes its H + 1 cheapest offers, each an equal segment or a neighbourhood. Offers
    that lead to nobody are free, so most classes need none of the others.
-4. In a key that somebody took, all classes are compared with the smallest one, on full
-   sets. Where that leaves a key in several components, its classes are compared in tasks,
+4. In a key that somebody took, all classes are compared with the one that shares most, on
+   full sets. Where that leaves a key in several components, its classes are compared in tasks,
    blocks of them at a time over an inverted index; only links that join components leave.
 """
 
@@ -34,12 +34,17 @@ from millrace.session import configure, is_small
 
 from . import arrays
 from .frames import prepare, stored
-from .minhash import _family_links, _Search, _sets, linked, shingle_sets
+from .minhash import _Search, _sets, linked, shingle_sets
 
 WORDS = 4
 PERCENT = 85
 # Largest size of a band over that of the one below.
 BAND = 1.5
+# Keys that leave a task in one frame.
+FRAME_KEYS = 200_000
+# Counters that a comparison adds to at a time, and candidates up to which it compares set by set.
+STEP = 1 << 20
+FEW = 32
 # Of so many segments one has its one-deletion neighbourhood written.
 NEIGHBOURS = 24
 
@@ -74,7 +79,7 @@ def _segment_keys(s: np.ndarray, scheme: int, m: int) -> tuple[np.ndarray, np.nd
     return arrays.mix(sums ^ salt), np.stack([arrays.mix((sums[at] - spread[: len(at)]) ^ salt[at]), at.astype(np.uint64)])
 
 
-def _keys(s: np.ndarray, percent: int) -> tuple[list, list]:
+def _keys(s: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of a set and their tags: segment * 4 + 2 if a neighbour + 1 if in the own band."""
     k, own, above, near = band(len(s), percent)
     keys, tags = [], []
@@ -85,7 +90,7 @@ def _keys(s: np.ndarray, percent: int) -> tuple[list, list]:
         keys += [exact, neighbours]
         tags += [np.arange(m) * 4 + mine, at.astype(np.int64) * 4 + 2 + mine]
     if not keys:
-        return [], []
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
     return arrays.signed(np.concatenate(keys)), np.concatenate(tags).astype(np.int32)
 
 
@@ -107,15 +112,25 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return rows.mapInPandas(sign, "doc_id long, n_shingles long, d1 long, d2 long, m long, most long")
 
 
+def _frame(found: list[tuple]) -> pd.DataFrame:
+    nodes = np.repeat([node for node, _, _ in found], [len(keys) for _, keys, _ in found])
+    keys, tags = (np.concatenate([np.zeros(0, kind), *[f[k] for f in found]]) for k, kind in ((1, np.int64), (2, np.int32)))
+    return pd.DataFrame({"node": nodes.astype(np.int64), "key": keys, "tag": tags})
+
+
 def segment_keys(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, key, tag) of texts (node, text)."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = _sets([arrays.utf8(t) for t in batch["text"]], words)
-            for node, s in zip(batch["node"], sets, strict=True):
-                keys, tags = _keys(s, percent)
-                yield pd.DataFrame({"node": np.full(len(keys), node, np.int64), "key": keys, "tag": tags})
+            found, held = [], 0
+            for node, s in zip(batch["node"], _sets([arrays.utf8(t) for t in batch["text"]], words), strict=True):
+                found.append((node, *_keys(s, percent)))
+                held += len(found[-1][1])
+                if held > FRAME_KEYS:
+                    yield _frame(found)
+                    found, held = [], 0
+            yield _frame(found)
 
     return texts.mapInPandas(cut, "node long, key long, tag int")
 
@@ -148,6 +163,83 @@ def _taken(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return own.join(picked, ["node", "segment", "neighbour"]).select("key").distinct()
 
 
+def _block_links(groups: DataFrame, percent: int) -> DataFrame:
+    """(x, y): links of each pair of blocks (group, side, two, node, root, shingles) that join components."""
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, group = [], None
+        for batch in batches:
+            for own, part in batch.groupby("group", sort=False):
+                if held and own != group:
+                    yield _compare(pd.concat(held), percent)
+                    held = []
+                held, group = [*held, part], own
+        if held:
+            yield _compare(pd.concat(held), percent)
+
+    return groups.repartition("group").sortWithinPartitions("group").mapInPandas(find, "x long, y long")
+
+
+def _postings(number: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of each token one after the other, and where each token's begin."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    begin = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=1))])
+    return owner[np.argsort(number, kind="stable")], begin
+
+
+def _count(tokens: np.ndarray, rows: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
+    """How many of the tokens each row has, adding up STEP postings at a time."""
+    out, length = np.zeros(n, np.int64), begin[tokens + 1] - begin[tokens]
+    cuts = np.searchsorted(np.cumsum(length), np.arange(STEP, length.sum() + STEP, STEP), "right") if len(tokens) else []
+    start = 0
+    for end in [*np.unique(cuts).tolist(), len(tokens)]:
+        for t in ([slice(start, end)] if end > start else []):
+            own, size = begin[tokens[t]], length[t]
+            places = np.repeat(own - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            out += np.bincount(rows[places], minlength=n)
+        start = max(start, end)
+    return out
+
+
+def _compare(block: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """The links of one group that a spanning forest needs.
+
+    Sets that are close share one of their rarest tokens; only rows with such a partner
+    in another component are compared as a whole.
+    """
+    n, node = len(block), block["node"].to_numpy()
+    two, side = bool(block["two"].iloc[0]), block["side"].to_numpy()
+    sizes = np.fromiter(map(len, block["shingles"]), np.int64, n)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    _, number = np.unique(np.concatenate(list(block["shingles"])), return_inverse=True)
+    often = np.bincount(number)
+    # Tokens by rank, the rarest first, so that the least of a row are its rarest.
+    rank = np.empty(len(often), np.int64)
+    rank[np.lexsort((np.arange(len(often)), often))] = np.arange(len(often))
+    tokens = [np.sort(rank[number[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    rare = [t[: len(t) - -(-len(t) * percent // 100) + 1] for t in tokens]
+    first = _postings(np.concatenate(rare), np.array([len(t) for t in rare]))
+    whole = _postings(np.concatenate(tokens), sizes)
+    first = (first[0], np.pad(first[1], (0, len(often) + 1 - len(first[1])), "edge"))
+    _, label = np.unique(block["root"].to_numpy(), return_inverse=True)
+    out = []
+    for i in range(n):
+        if two and side[i]:
+            continue
+        partner = (label != label[i]) & (side if two else np.arange(n) > i)
+        partner &= (100 * sizes >= percent * sizes[i]) & (100 * sizes[i] >= percent * sizes)
+        near = np.flatnonzero(partner & (_count(rare[i], *first, n) > 0)) if partner.any() else []
+        if len(near) > FEW:
+            both = _count(tokens[i], *whole, n)[near]
+        else:
+            both = np.array([len(np.intersect1d(tokens[i], tokens[j], assume_unique=True)) for j in near], np.int64)
+        for j in np.asarray(near, np.int64)[100 * both >= percent * (sizes[near] + sizes[i] - both)].tolist() if len(near) else []:
+            if label[i] != label[j]:
+                label[label == label[j]] = label[i]
+                out.append((node[i], node[j]))
+    return pd.DataFrame(out, columns=["x", "y"], dtype=np.int64)
+
+
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text).
 
@@ -175,12 +267,14 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     members = stored(lookup_join(keys, often, "key", "inner"), "members")
     taken = lookup_join(members.select("key", "node"), _taken(members, classes), "key", "inner")
     taken = stored(taken.distinct(), "taken")
-    low = taken.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("last")).where("x < last").select("key", "x")
-    members = stored(lookup_join(taken, low, "key", "inner"), "candidates")
+    # The class that shares most is compared with the others: an original, rather than one of its copies.
+    shared = lookup_join(taken, members.groupBy("node").agg(F.sum("others").alias("shared")), "node", "inner")
+    hub = shared.groupBy("key").agg(F.max_by("node", F.struct("shared", "node")).alias("x"), F.min("node").alias("low"), F.max("node").alias("last"))
+    members = stored(lookup_join(taken, hub.where("low < last").select("key", "x"), "key", "inner"), "candidates")
     sets = stored(shingle_sets(texts.join(members.select("node").distinct(), "node", "left_semi"), words), "sets")
     search = _Search(classes.select("node", F.col("n_shingles").alias("n")), sets)
-    search.add(linked(members.where("x < node").select("x", F.col("node").alias("y")).distinct(), sets, percent))
-    search.add(_family_links(search.families(members.select("key", "node")), percent))
+    search.add(linked(members.where("x != node").select("x", F.col("node").alias("y")).distinct(), sets, percent))
+    search.add(_block_links(search.families(members.select("key", "node")), percent))
 
     label = classes.join(search.roots, "node", "left").groupBy("d1", "d2").agg(F.min(F.coalesce("root", "node")).alias("component_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
