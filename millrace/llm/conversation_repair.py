@@ -251,28 +251,40 @@ def _names(schema: str) -> list[str]:
     return re.findall(r"(\w+) (?:long|int|string|array|binary|boolean)", re.sub(r"struct<.*?>", "", schema))
 
 
-def _whole(c: str, rows: pd.DataFrame) -> tuple:
-    """The result of a conversation that lies in one segment."""
-    roles, texts = rows["role"].tolist(), rows["text"].tolist()
-    symbols, counts = faults(roles, texts, repeats(rows["digest"].tolist(), texts)[0])
-    first, last, distinct = distinct_turns(rows["turn"])
-    t = tables()
-    found, paid = t.ends(0, coded(symbols)[1])
-    audit, state = t.trace(symbols, 0, 0)
-    audit += t.last[state]
-    text = "\n".join(repaired(audit, 0, roles, texts)).encode("utf-8", "surrogatepass")
-    gaps = last - first + 1 - distinct if distinct else 0
-    cost = paid + t.vectors[found[-1]][0]
-    return (c, gaps, *counts, illegal_pairs(roles), cost, audit, hashlib.sha256(text).hexdigest(), *[None] * len(_names(SEGMENT)))
-
+class _Rows:
+    """Consecutive rows of one conversation without the dropped ones; n and chars count all."""
 
-def _segment(c: str, k: int, rows: pd.DataFrame) -> tuple:
-    roles, texts, digests = rows["role"].tolist(), rows["text"].tolist(), rows["digest"].tolist()
-    later, first = repeats(digests, texts)
-    ends = [roles[0][:1], roles[-1][:1]] if roles else [None, None]
-    facts = [*distinct_turns(rows["turn"]), illegal_pairs(roles), *ends, len(roles)]
-    firsts = [{"digest": digests[i], "at": i} for i in first]
-    return (c, *[None] * len(_names(RESULT)), TaskContext.get().partitionId(), k, *facts, roles, texts, firsts, sorted(later))
+    def __init__(self) -> None:
+        self.turns, self.roles, self.texts, self.digests, self.n, self.chars = [], [], [], [], 0, 0
+
+    def add(self, turn: str, role: str, text: str, digest: str, gone: bool) -> None:
+        self.n, self.chars = self.n + 1, self.chars + len(text)
+        if not gone:
+            self.turns.append(turn)
+            self.roles.append(role)
+            self.texts.append(text)
+            self.digests.append(digest)
+
+    def whole(self, c: str) -> tuple:
+        """The result of a conversation that lies in one segment."""
+        symbols, counts = faults(self.roles, self.texts, repeats(self.digests, self.texts)[0])
+        first, last, distinct = distinct_turns(self.turns)
+        t = tables()
+        found, paid = t.ends(0, coded(symbols)[1])
+        audit, state = t.trace(symbols, 0, 0)
+        audit += t.last[state]
+        text = "\n".join(repaired(audit, 0, self.roles, self.texts)).encode("utf-8", "surrogatepass")
+        gaps = last - first + 1 - distinct if distinct else 0
+        facts = [gaps, *counts, illegal_pairs(self.roles), paid + t.vectors[found[-1]][0], audit, hashlib.sha256(text).hexdigest()]
+        return (c, *facts, *[None] * len(_names(SEGMENT)))
+
+    def segment(self, c: str, k: int) -> tuple:
+        later, first = repeats(self.digests, self.texts)
+        ends = [self.roles[0][:1], self.roles[-1][:1]] if self.roles else [None, None]
+        facts = [*distinct_turns(self.turns), illegal_pairs(self.roles), *ends, len(self.roles)]
+        firsts = [{"digest": self.digests[i], "at": i} for i in first]
+        place = (TaskContext.get().partitionId(), k)
+        return (c, *[None] * len(_names(RESULT)), *place, *facts, self.roles, self.texts, firsts, sorted(later))
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -281,34 +293,21 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     The first and the last of a task may go on in its neighbours, so they are never taken as whole.
     """
     columns = ["c", *_names(RESULT), *_names(SEGMENT)]
-    held, rows, chars, k, whole, conv = [], 0, 0, 0, False, None
-
-    def close(is_whole: bool) -> tuple:
-        own = pd.concat(held)
-        own = own[~own["gone"]]
-        return _whole(conv, own) if is_whole else _segment(conv, k, own)
-
-    for batch in batches:
-        ids, sizes, out = batch["c"].to_numpy(), batch["text"].str.len().to_numpy(), []
-        cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(batch)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if conv is not None and ids[a] != conv:
-                if rows:
-                    out.append(close(whole))
-                held, rows, chars, k, whole = [], 0, 0, 0, True
-            conv = ids[a]
-            while a < b:
-                # As many rows as fit, one at least.
-                fit = int(np.searchsorted(np.cumsum(sizes[a:b]), SEGMENT_CHARS - chars, "right"))
-                end = a + max(1, min(b - a, SEGMENT_ROWS - rows, fit))
-                held.append(batch[a:end])
-                rows, chars, a = rows + end - a, chars + int(sizes[a:end].sum()), end
-                if chars >= SEGMENT_CHARS or rows >= SEGMENT_ROWS or fit == 0:
-                    out.append(close(False))
-                    held, rows, chars, k, whole = [], 0, 0, k + 1, False
+    held, k, whole, conv = _Rows(), 0, False, None
+    for frame in batches:
+        out = []
+        for c, *row in zip(*[frame[x].tolist() for x in ("c", "turn", "role", "text", "digest", "gone")], strict=True):
+            if c != conv:
+                if held.n:
+                    out.append(held.whole(conv) if whole else held.segment(conv, k))
+                held, k, whole, conv = _Rows(), 0, conv is not None, c
+            if held.n and (held.n == SEGMENT_ROWS or held.chars + len(row[2]) > SEGMENT_CHARS):
+                out.append(held.segment(conv, k))
+                held, k, whole = _Rows(), k + 1, False
+            held.add(*row)
         yield pd.DataFrame(out, columns=columns, dtype=object)
-    if rows:
-        yield pd.DataFrame([close(False)], columns=columns, dtype=object)
+    if held.n:
+        yield pd.DataFrame([held.segment(conv, k)], columns=columns, dtype=object)
 
 
 FACTS = "c string, part int, k int, symbols binary, blank long, duplicate long, truncated long, matrix array<long>"
