@@ -11,6 +11,8 @@ item's own values.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,21 +42,30 @@ UNITS = [
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 
 
-def marked(text: Column) -> Column:
-    """The words without punctuation, a space between them; numbers, names and units keep their value behind a mark.
+def marked(rows: DataFrame) -> DataFrame:
+    """``rows`` with text as words without punctuation, a space between them; numbers, names and units keep their value behind a mark.
 
     A name is a capitalised word inside a sentence: after a word or a comma and white space.
-    Units may be written in any case.
+    Units may be written in any case. A step goes over a text only if there is something in it for the step.
     """
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
-    text = F.translate(F.coalesce(text, F.lit("")), NUMBER + NAME + UNIT, "")
-    text = F.regexp_replace(text, r"[\s\p{Z}]+", " ")
-    text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", NAME + "$1")
-    text = F.regexp_replace(
-        text, rf"(?<![\p{{L}}\p{{N}}{NUMBER}-{UNIT}])(\d+(?:[.,:/]\d+)*)(?: ?((?i:{units})))?(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1 {UNIT}$2"
-    )
-    text = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}\s{NUMBER}-{UNIT}]+", "")
-    return text
+    text = F.col("text")
+    steps = [
+        (f"[{NUMBER}-{UNIT}]", F.translate(text, NUMBER + NAME + UNIT, "")),
+        (r"[\s\p{Z}]{2}|[\s\p{Z}&&[^ ]]", F.regexp_replace(text, r"[\s\p{Z}]+", " ")),
+        (r"[\p{L}\p{N},;] \p{Lu}\p{Ll}", F.regexp_replace(text, r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", NAME + "$1")),
+        (
+            "[0-9]",
+            F.regexp_replace(
+                text, rf"(?<![\p{{L}}\p{{N}}{NUMBER}-{UNIT}])(\d+(?:[.,:/]\d+)*)(?: ?((?i:{units})))?(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1 {UNIT}$2"
+            ),
+        ),
+    ]
+    # The commonest white space first, as a plain exchange of characters.
+    rows = rows.withColumn("text", F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" ")))
+    for needs, changed in steps:
+        rows = rows.withColumn("text", F.when(text.rlike(needs), changed).otherwise(text))
+    return rows.withColumn("text", F.regexp_replace("text", rf"[^\p{{L}}\p{{N}}\s{NUMBER}-{UNIT}]+", ""))
 
 
 def tokens(text: Column) -> Column:
@@ -75,6 +86,41 @@ def _folded(text: Column) -> Column:
     return F.lower(F.upper(text))
 
 
+def _window_hashes(rows: DataFrame, sizes: list[int], key: str) -> DataFrame:
+    """(key, h): the hashes alone of all windows of rows (key, text), texts marked: of plain words, and of both templates.
+
+    It has every hash by which ``_windows`` could meet, so a text that shares none has no match.
+    """
+    text = F.col("text")
+    rows = rows.select(key, _folded(text).alias("text")).select(key, "text", text.rlike(f"[{NUMBER}-{UNIT}]").alias("has"))
+    plain = F.when(F.col("has"), F.translate("text", NUMBER + NAME + UNIT, "")).otherwise(text)
+    rows = rows.select(
+        key,
+        F.transform(F.filter(F.split(plain, " "), lambda t: t != ""), lambda t: F.xxhash64(t)).alias("words"),
+        F.when(F.col("has"), tokens(text)).alias("tokens"),
+    )
+    mark = lambda w, t, is_slot: F.when(is_slot, F.xxhash64(F.left(t, F.lit(1)))).otherwise(w)
+    rows = rows.withColumns(
+        {
+            "named": F.zip_with("words", "tokens", lambda w, t: mark(w, t, _is_slot(t))),
+            "figured": F.zip_with("words", "tokens", lambda w, t: mark(w, t, _is_slot(t) & ~_is_name(t))),
+        }
+    )
+    count = F.size("words")
+    # Outer, as Spark else tests the array for rows before it is made, which makes it twice.
+    placed = rows.select(key, "words", "named", "figured", count.alias("count"), F.posexplode_outer("words").alias("at", "word"))
+
+    def of(hashes: str) -> list[Column]:
+        out = []
+        for size in sizes:
+            fits = F.col("at") + size <= F.col("count") if size >= SHORTEST else (F.col("at") == 0) & (F.col("count") == size)
+            out.append(F.when(fits, F.xxhash64(F.lit(size), *[F.get(hashes, F.col("at") + k) for k in range(size)])))
+        return out
+
+    every = F.when(F.col("named").isNull(), F.array(*of("words"))).otherwise(F.array(*of("words"), *of("named"), *of("figured")))
+    return placed.select(key, F.explode_outer(every).alias("h")).where("h is not null")
+
+
 def _windows(rows: DataFrame, sizes: list[int], key: str, judged: bool = False) -> DataFrame:
     """(key, size, at, h, slots, rich): the windows of each size of rows (key, text), texts marked.
 
@@ -161,14 +207,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED)
     the document, by their template or word for word. At least ``covered`` percent must be,
     of all windows or of those that have a template or no placeholder, or the windows of RUN
     running words in one occurrence. is_copy tells whether
-each window found has the item's own values somewhere. Null and empty texts have no words and match
-    nothing; rows with a null id are left out, as they cannot be named; repeated rows give
-    one result; other columns are not read.
+    each window found has the item's own values somewhere. Null and empty texts have no words
+    and match nothing; rows with a null id are left out, as they cannot be named; repeated rows
+    give one result; other columns are not read.
+
+    All texts are reduced to the hashes of their windows first. Only documents that share one
+    with an item are read again, for the values and places that the rules need.
     """
     spark = prepare(docs.sparkSession)
     items = (
         benchmark.where("item_id is not null")
-        .select(F.col("item_id").cast("long"), marked(F.col("text")).alias("text"))
+        .select(F.col("item_id").cast("long"), "text")
+        .transform(marked)
         .withColumn("length", F.least(F.size(tokens(F.col("text"))), F.lit(WINDOW)))
         .where("length > 0")
     )
@@ -184,10 +234,14 @@ each window found has the item's own values somewhere. Null and empty texts have
     own = own.drop("rich").join(F.broadcast(judged) if is_small(judged) else judged, ["item_id", "j"])
     side = F.broadcast(own) if is_small(own) else own
 
+    of_items = [_window_hashes(items.where(F.col("length") == size), [size], "item_id").select("h") for size in sizes]
+    wanted = stored(reduce(DataFrame.union, of_items).distinct(), "benchmark-hashes")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    hashes = _window_hashes(marked(texts), sizes, "doc_id")
+    near = stored(hashes.join(F.broadcast(wanted) if is_small(wanted) else wanted, "h", "left_semi").select("doc_id").distinct(), "candidates")
+    texts = texts.join(F.broadcast(near) if is_small(near) else near, "doc_id", "left_semi")
     # Rows that repeat an id with another text are occurrences of their own.
-    named = docs.where("doc_id is not null").select(
-        F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("d")).alias("doc"), marked(F.col("text")).alias("text")
-    )
+    named = marked(texts.select(F.struct("doc_id", F.xxhash64("text").alias("d")).alias("doc"), "text"))
     found = _windows(named, sizes, "doc").drop("rich").join(side, ["h", "size"])
     none = F.array().cast("array<struct<a: string, b: string>>")
     pairs = F.when(
