@@ -1,37 +1,41 @@
 """Trees and lineage: descendants, roll-ups, one FlowFile's path, transitive closure.
 
-The loops below run once for each level of depth, never once for each row. The
-frontier of a round is cut off from the plan in the shared folder and measured.
-A small frontier is broadcast, so the edges are scanned in place;
-a larger one is joined on its key, where hot keys are split at run time.
+A closure doubles its reach in each round, a forest's labels the length of their jumps, so
+rounds grow with the logarithm of the depth; other loops run once for each level, never
+once for each row. What a round finds is cut off from the plan in the shared folder and
+measured. A small side is broadcast; a larger one is joined on its key, where hot keys are
+split at run time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.lookup import lookup_join
 from millrace.operators.ordered import next_rows
 from millrace.session import cut_lineage, fits_broadcast
 
 # Rounds of a roll-up after which a cycle is looked for.
 SUSPICIOUS_ROUNDS = 32
+# Jumps for each edge and reached pair beyond which a closure goes on level by level.
+JUMP_GROWTH = 4
+# Places of a forest's tour that are added up in one window.
+TOUR_SLICE = 100_000
 
 
 def _levels(
-    edges: DataFrame, start: DataFrame, max_depth: int | None, **carried: Column
+    edges: DataFrame, start: DataFrame, max_depth: int | None, reached: DataFrame | None = None, depth: int = 0
 ) -> DataFrame:
-    """Breadth-first levels from ``start`` (seed, node, depth = 0, carried columns).
+    """Breadth-first levels from ``start`` (seed, node, depth), all at ``depth``, with what is ``reached`` already.
 
-    Every (seed, node) is kept at its first depth, so cycles end. A ``carried``
-    column is computed on each step and its lowest value kept. New pairs are told
+    Every (seed, node) is kept at its first depth, so cycles end. New pairs are told
     from known ones by the one aggregate that also removes repeats.
     """
     frontier, rows, size = cut_lineage(start)
-    reached = frontier
-    depth = 0
+    reached = frontier if reached is None else reached
     while rows and (max_depth is None or depth < max_depth):
         depth += 1
         if fits_broadcast(rows, size):
@@ -40,13 +44,11 @@ def _levels(
             "seed",
             F.col("dst").alias("node"),
             F.lit(depth).alias("depth"),
-            *[column.alias(name) for name, column in carried.items()],
         )
-        known = reached.select("seed", "node", "depth")
         new = (
-            step.unionByName(known, allowMissingColumns=True)
+            step.unionByName(reached)
             .groupBy("seed", "node")
-            .agg(F.min("depth").alias("depth"), *[F.min(c).alias(c) for c in carried])
+            .agg(F.min("depth").alias("depth"))
             .where(F.col("depth") == depth)
         )
         frontier, rows, size = cut_lineage(new)
@@ -65,6 +67,11 @@ def lineage_closure(
 
     ``edges`` is (src, dst), ``seeds`` is (seed). ``direction`` is ``down`` or ``up``.
     The seed itself is included at depth 0.
+
+    Each round joins what is reached within fewer than n steps with the jumps of exactly n,
+    adds the pairs that are new and joins the jumps with themselves, so a path of any length
+    takes a logarithm of rounds. Where jumps become many more than edges, as in a dense
+    graph, the rest is followed level by level.
     """
     if direction not in ("down", "up"):
         raise ValueError("direction is 'down' or 'up'")
@@ -73,19 +80,27 @@ def lineage_closure(
     start = seeds.select("seed").distinct().select(
         "seed", F.col("seed").alias("node"), F.lit(0).alias("depth")
     )
-    return _levels(steps, start, max_depth)
-
-
-def ranked_closure(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """As ``lineage_closure`` over (src, dst, rank), with the lowest ranks on the way."""
-    start = seeds.select("seed").distinct().select(
-        "seed",
-        F.col("seed").alias("node"),
-        F.lit(0).alias("depth"),
-        F.array().cast("array<int>").alias("ranks"),
-    )
-    way = F.concat("ranks", F.array(F.col("rank").cast("int")))
-    return _levels(edges, start, max_depth, ranks=way)
+    reached, n_reached, size = cut_lineage(start)
+    jumps, n_edges, jump_size = cut_lineage(steps.where("src IS NOT NULL AND dst IS NOT NULL").distinct())
+    n_jumps, length = n_edges, 1
+    while n_reached and n_jumps and (max_depth is None or length <= max_depth):
+        if n_jumps > JUMP_GROWTH * (n_edges + n_reached):
+            last = reached.where(F.col("depth") == length - 1)
+            return _levels(steps, last, max_depth, reached, length - 1)
+        far = F.broadcast(jumps) if fits_broadcast(n_jumps, jump_size) else jumps
+        step = reached.join(far, F.col("node") == F.col("src")).select("seed", F.col("dst").alias("node"), (F.col("depth") + length).alias("depth"))
+        if max_depth is not None:
+            step = step.where(F.col("depth") <= max_depth)
+        new = step.groupBy("seed", "node").agg(F.min("depth").alias("depth")).join(reached, ["seed", "node"], "left_anti")
+        new, found, _ = cut_lineage(new)
+        if not found:
+            break
+        reached, n_reached = reached.unionByName(new), n_reached + found
+        length *= 2
+        if max_depth is None or length <= max_depth:
+            behind = far.select(F.col("src").alias("dst"), F.col("dst").alias("end"))
+            jumps, n_jumps, jump_size = cut_lineage(jumps.join(behind, "dst").select("src", F.col("end").alias("dst")).distinct())
+    return reached
 
 
 def subtree(groups: DataFrame, root: str, max_depth: int | None = None) -> DataFrame:
@@ -140,6 +155,92 @@ def rollup(groups: DataFrame, measures: DataFrame, cols: Sequence[str]) -> DataF
     return groups.select("group_id").join(totals, "group_id", "left").select("group_id", *zero)
 
 
+def interval_labels(groups: DataFrame) -> DataFrame:
+    """``groups`` with enter, leave and level, the places of each group in a tour of the forest.
+
+    The tour enters a group, tours its children in order of their id and leaves it; a group
+    is nested in another if its places lie between the other's. Groups without a parent, or
+    with one that is not there, are roots. Each place learns how far it is from the end by
+    pointer doubling: rounds grow with the logarithm of the number of groups, whatever the
+    depth. Groups nested in a cycle are refused.
+    """
+    ids = groups.select(F.col("group_id").alias("parent_id"))
+    known = lookup_join(groups.select("group_id", "parent_id"), ids.withColumn("is_known", F.lit(True)), "parent_id")
+    # All roots are children of one, which is null in a struct.
+    family = known.select("group_id", F.struct(F.when(F.col("is_known"), F.col("parent_id")).alias("id")).alias("parent"))
+    siblings = next_rows(family, ["parent"], ["group_id"], F.col("group_id"), "sibling")
+    first = family.where("parent.id IS NOT NULL").groupBy(F.col("parent.id").alias("parent_id")).agg(F.min("group_id").alias("child"))
+    tree = lookup_join(siblings, first, [("group_id", "parent_id")])
+    place = lambda group, leaving: F.struct(group.alias("id"), F.lit(leaving).alias("leaving"))
+    group, child, sibling, parent = F.col("group_id"), F.col("child"), F.col("sibling"), F.col("parent.id")
+    entering = F.when(child.isNotNull(), place(child, False)).otherwise(place(group, True))
+    leaving = F.when(sibling.isNotNull(), place(sibling, False)).when(parent.isNotNull(), place(parent, True))
+    tour = tree.select(
+        F.explode(
+            F.array(
+                F.struct(place(group, False).alias("at"), entering.alias("to"), F.lit(1).cast("bigint").alias("hops"), F.lit(1).cast("bigint").alias("balance")),
+                F.struct(place(group, True).alias("at"), leaving.alias("to"), F.lit(1).cast("bigint").alias("hops"), F.lit(-1).cast("bigint").alias("balance")),
+            )
+        ).alias("place")
+    ).select("place.*")
+    tour, places, _ = cut_lineage(tour)
+    for _ in range(max(1, places).bit_length()):
+        further = tour.select(F.col("at").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"), F.col("balance").alias("rest"))
+        tour, _, _ = cut_lineage(
+            lookup_join(tour.withColumn("key", F.col("to")), further, [("key", "to")]).select(
+                "at",
+                F.col("next").alias("to"),
+                (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"),
+                (F.col("balance") + F.coalesce("rest", F.lit(0))).alias("balance"),
+            )
+        )
+    if tour.where(F.col("to").isNotNull()).limit(1).count():
+        raise ValueError("groups are nested in a cycle")
+    at = F.lit(places) - F.col("hops")
+    labels = tour.groupBy(F.col("at.id").alias("group_id")).agg(
+        F.max(F.when(~F.col("at.leaving"), at)).alias("enter"),
+        F.max(F.when(F.col("at.leaving"), at)).alias("leave"),
+        F.max(F.when(~F.col("at.leaving"), -F.col("balance"))).cast("int").alias("level"),
+    )
+    return groups.join(labels, "group_id").select(*groups.columns, "enter", "leave", "level")
+
+
+def subtree_of(labels: DataFrame, root: str, max_depth: int | None = None) -> DataFrame:
+    """As ``subtree`` from a table of ``interval_labels``: one range of places, read by a filter."""
+    bounds = labels.where(F.col("group_id") == root).select("enter", "leave", "level").first()
+    enter, leave, level = bounds or (0, -1, 0)
+    found = labels.where(F.col("enter").between(enter, leave))
+    if max_depth is not None:
+        found = found.where(F.col("level") <= level + max_depth)
+    columns = [c for c in labels.columns if c not in ("enter", "leave", "level")]
+    return found.select(*columns, (F.col("level") - level).cast("int").alias("depth"))
+
+
+def rollup_of(labels: DataFrame, measures: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """As ``rollup`` from a table of ``interval_labels``, in a fixed number of shuffles for any depth.
+
+    What lies between the places of a group is the difference of two running sums along the
+    tour, so ``cols`` should be whole numbers or decimals.
+    """
+    sums = measures.groupBy("group_id").agg(*[F.sum(c).alias(c) for c in cols])
+    own = lookup_join(labels.select("group_id", "enter", "leave"), sums, "group_id")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in cols]
+    places = own.select(
+        "group_id",
+        *zero,
+        F.explode(F.array(F.struct(F.col("enter").alias("at"), F.lit(1).alias("side")), F.struct(F.col("leave").alias("at"), F.lit(0).alias("side")))).alias("p"),
+    ).select("group_id", "p.at", "p.side", F.floor(F.col("p.at") / TOUR_SLICE).alias("slice"), *[(F.col(c) * F.col("p.side")).alias(c) for c in cols])
+    # One row for each TOUR_SLICE places carries the sums from slice to slice.
+    earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = places.groupBy("slice").agg(*[F.sum(c).alias(c) for c in cols])
+    carried = totals.select("slice", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in cols])
+    within = Window.partitionBy("slice").orderBy("at")
+    running = places.select("group_id", "slice", "side", *cols, *[F.sum(c).over(within).alias(f"_run_{c}") for c in cols]).join(carried, "slice")
+    # Behind the last place less in front of the first.
+    part = lambda c: F.when(F.col("side") == 0, F.col(f"_run_{c}") + F.col(f"_{c}")).otherwise(F.col(c) - F.col(f"_run_{c}") - F.col(f"_{c}"))
+    return running.groupBy("group_id").agg(*[F.sum(part(c)).alias(c) for c in cols])
+
+
 def flowfile_lineage(
     events: DataFrame, event_id, slice_by: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:

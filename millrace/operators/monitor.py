@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 from millrace.functions import size_bytes
 from millrace.operators.graph import subtree
 from millrace.operators.lookup import lookup_join
+from millrace.session import scratch_path
+
+# Rows that a top-k may hold in one task; pages further down are looked for by counting.
+PAGE_ROWS = 10_000
+# Splitters of one round of counting.
+SPLITTERS = 64
+# Letters of an index entry.
+GRAM = 3
 
 
 def list_children(df: DataFrame, group_id, col: str = "group_id") -> DataFrame:
@@ -40,10 +48,11 @@ def provenance_search(
     start: str | datetime | None = None,
     end: str | datetime | None = None,
     max_results: int = 100,
+    offset: int = 0,
 ) -> DataFrame:
     """Events that match all given filters, newest first. Blank filters do not count.
 
-    ``start`` and ``end`` are inclusive.
+    ``start`` and ``end`` are inclusive. ``offset`` skips that many of them, see ``page``.
     """
     if not isinstance(max_results, int) or max_results < 1:
         raise ValueError("max_results must be a positive integer")
@@ -60,14 +69,57 @@ def provenance_search(
         events = events.where(F.col("ts") >= F.lit(start).cast(ts_type))
     if _given(end):
         events = events.where(F.col("ts") <= F.lit(end).cast(ts_type))
-    return events.orderBy(F.desc("ts"), F.desc("event_id")).limit(max_results)
+    return page(events, ["ts", "event_id"], max_results, offset)
+
+
+def page(df: DataFrame, order: Sequence[str], limit: int, offset: int = 0) -> DataFrame:
+    """The rows at ``offset`` to ``offset + limit`` by ``order`` descending (nulls last), at any depth.
+
+    A page near the top is a top-k. For any other, rows are counted between splitters from
+    a sample; only the range that holds the page is looked into again, until it is of the
+    size of a page. So no task holds, and nothing shuffles, the rows in front of it.
+    """
+    key = F.struct(*order)
+    types = {c: df.schema[c].dataType for c in order}
+    rest, newest = df, [F.desc(c) for c in order]
+    while offset + limit > PAGE_ROWS:
+        sample = rest.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SPLITTERS).distinct().orderBy(F.desc("k"))
+        splitters = [r["k"] for r in sample.collect()]
+        bounds = [F.struct(*[F.lit(k[c]).cast(types[c]).alias(c) for c in order]) for k in splitters]
+        above = sum(((key < b).cast("int") for b in bounds), F.lit(0))
+        counts = {r["bucket"]: r["n"] for r in rest.groupBy(above.alias("bucket")).agg(F.count("*").alias("n")).collect()}
+        skipped, first = 0, 0
+        while first < len(bounds) and skipped + counts.get(first, 0) <= offset:
+            skipped += counts.get(first, 0)
+            first += 1
+        last, seen = first, skipped + counts.get(first, 0)
+        while last < len(bounds) and seen < offset + limit:
+            last += 1
+            seen += counts.get(last, 0)
+        # A bucket is what lies below a splitter, down to and with the next one.
+        if first:
+            rest = _beside(rest.where(key < bounds[first - 1]), order[0], splitters[first - 1][order[0]], types, True)
+        if last < len(bounds):
+            rest = _beside(rest.where(key >= bounds[last]), order[0], splitters[last][order[0]], types, False)
+        offset -= skipped
+        if seen - skipped == sum(counts.values()) or seen - skipped <= PAGE_ROWS:
+            break
+    return rest.orderBy(*newest).offset(offset).limit(limit)
+
+
+def _beside(df: DataFrame, col: str, value, types: dict, below: bool) -> DataFrame:
+    """The bound of the first order column alone, which is pushed to the scan; nulls lie below all."""
+    if value is None:
+        return df
+    bound = F.lit(value).cast(types[col])
+    return df.where((F.col(col) <= bound) | F.col(col).isNull() if below else F.col(col) >= bound)
 
 
 def history(df: DataFrame, limit: int = 50, offset: int = 0, source_id=None) -> DataFrame:
-    """One page of the action history, newest first."""
+    """One page of the action history, newest first, at any depth."""
     if _given(source_id):
         df = df.where(F.col("source_id") == source_id)
-    return df.orderBy(F.desc("ts"), F.desc("action_id")).offset(offset).limit(limit)
+    return page(df, ["ts", "action_id"], limit, offset)
 
 
 def bulletins(
@@ -194,3 +246,50 @@ def search_components(
         nested = subtree(groups, group_id).select("group_id")
         found = lookup_join(found, nested, "group_id", "left_semi")
     return found
+
+
+def index_components(df: DataFrame, cols: Sequence[str] = ("name", "type", "properties"), id_col: str = "id", path: str | None = None) -> DataFrame:
+    """The index of a table for ``search_components_indexed``, written to ``path``: (gram, id), each once.
+
+    A text has an entry for each GRAM letters in a row, or is one if it is shorter. Entries
+    lie in order, so a search reads the parts of the table that its entries can be in.
+    """
+    texts = []
+    for col in cols:
+        if col in df.columns:
+            is_map = dict(df.dtypes)[col].startswith("map<")
+            texts.append(F.map_values(col) if is_map else F.array(F.col(col).cast("string")))
+    entries = lambda text: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(text) - GRAM + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(GRAM))
+    )
+    each = df.select(F.col(id_col).alias("id"), F.explode(F.flatten(F.array(*[F.coalesce(t, F.array().cast("array<string>")) for t in texts]))).alias("text"))
+    grams = each.where("text IS NOT NULL AND id IS NOT NULL").select("id", F.explode(entries(F.lower("text"))).alias("gram")).select("gram", "id").distinct()
+    path = path or scratch_path(df.sparkSession, "component-index")
+    grams.repartitionByRange("gram", "id").sortWithinPartitions("gram", "id").write.parquet(path)
+    return df.sparkSession.read.schema(grams.schema).parquet(path)
+
+
+def search_components_indexed(
+    df: DataFrame,
+    index: DataFrame,
+    query: str,
+    cols: Sequence[str] = ("name", "type", "properties"),
+    group_id=None,
+    groups: DataFrame | None = None,
+    id_col: str = "id",
+) -> DataFrame:
+    """As ``search_components``, from the components that the index names; each is tested literally.
+
+    A text of GRAM letters or more is looked up by all its entries; a shorter one by the
+    entries it is part of.
+    """
+    if not _given(query):
+        raise ValueError("query is required")
+    wanted = df.sparkSession.range(1).select(F.lower(F.lit(query.strip()))).first()[0]
+    if len(wanted) >= GRAM:
+        grams = sorted({wanted[i : i + GRAM] for i in range(len(wanted) - GRAM + 1)})
+        named = index.where(F.col("gram").isin(grams)).groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") == len(grams))
+    else:
+        named = index.where(F.contains("gram", F.lit(wanted))).select("id").distinct()
+    candidates = lookup_join(df, named.select("id"), [(id_col, "id")], "left_semi")
+    return search_components(candidates, query, cols, group_id, groups)

@@ -1,9 +1,11 @@
-"""Row numbers and next rows within a key, for keys of any size.
+"""Row numbers, next rows and running sums within a key, for keys of any size.
 
 A window over a key puts all rows of that key in one task. Here a window covers
-only one slice of a key; a small table of slices carries the numbers across. A
-slice is a value that never falls as the first order column rises, such as the
-hour of a timestamp.
+only one slice of a key; a small table of slices carries the numbers across.
+
+Where the caller names no slice it is measured: rows are dealt by splitters from a sample
+of (key, order), of any type, nulls and ties included, so slices are alike however the rows
+lie. The dealt rows are written once to the shared folder, as their slices must not change.
 """
 
 from __future__ import annotations
@@ -12,27 +14,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from millrace.session import scratch_path
 
 
-def default_slice(df: DataFrame, order_col: str) -> Column:
-    """The slice of a time or whole-number order column; other types need one from the caller."""
-    kind = df.schema[order_col].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("hour", order_col)
-    if isinstance(kind, T.DateType):
-        return F.col(order_col)
-    if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(order_col) / 100_000)
-    raise ValueError(f"pass slice_by for an order column of type {kind.simpleString()}")
+def _measured(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with ``_slice``, which never falls as the order of a key rises; ties are dealt to several slices."""
+    dealt = df.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id())).repartitionByRange(*keys, *order, "_tie")
+    dealt = dealt.drop("_tie").withColumn("_slice", F.spark_partition_id())
+    path = scratch_path(df.sparkSession, "dealt")
+    dealt.write.parquet(path)
+    return df.sparkSession.read.schema(dealt.schema).parquet(path)
 
 
 def _sliced(
-    df: DataFrame, keys: Sequence[str], order_col: str, slice_by: Column | None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column | None
 ) -> DataFrame:
-    """Add the group of each row: key and slice as one struct, which is never null."""
-    value = default_slice(df, order_col) if slice_by is None else slice_by
-    return df.withColumn("_group", F.struct(F.struct(*keys).alias("key"), value.alias("slice")))
+    """Add the group of each row: key and slice as one struct, which is never null.
+
+    ``slice_by`` is a value that never falls as the first order column rises, such as the hour
+    of a timestamp; one slice of a key must fit a task.
+    """
+    sliced = _measured(df, keys, order) if slice_by is None else df.withColumn("_slice", slice_by)
+    return sliced.withColumn("_group", F.struct(F.struct(*keys).alias("key"), F.col("_slice").alias("slice"))).drop("_slice")
 
 
 def _within_key():
@@ -46,8 +50,8 @@ def row_numbers(
     name: str = "row_number",
     slice_by: Column | None = None,
 ) -> DataFrame:
-    """Number the rows of each key from 1 in the given order, which must have no ties."""
-    sliced = _sliced(df, keys, order[0], slice_by)
+    """Number the rows of each key from 1 in the given order; equal ones in any order."""
+    sliced = _sliced(df, keys, order, slice_by)
     earlier = _within_key().rowsBetween(Window.unboundedPreceding, -1)
     offsets = sliced.groupBy("_group").agg(F.count("*").alias("_rows")).select(
         "_group", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
@@ -70,7 +74,7 @@ def next_rows(
     slice_by: Column | None = None,
 ) -> DataFrame:
     """Add ``value`` of the following row of the same key; null on the last row of a key."""
-    sliced = _sliced(df, keys, order[0], slice_by).withColumn(
+    sliced = _sliced(df, keys, order, slice_by).withColumn(
         "_value", F.struct(value.alias("value"))
     )
     firsts = sliced.groupBy("_group").agg(
@@ -83,3 +87,26 @@ def next_rows(
         .withColumn(name, F.coalesce("_next", "_following")["value"])
         .drop("_group", "_value", "_next", "_following")
     )
+
+
+def running_sums(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str = "running",
+    slice_by: Column | None = None,
+) -> DataFrame:
+    """Add the sum of ``value`` over the rows of the same key up to each row; a null counts as 0."""
+    sliced = _sliced(df, keys, order, slice_by).withColumn("_value", F.coalesce(value, F.lit(0)))
+    earlier = _within_key().rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sliced.groupBy("_group").agg(F.sum("_value").alias("_sum")).select(
+        "_group", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset")
+    )
+    up_to = Window.partitionBy("_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        sliced.withColumn("_inside", F.sum("_value").over(up_to))
+        .join(offsets, "_group")
+        .withColumn(name, F.col("_offset") + F.col("_inside"))
+        .drop("_group", "_offset", "_inside", "_value")
+    )

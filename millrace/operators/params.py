@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import merge_maps
 from millrace.functions.maps import STRING_MAP
-from millrace.operators.graph import ranked_closure
 from millrace.operators.lookup import lookup_join
+from millrace.session import cut_lineage, fits_broadcast
 
 # How a text refers to a parameter.
 REFERENCE = r"#\{([^}]+)\}"
@@ -149,19 +149,29 @@ def inherited_params(params: DataFrame, inherits: DataFrame) -> DataFrame:
 
     ``inherits`` has (child, parent, rank). The nearest level wins, then the
     lowest rank on the way there. Chains of any length are followed; a cycle ends
-    where a context would meet itself.
+    where a context would meet itself. A parameter that is given twice in a context has
+    the smaller value.
+
+    Parameters move down one level in each round, and only those that a context does not
+    see yet, so what is written are the parameters that contexts see, not pairs of contexts.
     """
-    contexts = params.select("context").union(inherits.select("child")).union(
-        inherits.select("parent")
-    ).distinct()
-    reach = ranked_closure(
-        inherits.select(F.col("child").alias("src"), F.col("parent").alias("dst"), "rank"),
-        contexts.select(F.col("context").alias("seed")),
-    )
-    entry = F.struct("value", "sensitive", F.col("node").alias("origin"), "depth")
-    return (
-        reach.join(params.withColumnRenamed("context", "node"), "node")
-        .groupBy(F.col("seed").alias("context"), "name")
-        .agg(F.min_by(entry, F.struct("depth", "ranks")).alias("entry"))
-        .select("context", "name", "entry.*")
+    entry = F.struct("ranks", "value", "sensitive", "origin")
+    start = params.groupBy("context", "name").agg(F.min(F.struct("value", "sensitive")).alias("own")).select(
+        "context",
+        "name",
+        F.struct(F.array().cast("array<int>").alias("ranks"), "own.value", "own.sensitive", F.col("context").alias("origin")).alias("entry"),
+        F.lit(0).alias("depth"),
     )
+    level, rows, size = cut_lineage(start)
+    seen, depth = level, 0
+    up = inherits.select("child", F.col("parent").alias("context"), F.col("rank").cast("int").alias("rank"))
+    while rows:
+        depth += 1
+        moving = F.broadcast(level) if fits_broadcast(rows, size) else level
+        ranks = F.concat(F.array("rank"), F.col("entry.ranks")).alias("ranks")
+        moved = up.join(moving, "context").select(F.col("child").alias("context"), "name", ranks, "entry.value", "entry.sensitive", "entry.origin")
+        new = moved.groupBy("context", "name").agg(F.min(entry).alias("entry")).withColumn("depth", F.lit(depth))
+        level, rows, size = cut_lineage(new.join(seen, ["context", "name"], "left_anti"))
+        if rows:
+            seen = seen.unionByName(level)
+    return seen.select("context", "name", "entry.value", "entry.sensitive", "entry.origin", "depth")

@@ -185,7 +185,7 @@ def split_records(
 ) -> DataFrame:
     """Number the batches of ``n`` records of each key, in order, as ``batch`` from 0.
 
-    Keys may be of any size, see ``ordered``.
+    Keys may be of any size and order columns of any type, see ``ordered``.
     """
     keys = [key] if isinstance(key, str) else list(key)
     orders = [order] if isinstance(order, str) else list(order)

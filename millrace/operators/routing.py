@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.operators.lookup import lookup_join
+from millrace.operators.ordered import running_sums
+from millrace.session import scratch_path
 
 UNMATCHED = "unmatched"
 
@@ -141,6 +143,48 @@ def wait_notify(
     }
 
 
+def label_wait_notify_timeout(
+    waiting: DataFrame,
+    signals: DataFrame,
+    key: str,
+    target: int,
+    ttl_seconds: int,
+    ts: str = "ts",
+    count_col: str | None = None,
+    name: str = "outcome",
+) -> DataFrame:
+    """Rows of ``waiting`` with ``signals``, the sum within the time-out before and after them, and their outcome.
+
+    ``released`` if the sum reaches ``target``, else ``expired``: what ``wait_notify_stream``
+    decides once all rows are in. A window is the difference of two running sums along
+    the key's signals, so no row is joined with the signals of its window. Times count
+    in milliseconds; a null key or time has no signals.
+    """
+    spark = waiting.sparkSession
+    # Written once, as the numbers of the rows must not change.
+    path = scratch_path(spark, "waiting")
+    numbered = waiting.withColumn("_row", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    held = spark.read.schema(numbered.schema).parquet(path)
+    amount = F.lit(1) if count_col is None else F.col(count_col)
+    at = F.unix_millis(F.col(ts).cast("timestamp"))
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    heard = signals.where(known).select(
+        F.col(key).alias("_key"), at.alias("_at"), F.lit(0).alias("_sign"), amount.cast("bigint").alias("_amount"), F.lit(None).cast("bigint").alias("_row")
+    ).groupBy("_key", "_at", "_sign", "_row").agg(F.sum("_amount").alias("_amount"))
+    reach = ttl_seconds * 1000
+    ends = F.explode(F.array(F.struct((at - reach - 1).alias("at"), F.lit(-1).alias("sign")), F.struct((at + reach).alias("at"), F.lit(1).alias("sign"))))
+    asked = held.where(known).select(F.col(key).alias("_key"), ends.alias("_end"), "_row").select(
+        "_key", F.col("_end.at").alias("_at"), F.col("_end.sign").alias("_sign"), F.lit(0).cast("bigint").alias("_amount"), "_row"
+    )
+    # At one time the signals come before the ends of windows.
+    points = heard.select(*asked.columns).union(asked).withColumn("_asks", F.col("_row").isNotNull())
+    summed = running_sums(points, ["_key"], ["_at", "_asks"], "_amount", "_until").where("_asks")
+    sums = summed.groupBy("_row").agg(F.sum(F.col("_sign") * F.col("_until")).alias("signals"))
+    found = held.join(sums, "_row", "left").withColumn("signals", F.coalesce("signals", F.lit(0)))
+    return found.withColumn(name, F.when(F.col("signals") >= target, "released").otherwise("expired")).drop("_row")
+
+
 def log_attributes(
     df: DataFrame, name: str, exprs: Mapping[str, Column | str]
 ) -> tuple[DataFrame, Observation]:

@@ -143,9 +143,13 @@ class Pipeline:
         """The JSON form, which ``from_json`` and ``parse_definitions`` read."""
         return json.dumps(_written(self), ensure_ascii=False)
 
-    def issues(self) -> list[str]:
-        """The messages of all validation rules this definition breaks."""
-        return _issues(self)
+    def issues(self, ports: bool = False) -> list[str]:
+        """The messages of all validation rules this definition breaks.
+
+        The rules know processors only; with ``ports`` connections from input ports and to
+        output ports are in order, too.
+        """
+        return _issues(self, ports)
 
     def run(self, spark, inputs: Mapping | None = None):
         from millrace.plans.run import run
@@ -362,8 +366,11 @@ def _written(p: Pipeline) -> dict:
     }
 
 
-def _issues(p: Pipeline) -> list[str]:
+def _issues(p: Pipeline, ports: bool = False) -> list[str]:
+    """The messages of all rules; with ``ports`` a connection may also end at a port, as it may in a run."""
     names = {n.name for n in p.processors}
+    sources = names | {port.name for port in p.ports if ports and port.port_type == "INPUT"}
+    destinations = names | {port.name for port in p.ports if ports and port.port_type == "OUTPUT"}
 
     def repeats(items: Sequence, rule: str) -> list[str]:
         seen = Counter(item.name for item in items)
@@ -373,9 +380,9 @@ def _issues(p: Pipeline) -> list[str]:
     found += repeats(p.processors, "duplicate_processor")
     found += [MESSAGES["missing_type"] % n.name for n in p.processors if n.type == ""]
     for c in p.connections:
-        if c.source not in names:
+        if c.source not in sources:
             found.append(MESSAGES["dangling_source"] % c.source)
-        if c.destination not in names:
+        if c.destination not in destinations:
             found.append(MESSAGES["dangling_destination"] % c.destination)
         if not c.relationships:
             found.append(MESSAGES["no_relationships"] % (c.source, c.destination))

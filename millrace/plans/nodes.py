@@ -29,6 +29,8 @@ class Environment:
     trigger: Mapping | None = None
     started: list[StreamingQuery] | None = None
     observations: dict | None = None
+    # The number of a stream's batch that is run as frames.
+    batch: int | None = None
 
     @property
     def streaming(self) -> bool:
@@ -88,8 +90,11 @@ def generate_flowfile(rows, props, env):
 @_node("ExecuteSQL")
 def execute_sql(rows, props, env):
     _batch_only(env, "ExecuteSQL")
-    options = prefixed(props, "option")
-    return {"success": sources.read_sql(env.spark, props["query"], props.get("url"), **options)}
+    options, partition = prefixed(props, "option"), None
+    if "partition.column" in props:
+        bounds = [int(props[f"partition.{name}"]) for name in ("lower", "upper", "count")]
+        partition = (props["partition.column"], *bounds)
+    return {"success": sources.read_sql(env.spark, props["query"], props.get("url"), partition, **options)}
 
 
 @_node("ConsumeKafka")
@@ -104,7 +109,7 @@ def consume_topic(rows, props, env):
 @_node("ConvertRecord")
 def convert_record(rows, props, env):
     return records.convert_records(
-        rows, props["column"], props["from"], props["to"], props["schema"]
+        rows, props["column"], props["from"], props["to"], props["schema"], prefixed(props, "read"), prefixed(props, "write")
     )
 
 
@@ -138,9 +143,10 @@ def replace_text(rows, props, env):
 
 @_node("SplitRecord")
 def split_record(rows, props, env):
+    slice_by = F.expr(props["slice_by"]) if "slice_by" in props else None
     return {
         "success": records.split_records(
-            rows, _list(props["key"]), _list(props["order"]), int(props["size"])
+            rows, _list(props["key"]), _list(props["order"]), int(props["size"]), slice_by
         )
     }
 
@@ -229,15 +235,21 @@ def put_file(rows, props, env):
         if props.get("max_records_per_file"):
             options["maxRecordsPerFile"] = props["max_records_per_file"]
         return _start(rows, fmt, env, path=props["path"], partition_by=_list(props.get("partition_by")), **options)
+    path, mode = props["path"], props.get("mode", "error")
+    if env.batch is not None:
+        # A batch that is run again replaces what it wrote.
+        path, mode = f"{path}/batch={env.batch}", "overwrite"
     sources.write_files(
         rows,
-        props["path"],
+        path,
         fmt,
         _list(props.get("partition_by")),
         int(props.get("max_records_per_file", 0)),
-        props.get("mode", "error"),
+        mode,
         **options,
     )
+    if env.batch is not None:
+        return {"success": rows}
     return {"success": sources.read_files(env.spark, props["path"], fmt, rows.schema, **options)}
 
 
@@ -261,9 +273,20 @@ def put_database_record(rows, props, env):
 
 @_node("PutSQL")
 def put_sql(rows, props, env):
+    """INSERT appends rows; UPDATE changes a table with a version by ``apply_changes``.
+
+    For an update the rows are changes with ``key``, seq, op, sent_version and the fields;
+    ``rule`` is ``first`` or ``sequence``, and changes that conflict go to ``failure``.
+    """
     _batch_only(env, "PutSQL")
-    sources.insert_into(rows, props["table"])
-    return {"success": env.spark.table(props["table"])}
+    statement = props.get("statement", "insert").lower()
+    if statement == "insert":
+        sources.insert_into(rows, props["table"])
+        return {"success": env.spark.table(props["table"])}
+    if statement != "update":
+        raise ValueError("statement is 'insert' or 'update'")
+    conflicts = sources.update_table(rows, props["table"], props.get("key", "id"), props.get("rule", "first"))
+    return {"success": env.spark.table(props["table"]), "failure": conflicts}
 
 
 @_node("PublishKafka")

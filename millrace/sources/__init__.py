@@ -6,6 +6,7 @@ from millrace.sources.io import (
     read_files,
     read_sql,
     read_stream,
+    update_table,
     write_files,
     write_records,
     write_stream,
@@ -17,6 +18,7 @@ __all__ = [
     "read_files",
     "read_sql",
     "read_stream",
+    "update_table",
     "write_files",
     "write_records",
     "write_stream",

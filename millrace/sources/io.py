@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.operators.changes import apply_changes
+from millrace.session import scratch_path
+
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "xml", "text", "binaryFile")
 _NEEDS_SCHEMA = ("csv", "json", "xml")
 
@@ -128,6 +131,22 @@ def insert_into(df: DataFrame, table: str) -> None:
     df.select(*columns).write.insertInto(table)
 
 
+def update_table(changes: DataFrame, table: str, key: str = "id", rule: str = "first") -> DataFrame:
+    """Apply changes to a catalog table with a version column; returns those that conflict.
+
+    The new table and the conflicts are written to the shared folder first, so a run that
+    breaks off there has changed nothing, and the table's own rows are read before they go.
+    """
+    spark = changes.sparkSession
+    kept = []
+    for df, name in zip(apply_changes(spark.table(table), changes, key, rule), ("updated", "conflicts"), strict=True):
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        kept.append(spark.read.schema(df.schema).parquet(path))
+    kept[0].select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    return kept[1]
+
+
 def write_stream(
     df: DataFrame,
     fmt: str,

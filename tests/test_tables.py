@@ -230,6 +230,115 @@ def test_deep_chains_are_followed_to_the_end(spark):
     assert rows(graph.rollup(groups, measures, ["n"])) == sorted((f"g{i}", 7) for i in range(n))
 
 
+def test_a_chain_takes_a_logarithm_of_rounds(spark, monkeypatch):
+    n, rounds = 10_000, []
+    plain = graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: rounds.append(1) or plain(df))
+    edges = spark.range(n).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    found = graph.lineage_closure(edges, frame(spark, "seed bigint", (0,)))
+    assert found.agg(F.count("*"), F.max("depth"), F.sum("depth")).first() == (n + 1, n, n * (n + 1) // 2)
+    # Two tables are cut in a round, of pairs and of jumps, and two before the first.
+    assert len(rounds) <= 2 * 15 + 2
+    up = graph.lineage_closure(edges, frame(spark, "seed bigint", (n,), (5,)), "up", 100)
+    assert up.groupBy("seed").agg(F.max("depth")).orderBy("seed").collect() == [(5, 5), (n, 100)]
+
+
+def test_dense_graph_goes_on_by_levels(spark, monkeypatch):
+    monkeypatch.setattr(graph, "JUMP_GROWTH", 0)
+    rng = random.Random(8)
+    edges = {(f"n{rng.randrange(30)}", f"n{rng.randrange(30)}") for _ in range(60)}
+    found = graph.lineage_closure(frame(spark, "src string, dst string", *edges), frame(spark, "seed string", ("n1",), ("n2",)))
+    assert set(rows(found)) == brute_closure(edges, {"n1", "n2"})
+
+
+def test_interval_labels_of_a_forest(spark):
+    rng = random.Random(2)
+    parent = {f"g{i}": f"g{rng.randrange(i)}" if i % 9 else None for i in range(120)} | {"orphan": "gone", "under": "orphan"}
+    parent |= {f"d{i}": f"d{i - 1}" if i else "g5" for i in range(60)}
+    groups = frame(spark, GROUPS, *[(g, p, g.upper()) for g, p in parent.items()])
+    labels = graph.interval_labels(groups).cache()
+
+    def under(group):
+        found, depth = {group: 0}, 0
+        while any(p in found and g not in found for g, p in parent.items()):
+            depth += 1
+            found |= {g: depth for g, p in parent.items() if found.get(p) == depth - 1 and g not in found}
+        return found
+
+    for root in ("g0", "g5", "d59", "orphan"):
+        assert {r.group_id: r.depth for r in graph.subtree_of(labels, root).collect()} == under(root)
+    assert {r.group_id for r in graph.subtree_of(labels, "d0", 2).collect()} == {"d0", "d1", "d2"}
+    assert graph.subtree_of(labels, "nobody").count() == 0
+    measures = frame(spark, "group_id string, n bigint", *[(g, rng.randint(1, 9)) for g in parent], ("g7", 100), ("g7", None), ("nobody", 5))
+    own = {g: sum(r.n or 0 for r in measures.where(F.col("group_id") == g).collect()) for g in ("g0", "d30")}
+    totals = {r.group_id: r.n for r in graph.rollup_of(labels, measures, ["n"]).collect()}
+    plain = {r.group_id: r.n for r in graph.rollup(groups, measures, ["n"]).collect()}
+    assert totals == plain and totals.keys() == parent.keys() and totals["g0"] > own["g0"] and totals["d30"] > own["d30"]
+    places = sorted(x for r in labels.collect() for x in (r.enter, r.leave))
+    assert places == list(range(2 * len(parent)))
+    for cycle in ([("a", "b", "a"), ("b", "a", "b")], [("a", None, "a"), ("x", "y", "x"), ("y", "z", "y"), ("z", "x", "z"), ("w", "x", "w")]):
+        with pytest.raises(ValueError, match="cycle"):
+            graph.interval_labels(frame(spark, GROUPS, *cycle))
+
+
+def chain_by_hand(current, changes):
+    state = {k: (v, name) for k, v, name in current}
+    conflicts = []
+    for k, seq, op, sent, name in sorted((c for c in changes if c[0] is not None), key=lambda c: (c[0], c[1])):
+        now = state.get(k)
+        if op == "create" and now is None:
+            state[k] = (0, name)
+        elif op == "update" and now is not None and sent == now[0]:
+            state[k] = (now[0] + 1, name)
+        elif op == "delete" and now is not None and sent == now[0]:
+            del state[k]
+        else:
+            conflicts.append(seq)
+    return sorted((k, *v) for k, v in state.items()), sorted(conflicts + [c[1] for c in changes if c[0] is None])
+
+
+@pytest.mark.parametrize("piece", [4096, 7])
+def test_chains_of_changes(spark, monkeypatch, piece):
+    """A key with hundreds of changes in pieces, versions that rise, creation behind deletion, changes that fit nothing."""
+    monkeypatch.setattr(changes, "CHAIN_PIECE", piece)
+    rng = random.Random(4)
+    current = [(k, rng.choice([0, 3]), f"c{k}") for k in range(0, 12, 2)] + [(100, 7, "untouched")]
+    asked, version, seq = [], {}, 0
+    for _ in range(900):
+        k = rng.choice([0, 0, 0, 0, 1, 2, 3, 4, 5, 6, 20, None])
+        seq += rng.randint(1, 3)
+        op = rng.choice(["update"] * 12 + ["delete", "create", "other", None])
+        # Mostly the version that the key has by now, so that chains grow.
+        at = version.setdefault(k, next((c[1] for c in current if c[0] == k), -1))
+        sent = rng.choice([at, at, at, at, 0, 1, None])
+        version[k] = 0 if op == "create" and at < 0 else at + 1 if op == "update" and sent == at and at >= 0 else -1 if op == "delete" and sent == at and at >= 0 else at
+        asked.append((k, seq, op, sent, f"n{seq}"))
+    table, conflicts = changes.apply_changes(
+        frame(spark, "id bigint, version bigint, name string", *current),
+        frame(spark, "id bigint, seq bigint, op string, sent_version bigint, name string", *rng.sample(asked, len(asked))),
+        rule="sequence",
+    )
+    want, refused = chain_by_hand(current, asked)
+    assert sorted(tuple(r) for r in table.collect()) == want
+    assert sorted(r.seq for r in conflicts.collect()) == refused
+    assert max(v for _, v, _ in want) > 20
+    with pytest.raises(ValueError, match="rule"):
+        changes.apply_changes(table, conflicts, rule="other")
+
+
+def test_a_piece_moves_states_as_its_changes_do():
+    rng = random.Random(9)
+    for _ in range(300):
+        asked = [(rng.choice(["create", "update", "update", "delete"]), rng.choice([None, 0, 1, 2, 3])) for _ in range(rng.randint(0, 12))]
+        moves = changes._transition(asked)
+        for start in range(-1, 8):
+            state = start
+            for op, sent in asked:
+                to = changes._moved(state, op, sent)
+                state = state if to is None else to
+            assert moves.get(start, start) == state
+
+
 # Ordered rows
 
 def test_numbers_and_next_rows_across_slices(spark):
@@ -248,9 +357,29 @@ def test_numbers_and_next_rows_across_slices(spark):
     assert set(rows(led, "id", "next")) == expected_next
 
 
-def test_slice_is_asked_for_where_none_can_be_told(spark):
-    with pytest.raises(ValueError, match="slice_by"):
-        ordered.row_numbers(frame(spark, "k int, s string", (1, "a")), ["k"], ["s"])
+def test_measured_slices_of_any_type(spark, monkeypatch):
+    """A text order with nulls and ties, one hour with all rows of a key: slices are alike, numbers are those of the order."""
+    rng = random.Random(3)
+    data = [("hot", rng.choice(["a", "b", None, "c" * rng.randint(1, 3)]), "2024-01-01 05:00:00", i) for i in range(3000)]
+    data += [(f"k{i % 7}", str(rng.random()), "2024-01-01 05:00:00", i) for i in range(200)] + [(None, None, None, 1)]
+    df = frame(spark, "key string, word string, ts string, id int", *data).repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for order in (["word", "id"], ["ts", "id"]):
+            found = ordered.row_numbers(df, ["key"], order, "n")
+            got = {(r.key, r.word, r.ts, r.id): r.n for r in found.collect()}
+            wanted = {}
+            low = lambda row: [(x is not None, x) for x in (row[1 if order[0] == "word" else 2], row[3])]
+            for key in {d[0] for d in data}:
+                for n, row in enumerate(sorted((d for d in data if d[0] == key), key=low), 1):
+                    wanted[row] = n
+            assert got == wanted
+        groups = ordered._sliced(df, ["key"], ["ts"], None).where("key = 'hot'").groupBy("_group").count().collect()
+        assert len(groups) >= 4 and max(g["count"] for g in groups) < 1500
+        summed = ordered.running_sums(df.where("key = 'hot'"), ["key"], ["id"], "id").collect()
+        assert {r.id: r.running for r in summed} == {i: i * (i + 1) // 2 for i in range(3000)}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_null_next_value_is_not_taken_for_a_missing_row(spark):
@@ -293,6 +422,49 @@ def test_blank_filters_do_not_count_and_ends_are_inclusive(spark):
     assert [r.event_id for r in newest.collect()] == [4, 3]
 
 
+@pytest.mark.parametrize("offset", [0, 5, 95, 1400, 2780, 2990, 4000])
+def test_pages_at_any_depth(spark, monkeypatch, offset):
+    """Most rows have one time, some none; no look into a range holds more than it."""
+    rng = random.Random(7)
+    data = [(i, rng.choice(["2024-01-01 00:00:00"] * 5 + [None, f"2024-01-0{rng.randint(1, 9)} 00:00:00"]), i % 3) for i in range(3000)]
+    df = frame(spark, "action_id int, ts string, source_id int", *data).withColumn("ts", F.col("ts").cast("timestamp"))
+    wanted = [r.action_id for r in df.orderBy(F.desc("ts"), F.desc("action_id")).collect()][offset : offset + 40]
+    monkeypatch.setattr(monitor, "PAGE_ROWS", 100)
+    found = monitor.history(df, limit=40, offset=offset)
+    assert [r.action_id for r in found.collect()] == wanted
+    if 100 < offset < 2900:
+        # What is left to be sorted does not grow with the offset.
+        left = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Filter" in left and int(left.split("Offset ")[1].split("\n")[0]) < 400
+
+
+def test_indexed_search_equals_the_scan(spark):
+    data = [(1, "Fetch FILES", "Get", {"path": "/in/Ünï"}), (2, "", "Put", {"a": "xy", "b": None}), (3, None, "x", None), (4, "fe", "tch f", {}), (5, "ab abab", "ABAB", {"k": "100%_a"})]
+    df = frame(spark, "id int, name string, type string, properties map<string,string>", *data)
+    index = monitor.index_components(df)
+    for text in ("f", "fe", "tch", "fetch f", "ÜNÏ", "xy", "x", "abab", "babab", "%_", "nothing", "/"):
+        assert rows(monitor.search_components_indexed(df, index, text), "id") == rows(monitor.search_components(df, text), "id")
+    with pytest.raises(ValueError, match="query"):
+        monitor.search_components_indexed(df, index, " ")
+
+
+def test_wait_with_a_time_out_in_batch(spark):
+    """Against every pair, with a busy key, equal times and null keys."""
+    rng = random.Random(1)
+    at = lambda: f"2024-01-01 {rng.randint(0, 5):02d}:{rng.choice(['00', '30'])}:00"
+    waits = [(i, rng.choice("aaab") if i % 20 else None, at()) for i in range(200)] + [(900, "a", None), (901, "z", at())] + [(902, "b", "2024-01-01 01:00:00")] * 2
+    signals = [(rng.choice("aaab") if i % 20 else None, at(), rng.choice([None, 0, 1, 2])) for i in range(150)]
+    found = routing.label_wait_notify_timeout(
+        frame(spark, "id int, k string, ts string", *waits), frame(spark, "k string, ts string, n int", *signals), "k", 9, 3600, count_col="n"
+    )
+    hours = lambda t: int(t[11:13]) + int(t[14:16]) / 60
+    wanted = []
+    for i, k, t in waits:
+        n = sum(v or 0 for key, s, v in signals if k is not None and t and key == k and abs(hours(s) - hours(t)) <= 1)
+        wanted.append((i, n, "released" if n >= 9 else "expired"))
+    assert rows(found, "id", "signals", "outcome") == sorted(wanted, key=repr)
+
+
 def test_search_looks_into_properties(spark):
     df = frame(
         spark, "id int, name string, properties map<string,string>, group_id string",

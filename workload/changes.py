@@ -32,7 +32,7 @@ def resolve_edges(t):
     return c.look_up_edges(edges, nodes)
 
 
-def _versioned(t):
+def versioned(t):
     """Customers at version 0; each order asks for a change. Every other new order creates."""
     current = t.customer.select(
         F.col("c_custkey").alias("id"),
@@ -82,7 +82,7 @@ judged AS (
     FROM judged WHERE accepted AND op <> 'delete'""",
 )
 def versioned_apply(t):
-    return c.apply_changes(*_versioned(t))[0]
+    return c.apply_changes(*versioned(t))[0]
 
 
 @query(
@@ -91,7 +91,53 @@ def versioned_apply(t):
     SELECT id, seq, op, sent_version, name, segment FROM judged WHERE NOT accepted""",
 )
 def versioned_conflicts(t):
-    return c.apply_changes(*_versioned(t))[1]
+    return c.apply_changes(*versioned(t))[1]
+
+
+CHAIN_SQL = """WITH RECURSIVE changes AS (
+      SELECT o_custkey % 50 AS id, row_number() OVER (PARTITION BY o_custkey % 50 ORDER BY o_orderkey) AS k,
+             o_orderkey AS seq, CASE WHEN o_orderkey % 11 = 0 THEN 'create' WHEN o_orderkey % 13 = 0 THEN 'delete' ELSE 'update' END AS op,
+             o_orderkey % 3 AS sent_version, 'order-' || o_orderkey AS name
+      FROM orders),
+    steps AS (
+      SELECT DISTINCT id, 0::BIGINT AS k, CASE WHEN id % 2 = 0 THEN 0 ELSE -1 END::BIGINT AS state,
+             CASE WHEN id % 2 = 0 THEN 'start-' || id END AS name, false AS accepted, NULL::BIGINT AS seq FROM changes
+      UNION ALL
+      SELECT c.id, c.k,
+             CASE WHEN NOT a THEN s.state WHEN op = 'create' THEN 0 WHEN op = 'delete' THEN -1 ELSE s.state + 1 END,
+             CASE WHEN a THEN c.name ELSE s.name END, a, c.seq
+      FROM steps s JOIN (SELECT *, NULL AS x FROM changes) c ON c.id = s.id AND c.k = s.k + 1,
+           LATERAL (SELECT CASE WHEN c.op = 'create' THEN s.state = -1 ELSE s.state >= 0 AND s.state = c.sent_version END AS a))"""
+
+
+def _chains(t):
+    """Fifty keys, half of them there, with hundreds of changes each; sent versions are 0 to 2."""
+    key = (F.col("o_custkey") % 50).alias("id")
+    op = F.when(F.col("o_orderkey") % 11 == 0, "create").when(F.col("o_orderkey") % 13 == 0, "delete").otherwise("update")
+    changes = t.orders.select(
+        key, F.col("o_orderkey").alias("seq"), op.alias("op"), (F.col("o_orderkey") % 3).alias("sent_version"), F.concat(F.lit("order-"), "o_orderkey").alias("name")
+    )
+    current = t.orders.select(key).distinct().where("id % 2 = 0").select("id", F.lit(0).cast("bigint").alias("version"), F.concat(F.lit("start-"), "id").alias("name"))
+    return c.apply_changes(current, changes, rule="sequence")
+
+
+@query(
+    "versioned_chain",
+    CHAIN_SQL + """
+    SELECT id, state AS version, name FROM steps s
+    WHERE k = (SELECT max(k) FROM changes x WHERE x.id = s.id) AND state >= 0""",
+)
+def versioned_chain(t):
+    return _chains(t)[0]
+
+
+@query(
+    "versioned_chain_conflicts",
+    CHAIN_SQL + """
+    SELECT c.id, c.seq, op, sent_version, c.name FROM changes c JOIN steps s ON s.id = c.id AND s.k = c.k WHERE NOT s.accepted""",
+)
+def versioned_chain_conflicts(t):
+    return _chains(t)[1]
 
 
 @query(

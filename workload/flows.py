@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace import scratch_path
 from millrace.plans import Pipeline, register
+from workload.changes import VERSIONED_SQL, versioned
 from workload.registry import query
 
 
@@ -106,3 +107,50 @@ def auto_terminate(t):
     routes = flow.run(t.spark, {"route": t.events})["route"]
     frames = [df.select(F.lit(name).alias("relationship"), "event_id") for name, df in routes.items()]
     return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
+@query(
+    "flow_ports",
+    """SELECT 'large' AS port, o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders WHERE o_totalprice > 200000
+    UNION ALL SELECT 'other', o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) FROM orders WHERE NOT o_totalprice > 200000""",
+)
+def flow_ports(t):
+    """Rows come in by a port and leave by two; what both need is written once."""
+    flow = (
+        Pipeline.create("prices")
+        .with_input_port("orders")
+        .with_output_port("large")
+        .with_output_port("other")
+        .add_processor("price", "UpdateRecord", {"field.cents": "CAST(round(o_totalprice * 100) AS BIGINT)"})
+        .add_processor("route", "RouteOnAttribute", {"route.large": "o_totalprice > 200000"})
+        .connect("orders", "price")
+        .connect("price", "route")
+        .connect("route", "large", ["large"])
+        .connect("route", "other", ["unmatched"])
+        .build()
+    )
+    results = flow.run(t.spark, {"orders": t.orders})
+    frames = [results[port]["success"].select(F.lit(port).alias("port"), "o_orderkey", "cents") for port in ("large", "other")]
+    return frames[0].union(frames[1])
+
+
+@query(
+    "flow_update_table",
+    f"""WITH {VERSIONED_SQL}
+    SELECT c_custkey AS id, CAST(0 AS BIGINT) AS version, c_name AS name, c_mktsegment AS segment
+    FROM customer WHERE c_custkey NOT IN (SELECT id FROM judged WHERE accepted)
+    UNION ALL
+    SELECT id, CASE WHEN op = 'create' THEN 0 ELSE 1 END, name, segment
+    FROM judged WHERE accepted AND op <> 'delete'""",
+)
+def flow_update_table(t):
+    """PutSQL as an update under optimistic locking."""
+    folder = scratch_path(t.spark, "versioned")
+    table = f"versioned_{folder.rsplit('-', 1)[1]}"
+    current, changes = versioned(t)
+    current.write.option("path", folder).saveAsTable(table)
+    flow = Pipeline.create("update").add_processor("put", "PutSQL", {"table": table, "statement": "update", "key": "id"}).build()
+    updated = flow.run(t.spark, {"put": changes})["put"]["success"]
+    rows = t.spark.read.schema(updated.schema).parquet(folder)
+    t.spark.sql(f"DROP TABLE {table}")
+    return rows

@@ -22,9 +22,7 @@ def group_subtree(t):
     return graph.subtree(roles.groups(t), "r1")
 
 
-@query(
-    "group_rollup",
-    f"""WITH RECURSIVE {roles.GROUPS_SQL}, measures AS (
+ROLLUP_SQL = f"""WITH RECURSIVE {roles.GROUPS_SQL}, measures AS (
       SELECT 'c' || c_custkey AS group_id, 1 AS customers,
              CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM customer
       UNION ALL
@@ -36,11 +34,12 @@ def group_subtree(t):
       WHERE g.parent_id IS NOT NULL)
     SELECT ancestor AS group_id, CAST(coalesce(sum(customers), 0) AS BIGINT) AS customers,
            CAST(coalesce(sum(cents), 0) AS BIGINT) AS cents
-    FROM up LEFT JOIN measures m ON m.group_id = member GROUP BY ancestor""",
-)
-def group_rollup(t):
+    FROM up LEFT JOIN measures m ON m.group_id = member GROUP BY ancestor"""
+
+
+def _measures(t):
     cents = lambda c: F.round(F.col(c) * 100).cast("bigint").alias("cents")
-    measures = t.customer.select(
+    return t.customer.select(
         F.concat(F.lit("c"), "c_custkey").alias("group_id"),
         F.lit(1).cast("bigint").alias("customers"),
         cents("c_acctbal"),
@@ -51,7 +50,29 @@ def group_rollup(t):
             cents("s_acctbal"),
         )
     )
-    return graph.rollup(roles.groups(t), measures, ["customers", "cents"])
+
+
+@query("group_rollup", ROLLUP_SQL)
+def group_rollup(t):
+    return graph.rollup(roles.groups(t), _measures(t), ["customers", "cents"])
+
+
+SUBTREE_SQL = f"""WITH RECURSIVE {roles.GROUPS_SQL}, tree AS (
+      SELECT group_id, parent_id, name, 0 AS depth FROM grp WHERE group_id = 'r1'
+      UNION ALL
+      SELECT g.group_id, g.parent_id, g.name, depth + 1 FROM grp g
+      JOIN tree ON g.parent_id = tree.group_id)
+    SELECT * FROM tree"""
+
+
+@query("subtree_intervals", SUBTREE_SQL)
+def subtree_intervals(t):
+    return graph.subtree_of(graph.interval_labels(roles.groups(t)), "r1")
+
+
+@query("rollup_intervals", ROLLUP_SQL)
+def rollup_intervals(t):
+    return graph.rollup_of(graph.interval_labels(roles.groups(t)), _measures(t), ["customers", "cents"])
 
 
 @query(

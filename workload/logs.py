@@ -40,6 +40,19 @@ def history_page(t):
     return monitor.history(actions, limit=20, offset=10, source_id=7)
 
 
+@query(
+    "history_deep_page",
+    """SELECT event_id AS action_id, ts, user_id AS source_id FROM events
+    ORDER BY ts DESC, event_id DESC LIMIT 50 OFFSET (SELECT count(*) // 2 FROM events)""",
+)
+def history_deep_page(t):
+    """A page in the middle of the whole history, found by counting."""
+    actions = t.events.select(
+        F.col("event_id").alias("action_id"), "ts", F.col("user_id").alias("source_id")
+    )
+    return monitor.history(actions, limit=50, offset=actions.count() // 2)
+
+
 def _bulletins(t):
     return t.events.select(
         F.col("event_id").alias("bulletin_id"),
@@ -164,6 +177,24 @@ def search_components(t):
     )
 
 
+@query(
+    "search_components_indexed",
+    """WITH found AS (SELECT p_partkey AS id, p_name AS name, p_type AS type, p_brand AS group_id,
+                          lower(p_name || chr(0) || p_type || chr(0) || p_brand) AS texts FROM part)
+    SELECT 'widget' AS query, id, name, type, group_id FROM found WHERE contains(texts, 'widget')
+    UNION ALL SELECT '#1', id, name, type, group_id FROM found WHERE contains(texts, '#1')""",
+)
+def search_components_indexed(t):
+    """A longer and a very short text, from one index."""
+    components, cols = _part_components(t), ["name", "type", "group_id"]
+    index = monitor.index_components(components, cols)
+    found = [
+        monitor.search_components_indexed(components, index, text, cols).select(F.lit(text).alias("query"), "*")
+        for text in ("widget", "#1")
+    ]
+    return found[0].union(found[1])
+
+
 @query(
     "search_components_scoped",
     f"""WITH {roles.GROUPS_SQL}

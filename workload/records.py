@@ -341,6 +341,37 @@ def wait_notify(t):
     )
 
 
+@query(
+    "split_record_text",
+    """SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_returnflag,
+           CAST((row_number() OVER (PARTITION BY l_suppkey
+             ORDER BY l_returnflag, l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1) // 100 AS BIGINT) AS batch
+    FROM lineitem""",
+)
+def split_record_text(t):
+    """A text as order column, of which a supplier has thousands of rows alike; slices are measured."""
+    lines = t.lineitem.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_extendedprice")
+    order = ["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+    return r.split_records(lines, "l_suppkey", order, 100).drop("l_extendedprice")
+
+
+@query(
+    "wait_notify_timeout",
+    """WITH moves AS (SELECT event_id, user_id, event_type, epoch_ms(ts) AS ms FROM events
+              WHERE event_type IN ('signup', 'purchase'))
+    SELECT w.event_id, w.user_id, count(s.event_id) AS signals,
+           CASE WHEN count(s.event_id) >= 2 THEN 'released' ELSE 'expired' END AS outcome
+    FROM moves w LEFT JOIN moves s ON s.user_id = w.user_id
+      AND s.event_type = 'purchase' AND abs(s.ms - w.ms) <= 86400000
+    WHERE w.event_type = 'signup' GROUP BY w.event_id, w.user_id""",
+)
+def wait_notify_timeout(t):
+    events = t.events.select("event_id", "user_id", "event_type", "ts")
+    signups = events.where("event_type = 'signup'").drop("event_type")
+    purchases = events.where("event_type = 'purchase'")
+    return routing.label_wait_notify_timeout(signups, purchases, "user_id", 2, 24 * 3600).drop("ts")
+
+
 @query(
     "log_attribute",
     """SELECT count(*) AS rows, count(DISTINCT event_type) AS types, max(event_id) AS last

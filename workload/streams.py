@@ -8,7 +8,7 @@ from millrace import scratch_path
 from millrace.operators import routing
 from millrace.plans import Pipeline
 from millrace.sources import read_stream, write_stream
-from millrace.streaming import queue_status_stream, wait_notify_stream
+from millrace.streaming import label_late, metrics, queue_status_stream, wait_notify_stream
 from workload.registry import query
 
 # One file at a time: the cap on what a micro-batch takes in.
@@ -69,10 +69,61 @@ def stream_route(t):
     started = flow.run_stream(t.spark, {"route": rows}, checkpoint=f"{folder}/progress")
     for running in started:
         running.awaitTermination()
+    # One query, which reads the source once; each batch has a folder.
+    assert len(started) == 1
     schema = "event_id bigint, event_type string, relationship string"
     return routing.fan_in(
         [t.spark.read.schema(schema).parquet(f"{folder}/{s}") for s in ("errors", "others")]
-    ).drop("event_type")
+    ).drop("event_type", "batch")
+
+
+@query(
+    "stream_log_attribute",
+    """SELECT 'log' AS node, 'rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM events
+    UNION ALL SELECT 'log', 'last', CAST(max(event_id) AS VARCHAR) FROM events""",
+)
+def stream_log_attribute(t):
+    """What a node measures in each batch, from the table that a listener fills."""
+    folder = scratch_path(t.spark, "stream_log")
+    table = f"measured_{folder.rsplit('-', 1)[1]}"
+    t.spark.createDataFrame([], metrics.SCHEMA).write.option("path", f"{folder}/metrics").saveAsTable(table)
+    flow = (
+        Pipeline.create("measured")
+        .add_processor("log", "LogAttribute", {"metric.rows": "count(*)", "metric.last": "max(event_id)"})
+        .add_processor("put", "PutFile", {"path": f"{folder}/rows"})
+        .connect("log", "put")
+        .build()
+    )
+    listener = metrics.MetricsListener(t.spark, table, {"log"})
+    for running in flow.run_stream(t.spark, {"log": _events(t).select("event_id")}, checkpoint=f"{folder}/progress", metrics=listener):
+        running.awaitTermination()
+    listener.stop()
+    measured = t.spark.read.schema(metrics.SCHEMA).parquet(f"{folder}/metrics")
+    t.spark.sql(f"DROP TABLE {table}")
+    total = F.when(F.col("metric") == "rows", F.sum(F.col("value").cast("bigint"))).otherwise(F.max(F.col("value").cast("bigint")))
+    return measured.dropDuplicates(["query", "batch", "node", "metric"]).groupBy("node", "metric").agg(total.cast("string").alias("value"))
+
+
+@query(
+    "stream_late_rows",
+    """WITH filed AS (
+      SELECT event_id, event_type, ts, least(3, CASE WHEN day(ts) < 8 THEN 1 WHEN day(ts) <= 20 THEN 2 ELSE 3 END
+               + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END) AS file FROM events),
+    marks AS (SELECT b.file, (SELECT max(ts) - INTERVAL 1 HOUR FROM filed a WHERE a.file < b.file) AS watermark
+              FROM (SELECT DISTINCT file FROM filed) b)
+    SELECT event_id, event_type,
+           CASE WHEN date_trunc('day', ts) + INTERVAL 1 DAY <= watermark THEN 'late' ELSE 'on_time' END AS relationship
+    FROM filed JOIN marks USING (file)""",
+)
+def stream_late_rows(t):
+    """A tenth of the rows comes one file, that is one batch, too late."""
+    folder = scratch_path(t.spark, "stream_late")
+    filed = t.events.select("event_id", "event_type", "ts")
+    number = F.when(F.expr("day(ts) < 8"), 1).when(F.expr("day(ts) <= 20"), 2).otherwise(3) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    for file in (1, 2, 3):
+        filed.where(F.least(F.lit(3), number) == file).coalesce(1).write.mode("append").parquet(folder)
+    rows = read_stream(t.spark, "parquet", filed.schema, path=folder, **_CAP)
+    return _drained(t, label_late(rows, "1 day", "1 hour").drop("ts"), "stream_late")
 
 
 @query(
