@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import scratch_path, shared_dir
+from millrace.session import configure, is_small, scratch_path, shared_dir
 
 from . import arrays
 
@@ -23,7 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound what a Python worker holds at once, and name the shared folder."""
+    """Apply the library's settings, bound what a Python worker holds at once, and name the shared folder."""
+    configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     shared_dir(spark)
     return spark
@@ -36,6 +37,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in ``gone`` (doc_id); those without an id stay.
+
+    A list that was measured to be small is broadcast, so texts stay where they are.
+    """
+    gone = stored(gone.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType)).distinct(), "gone")
+    gone = F.broadcast(gone) if is_small(gone) else gone
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; null for a null id."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))

@@ -169,21 +169,32 @@ def train(stats: DataFrame, labels: DataFrame, name: str = "quality") -> tuple[f
     )
     n = known.count()
     known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(min(1.0, TRAIN_ROWS / max(n, 1)) * 1_000_000))
-    rows = stats.join(known, "doc_id").select("doc_id", "label", *NAMES).orderBy(F.xxhash64("doc_id"), *NAMES).collect()
+    # At most about TRAIN_ROWS ids, whatever the input.
+    rows = stats.join(F.broadcast(known), "doc_id").select("doc_id", "label", *NAMES).orderBy(F.xxhash64("doc_id"), *NAMES).collect()
     data = np.array([r[1:] for r in rows], float).reshape(len(rows), len(NAMES) + 1)
     return fit(data[:, 1:], data[:, 0])
 
 
+def _statistics(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), *[c.alias(k) for k, c in statistics(F.col("text")).items()])
+
+
 def _stored_statistics(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
-    return stored(docs.select(F.col("doc_id").cast("long"), *[c.alias(k) for k, c in statistics(F.col("text")).items()]), "statistics")
+    return stored(_statistics(docs), "statistics")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that are predicted to be good; read in place, without a shuffle."""
-    score = compiled(*train(_stored_statistics(docs), labels), prefix="__statistics.")
-    measured = docs.withColumn("__statistics", F.struct(*[c.alias(k) for k, c in statistics(docs["text"]).items()]))
-    return measured.where(score >= THRESHOLD).select(*[docs[f"`{c}`"] for c in docs.columns])
+    """The rows of ``docs``, all columns, that are predicted to be good; read in place, without a shuffle.
+
+    Statistics are made of the labelled rows for the fit, then once of all. Columns may have any name.
+    """
+    prepare(docs.sparkSession)
+    score = compiled(*train(_statistics(docs), labels), prefix="s.")
+    measured = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.struct(*[c.alias(k) for k, c in statistics(F.col("text")).items()]).alias("s")
+    )
+    return measured.where(score >= THRESHOLD).select("row.*")
 
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -598,3 +598,36 @@ def test_pipeline(spark, folder):
 def test_shingles_of_short_and_empty_texts():
     assert len(arrays.shingles(np.zeros(0, np.uint64), 5)) == 0
     assert len(arrays.shingles(np.arange(3, dtype=np.uint64), 5)) == 1
+
+
+def test_every_stage_on_odd_rows_and_clashing_names(spark, folder, tmp_path_factory):
+    """Null, empty, repeated and very long rows, names that the operators use themselves, and an empty table."""
+    import corpus_pipeline
+
+    home = str(tmp_path_factory.mktemp("sf"))
+    for name in ("benchmark", "labels"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{home}/{name}.parquet")
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").orderBy("item_id").first().text
+    good = spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").limit(30).select("doc_id", "text").collect()
+    rows = [*ODD, *map(tuple, good), *map(tuple, good[:5]), (2000, item), (None, item), (2001, "Long text. " * 30_000)]
+    names = [*CLASHES, "__statistics", "row", "s", "gone", "has", "words.of", "h.x"]
+    data = [(i, t, "en", "s", len(t or ""), *[k] * len(names)) for k, (i, t) in enumerate(rows)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long" + "".join(f", `{c}` int" for c in names)
+    docs = spark.createDataFrame(data, schema).repartition(4)
+    columns = docs.columns
+    for df in (docs, docs.limit(0)):
+        n = df.count()
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            got = stage(spark, df, home)
+            found = got.collect()
+            assert k == 4 or got.columns == columns, name
+            if k in (1, 2, 3):
+                # Rows without an id or a text are nobody's copy and hold no item.
+                assert sum(r.doc_id is None for r in found) == sum(i is None for i, _ in rows) * bool(n), name
+                assert sum(r.doc_id in (900, 901, 902) for r in found) == 3 * bool(n), name
+            if k == 2 and n:
+                assert 2000 not in {r.doc_id for r in found} and n - 3 <= len(found) < n
+            if k == 3:
+                assert len(found) == n
+            if k == 4 and n:
+                check_packing(rows, found)
