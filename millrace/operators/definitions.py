@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import blank_to_null, short_type_name
 from millrace.functions.maps import STRING_MAP, empty_map
+from millrace.operators.lookup import lookup_join
+from millrace.operators.ordered import row_numbers
 
 # The reject reasons, in the order they are tried.
 REASON_BLANK = "definition is required."
@@ -30,6 +32,8 @@ DEFAULT_RELATIONSHIPS = ["success"]
 # The fields that hold a definition's children.
 CHILDREN = ["processors", "connections", "controllerServices", "parameterContexts", "ports"]
 
+F_ENTRIES = "map<string,struct<value:string,sensitive:boolean,description:string>>"
+
 # The scheduling keys a manifest keeps.
 SCHEDULING_KEYS = [
     "schedulingStrategy",
@@ -104,9 +108,10 @@ def parse_definitions(
 ) -> Definitions:
     """Split definition texts into child tables and rejects, without a Python UDF.
 
-    With ``part_col`` the rows of one id are the parts that ``nest_documents`` writes:
+    With ``part_col`` the rows of one id are the parts that ``definition_documents`` writes:
     positions go on from part to part, the first part names the definition, and a fault
-    in any part rejects it as a whole, once, for the first such fault.
+    in any part rejects it as a whole, once, for the first such fault. The slices of a large
+    context, in several parts, are one context again, its parameters in order.
 
     Each table reads only what it needs of the text. A caller that uses several
     of them may persist ``df`` or write the tables.
@@ -163,16 +168,30 @@ def parse_definitions(
         return F.coalesce(_get("item", path, STRING_MAP), empty_map())
 
     named = F.coalesce(_get("item", "$.name"), short_type_name(_get("item", "$.type")))
-    contexts = children("parameterContexts")
+    contexts = children("parameterContexts").withColumns({"slice": _get("item", "$.slice", "int"), "of": _get("item", "$.of", "int")})
     # A parsed object has its names in alphabetical order; the text has them as they were written.
     written = F.expr("json_object_keys(get_json_object(raw, concat('$.parameterContexts[', at, '].parameters')))")
     entries = contexts.select(
         "pipeline_id",
         F.col("pos").alias("context_pos"),
+        "slice",
+        "of",
         _get("item", "$.name").alias("context"),
         written.alias("written"),
         F.posexplode(_get("item", "$.parameters", "map<string,variant>")).alias("at", "name", "entry"),
     ).withColumn("pos", F.coalesce(F.nullif(F.array_position("written", F.col("name")), F.lit(0)) - 1, F.col("at")).cast("int"))
+    if part_col:
+        # Slices go to the place of the first, their parameters behind those of earlier slices.
+        slices = contexts.where("slice IS NOT NULL AND of IS NOT NULL")
+        n = F.coalesce(F.size(_get("item", "$.parameters", "map<string,variant>")), F.lit(0))
+        earlier = Window.partitionBy("pipeline_id", "of").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        begins = slices.groupBy("pipeline_id", "of", "slice").agg(F.max(n).alias("n")).select(
+            "pipeline_id", "of", "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin")
+        )
+        home = slices.where("slice = 0").groupBy("pipeline_id", "of").agg(F.min("pos").alias("home"))
+        entries = lookup_join(entries, home, ["pipeline_id", "of"]).withColumn("context_pos", F.coalesce("home", "context_pos"))
+        entries = lookup_join(entries, begins, ["pipeline_id", "of", "slice"]).withColumn("pos", (F.col("pos") + F.coalesce("begin", F.lit(0))).cast("int"))
+        contexts = contexts.where("slice IS NULL OR of IS NULL OR slice = 0")
     is_entry = F.coalesce(_is_collection("entry"), F.lit(False))
     return Definitions(
         pipelines=one_row(good.withColumn("name", _get("doc", "$.name")), "name"),
@@ -285,21 +304,18 @@ def nest_documents(
         )
 
     head = F.struct(*[column.alias(name) for name, column in header.items()])
-    pieces = rows(parents, "", F.lit(0), head)
+    heads = parents.groupBy(key).agg(F.max(F.to_json(head)).alias("head"))
+    # A parent without children has a first part, too.
+    pieces = rows(heads, "", F.lit(0), F.struct(F.lit(0).alias("none")))
     for kind, (df, *columns) in children.items():
         pieces = pieces.unionByName(rows(df, kind, *columns))
 
-    # Dealt by the parent once; the window and both aggregates below keep to that.
-    rank = F.row_number().over(Window.partitionBy(key, "kind").orderBy("pos", "body"))
-    ranked = pieces.repartition(key).withColumn("rank", rank)
-    grouped = (
-        ranked.groupBy(key, F.greatest(F.floor((F.col("rank") - 1) / part_rows), "least").alias("part"))
-        .agg(
-            F.max(F.when(F.col("kind") == "", F.col("body"))).alias("head"),
-            F.sort_array(F.collect_list(F.when(F.col("kind") != "", F.struct("kind", "rank", "body")))).alias("items"),
-        )
-        .withColumn("head", F.max("head").over(Window.partitionBy(key)))
+    # The children of a parent of any size are numbered by slices; a part has a bounded list.
+    ranked = row_numbers(pieces, [key, "kind"], ["pos", "body"], "rank")
+    grouped = ranked.groupBy(key, F.greatest(F.floor((F.col("rank") - 1) / part_rows), "least").alias("part")).agg(
+        F.sort_array(F.collect_list(F.when(F.col("kind") != "", F.struct("kind", "rank", "body")))).alias("items")
     )
+    grouped = lookup_join(grouped, heads, key)
 
     def of_kind(kind: str) -> Column:
         return F.filter("items", lambda piece: piece["kind"] == kind)["body"]
@@ -338,9 +354,8 @@ def _contexts_with_parameters(definitions: Definitions, part_rows: int) -> DataF
     table = definitions.parameters
     if "pos" not in table.columns:
         table = table.withColumn("pos", F.lit(None).cast("int"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("pos", "name"))
     listed = (
-        table.withColumn("rank", rank)
+        row_numbers(table, keys, ["pos", "name"], "rank")
         .groupBy(*keys, F.floor((F.col("rank") - 1) / part_rows).alias("slice"))
         .agg(F.sort_array(F.collect_list(F.struct("rank", entry.alias("entry")))).alias("items"))
         .select(*keys, "slice", F.col("items.entry").alias("parameters"))
@@ -348,6 +363,52 @@ def _contexts_with_parameters(definitions: Definitions, part_rows: int) -> DataF
     return definitions.contexts.withColumnRenamed("pos", "context_pos").join(listed, keys, "left")
 
 
+def definition_documents(definitions: Definitions, part_rows: int = 10_000) -> DataFrame:
+    """The JSON form that ``parse_definitions`` reads, as (pipeline_id, part, document).
+
+    A definition with more than ``part_rows`` children of a kind comes in parts, and a context
+    with more parameters in slices, one to a part, which parsing joins again. A context's
+    parameters have different names.
+    """
+    contexts = _contexts_with_parameters(definitions, part_rows)
+    sliced = F.max("slice").over(Window.partitionBy("pipeline_id", "context_pos")) > 0
+    contexts = contexts.withColumn("sliced", F.coalesce(sliced, F.lit(False)))
+    entry = lambda p: F.struct(
+        p["parameter"]["name"], F.struct(p["parameter"]["value"], p["parameter"]["sensitive"], p["parameter"]["description"])
+    )
+    parameters = F.map_from_entries(F.transform("parameters", entry))
+    context = F.struct(
+        F.col("name"),
+        F.nullif("description", F.lit("")).alias("description"),
+        F.when(F.col("sliced"), F.col("context_pos")).alias("of"),
+        F.when(F.col("sliced"), F.col("slice")).alias("slice"),
+        F.coalesce(parameters, F.create_map().cast(F_ENTRIES)).alias("parameters"),
+    )
+    processor = F.struct(
+        "name", "type", _non_empty("properties").alias("properties"), _non_empty("scheduling").alias("scheduling"),
+        _non_empty("auto_terminated").alias("autoTerminatedRelationships"),
+    )
+    pressure = F.when(
+        F.col("object_threshold").isNotNull() | F.col("size_threshold").isNotNull(),
+        F.struct(F.col("object_threshold").alias("objectThreshold"), F.col("size_threshold").alias("dataSizeThreshold")),
+    )
+    connection = F.struct("source", "destination", "relationships", pressure.alias("backPressure"))
+    pos = F.col("pos")
+    return nest_documents(
+        definitions.pipelines,
+        "pipeline_id",
+        {"name": F.col("name")},
+        {
+            "processors": (definitions.processors, pos, processor),
+            "connections": (definitions.connections, pos, connection),
+            "controllerServices": (definitions.services, pos, F.struct("name", "type", _non_empty("properties").alias("properties"))),
+            "parameterContexts": (contexts, F.col("context_pos"), context, F.coalesce("slice", F.lit(0))),
+            "ports": (definitions.ports, pos, F.struct("name", F.col("port_type").alias("type"))),
+        },
+        part_rows,
+    )
+
+
 def manifest(definitions: Definitions, part_rows: int = 10_000) -> DataFrame:
     """The deployment manifest of each definition, as (pipeline_id, part, document).
 

@@ -244,6 +244,39 @@ def test_large_definition_is_written_in_parts(spark):
     assert parameters == [f"k{i}" for i in range(45)]
 
 
+def test_slices_of_a_context_are_one_context_again(spark):
+    """Two contexts of one name, both cut into slices, one without parameters, and one small."""
+    many = {
+        "name": "big",
+        "processors": [{"type": "t", "name": "p"}],
+        "parameterContexts": [
+            {"name": "c", "description": "first", "parameters": {f"k{i:02d}": {"value": str(i), "sensitive": i % 2 == 0} for i in range(45)}},
+            {"name": "c", "parameters": {f"z{i:02d}": str(i) for i in range(23)}},
+            {"name": "none"},
+            {"name": "small", "parameters": {"b": "1", "a": "2"}},
+        ],
+        "ports": [{"name": "in", "type": "INPUT"}],
+    }
+    parsed = corpus(spark, many)
+    documents = d.definition_documents(parsed, part_rows=10)
+    assert documents.count() > 4
+    assert all(len(c["parameters"]) <= 10 for r in documents.collect() for c in json.loads(r.document)["parameterContexts"])
+    again = d.parse_definitions(documents, "pipeline_id", "document", "part")
+    # Only the repeat that was there is a repeat.
+    assert [r.rule for r in v.validate(again).collect()] == ["duplicate_context"]
+    contexts = {r.pos: r for r in again.contexts.collect()}
+    assert sorted(c.name for c in contexts.values()) == ["c", "c", "none", "small"]
+    found = {}
+    for r in again.parameters.orderBy("pos").collect():
+        found.setdefault((contexts[r.context_pos].name, contexts[r.context_pos].description), []).append((r.name, r.value, r.sensitive))
+    assert found == {
+        ("c", "first"): [(f"k{i:02d}", str(i), i % 2 == 0) for i in range(45)],
+        ("c", ""): [(f"z{i:02d}", str(i), False) for i in range(23)],
+        ("small", ""): [("b", "1", False), ("a", "2", False)],
+    }
+    assert rows(again.ports, "name", "port_type") == [("in", "INPUT")]
+
+
 def test_parameters_keep_the_order_of_the_definition(spark):
     definition = {"name": "x", "parameterContexts": [{"name": "c", "parameters": {"zeta": "1", "alpha": "2", "mid": {"value": "3"}}}]}
     parsed = corpus(spark, definition)

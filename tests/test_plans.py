@@ -5,6 +5,7 @@ import random
 import tempfile
 import time
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace import scratch_path, session, shared_dir, sources
 from millrace.plans import DefinitionError, ParameterValue, Pipeline, register
 from millrace.plans.run import bound_properties, trigger_of
-from millrace.streaming import queue_status_stream, wait_notify_stream
+from millrace.streaming import label_late, queue_status_stream, wait_notify_stream
 
 
 def rows(df, *cols):
@@ -153,6 +154,110 @@ def test_wait_and_notify_types(spark):
     assert rows(out["waiting"], "k", "id") == [("b", 2)]
 
 
+def test_ports_carry_rows_in_and_out(spark):
+    flow = (
+        Pipeline.create("x").with_input_port("in").with_output_port("out").with_output_port("none")
+        .add_processor("twice", "UpdateRecord", {"field.id": "id * 2"})
+        .connect("in", "twice").connect("twice", "out").connect("in", "none").build()
+    )
+    found = flow.run(spark, {"in": spark.range(3)})
+    assert rows(found["out"]["success"]) == [(0,), (2,), (4,)] and rows(found["none"]["success"]) == [(0,), (1,), (2,)]
+    assert "in" not in found
+    # The rules of a definition know no ports.
+    assert any("does not match" in message for message in flow.issues()) and flow.issues(ports=True) == []
+    with pytest.raises(DefinitionError, match="given no rows"):
+        flow.run(spark)
+    with pytest.raises(DefinitionError, match="name of a processor"):
+        Pipeline.create("x").with_input_port("a").add_processor("a", "UpdateRecord").build().run(spark, {"a": spark.range(1)})
+    with pytest.raises(DefinitionError, match="does not match"):
+        Pipeline.create("x").with_output_port("o").add_processor("a", "UpdateRecord").connect("o", "a").build().run(spark)
+
+
+def test_rows_for_several_sinks_are_computed_once(spark, tmp):
+    """The source is scanned once; the sinks read what was written where their ways part."""
+    spark.range(100).write.parquet(f"{tmp}/in")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    register("Count", lambda df, props, env: {"success": df.mapInPandas(counted, df.schema)})
+    flow = (
+        Pipeline.create("x")
+        .add_processor("read", "GetFile", {"path": f"{tmp}/in"})
+        .add_processor("count", "Count")
+        .add_processor("route", "RouteOnAttribute", {"route.small": "id < 10"})
+        .add_processor("a", "PutFile", {"path": f"{tmp}/a"})
+        .add_processor("b", "PutFile", {"path": f"{tmp}/b"})
+        .add_processor("c", "PutFile", {"path": f"{tmp}/c"})
+        .connect("read", "count").connect("count", "route")
+        .connect("route", "a", ["small"]).connect("route", "b", ["unmatched"]).connect("route", "c", ["unmatched"])
+        .build()
+    )
+    found = flow.run(spark)
+    assert [spark.read.parquet(f"{tmp}/{x}").count() for x in "abc"] == [10, 90, 90]
+    assert seen.value == 100
+    plan = found["route"]["unmatched"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and f"{tmp}/in" not in plan
+
+
+def test_update_by_definition(spark, tmp):
+    table = f"t{time.time_ns()}"
+    current = spark.createDataFrame([("a", 0, 1), ("b", 2, 2)], "id string, version bigint, n int")
+    current.write.option("path", f"{tmp}/table").saveAsTable(table)
+    asked = [("a", 1, "update", 0, 10), ("a", 2, "update", 1, 11), ("b", 1, "delete", 0, 0), ("c", 1, "create", None, 5), (None, 9, "create", None, 6)]
+    given = spark.createDataFrame(asked, "id string, seq bigint, op string, sent_version bigint, n int")
+    flow = Pipeline.create("x").add_processor("put", "PutSQL", {"table": table, "statement": "UPDATE", "rule": "sequence"}).build()
+    found = flow.run(spark, {"put": given})["put"]
+    assert rows(found["success"], "id", "version", "n") == [("a", 2, 11), ("b", 2, 2), ("c", 0, 5)]
+    assert rows(found["failure"], "id", "seq") == [("b", 1), (None, 9)]
+    with pytest.raises(ValueError, match="statement"):
+        Pipeline.create("x").add_processor("put", "PutSQL", {"table": table, "statement": "merge"}).build().run(spark, {"put": given})
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_partitioned_read_is_passed_on(spark, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(sources, "read_sql", lambda spark, query, url, partition, **options: asked.update(url=url, partition=partition, **options) or spark.range(1))
+    props = {"query": "SELECT 1", "url": "jdbc:x", "partition.column": "id", "partition.lower": "1", "partition.upper": "900", "partition.count": "16", "option.fetchsize": "50"}
+    Pipeline.create("x").add_processor("sql", "ExecuteSQL", props).build().run(spark)
+    assert asked == {"url": "jdbc:x", "partition": ("id", 1, 900, 16), "fetchsize": "50"}
+
+
+def test_a_batch_that_is_run_again_replaces_its_rows(spark, tmp):
+    """Two sinks behind one source: one query, and no row twice after a restart from an older state."""
+    flow = (
+        Pipeline.create("both")
+        .add_processor("read", "GetFile", {"path": f"{tmp}/in", "schema": "id bigint", "option.maxFilesPerTrigger": "1"})
+        .add_processor("route", "RouteOnAttribute", {"route.even": "id % 2 = 0"})
+        .add_processor("a", "PutFile", {"path": f"{tmp}/a"})
+        .add_processor("b", "PutFile", {"path": f"{tmp}/b"})
+        .connect("read", "route").connect("route", "a", ["even"]).connect("route", "b", ["unmatched"])
+        .build()
+    )
+
+    def drain():
+        started = flow.run_stream(spark, checkpoint=f"{tmp}/progress")
+        assert len(started) == 1
+        for query in started:
+            query.awaitTermination()
+
+    spark.range(10).coalesce(1).write.parquet(f"{tmp}/in")
+    drain()
+    spark.range(10, 20).coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+    drain()
+    # As if the process had ended before the last batch was marked as done.
+    (done,) = [p for p in Path(f"{tmp}/progress/both/commits").iterdir() if p.name == "1"]
+    done.unlink()
+    for crc in Path(f"{tmp}/progress/both/commits").glob(".1.crc"):
+        crc.unlink()
+    drain()
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp}/a").collect()) == list(range(0, 20, 2))
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp}/b").collect()) == list(range(1, 20, 2))
+
+
 def test_registered_type_and_sinks(spark, tmp):
     register("Twice", lambda df, props, env: {"success": df.unionAll(df)})
     flow = (
@@ -424,6 +529,14 @@ def test_rows_of_one_folder_come_together_and_a_hot_one_is_split(spark, tmp):
     assert sum(files.values()) < 8 * len(files)
 
 
+def test_late_rows_have_a_relationship(spark, tmp):
+    _put(spark, f"{tmp}/in", (1, "a", "x", 1, "2024-01-01 10:00:00"), (2, "a", "x", 1, None))
+    _put(spark, f"{tmp}/in", (3, "a", "x", 1, "2024-01-03 10:00:00"), (4, "a", "x", 1, "2024-01-01 23:00:00"))
+    _put(spark, f"{tmp}/in", (5, "a", "x", 1, "2024-01-01 23:59:59"), (6, "a", "x", 1, "2024-01-03 00:00:00"), (7, "a", "x", 1, "2024-01-02 01:00:00"))
+    found = label_late(_stream(spark, f"{tmp}/in", EVENTS), "1 day", "1 hour").select("id", "relationship")
+    assert rows(_drain(found, tmp, "out")) == [(1, "on_time"), (2, "late"), (3, "on_time"), (4, "on_time"), (5, "late"), (6, "on_time"), (7, "late")]
+
+
 def test_rate_source(spark, tmp):
     rate = sources.read_stream(spark, "rate-micro-batch", rowsPerBatch=7, numPartitions=2)
     query = sources.write_stream(rate, "parquet", f"{tmp}/p", {"processingTime": "0 seconds"}, path=f"{tmp}/r")

@@ -322,86 +322,139 @@ def validate_all(t):
     return v.validate(_definitions(t))
 
 
+def _checked(t):
+    """Definitions of which a part breaks no rule: every third order's edges lead back to their line."""
+    edges = roles.edges(t).withColumn(
+        "destination", F.when(F.col("pipeline_id").cast("bigint") % 3 == 0, F.col("source")).otherwise(F.col("destination"))
+    )
+    contexts = t.part.select(
+        text("p_partkey").alias("pipeline_id"), F.col("p_size").alias("pos"), F.col("p_name").alias("name"), F.lit("").alias("description")
+    )
+    parameters = t.part.select(
+        text("p_partkey").alias("pipeline_id"),
+        F.col("p_size").alias("context_pos"),
+        F.col("p_name").alias("context"),
+        F.explode(F.array(F.struct(F.lit(0).alias("pos"), F.lit("type").alias("name"), F.col("p_type").alias("value")),
+                          F.struct(F.lit(1).alias("pos"), F.lit("brand").alias("name"), F.col("p_brand").alias("value")))).alias("p"),
+        (F.col("p_size") % 2 == 0).alias("sensitive"),
+        F.lit("").alias("description"),
+    ).select("pipeline_id", "context_pos", "context", "p.name", "p.value", "sensitive", "description", "p.pos")
+    ports = t.supplier.select(
+        text("s_suppkey").alias("pipeline_id"), F.col("s_nationkey").alias("pos"), F.col("s_name").alias("name"),
+        F.when(F.col("s_nationkey") % 2 == 0, "INPUT").otherwise("OUTPUT").alias("port_type"),
+    )
+    processors = roles.processors(t).withColumns(
+        {
+            "properties": F.create_map(F.lit("line"), "name"),
+            "scheduling": F.create_map().cast("map<string,string>"),
+            "auto_terminated": F.array(F.lit("failure")),
+        }
+    )
+    rejects = t.spark.createDataFrame([], "pipeline_id string, reason string")
+    return d.Definitions(roles.pipelines(t), processors, edges, roles.services(t), contexts, parameters, ports, rejects)
+
+
+CHECKED_SQL = f"""{PROCESSORS_SQL},
+  edges AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS pipeline_id, l_linenumber AS pos, CAST(l_linenumber AS VARCHAR) AS source,
+           CAST(CASE WHEN l_orderkey % 3 = 0 THEN l_linenumber ELSE l_linenumber + 1 END AS VARCHAR) AS destination,
+           l_returnflag = 'R' AS unrelated, l_linenumber FROM lineitem),
+  {NAMES_SQL},
+  services AS (SELECT CAST(o_custkey AS VARCHAR) AS pipeline_id, o_orderkey AS pos, o_orderpriority AS name, o_orderstatus AS status FROM orders),
+  contexts AS (SELECT CAST(p_partkey AS VARCHAR) AS pipeline_id, p_size AS pos, p_name AS name, p_type, p_brand FROM part),
+  ports AS (SELECT CAST(s_suppkey AS VARCHAR) AS pipeline_id, s_nationkey AS pos, s_name AS name FROM supplier),
+  flows AS (SELECT CAST(o_orderkey AS VARCHAR) AS pipeline_id, 'flow-' || o_orderkey AS name FROM orders)"""
+
+
 @query(
     "definition_summary",
-    f"""WITH {ISSUES_SQL},
-    n_p AS (SELECT pipeline_id, count(*) AS n FROM processors GROUP BY 1),
-    n_e AS (SELECT pipeline_id, count(*) AS n FROM edges GROUP BY 1),
-    n_s AS (SELECT pipeline_id, count(*) AS n FROM services GROUP BY 1),
-    n_c AS (SELECT pipeline_id, count(*) AS n FROM contexts GROUP BY 1),
-    flows AS (SELECT CAST(o_orderkey AS VARCHAR) AS pipeline_id, 'flow-' || o_orderkey AS name
-              FROM orders)
-    SELECT f.pipeline_id, f.name, coalesce(n_p.n, 0) AS processors,
-           coalesce(n_e.n, 0) AS connections, coalesce(n_s.n, 0) AS services,
-           coalesce(n_c.n, 0) AS contexts, CAST(0 AS BIGINT) AS ports
-    FROM flows f
-    LEFT JOIN n_p ON n_p.pipeline_id = f.pipeline_id
-    LEFT JOIN n_e ON n_e.pipeline_id = f.pipeline_id
-    LEFT JOIN n_s ON n_s.pipeline_id = f.pipeline_id
-    LEFT JOIN n_c ON n_c.pipeline_id = f.pipeline_id
-    WHERE f.pipeline_id NOT IN (
-      SELECT pipeline_id FROM issues WHERE rule NOT LIKE 'dangling%' AND rule <> 'duplicate_service')
-    """,
+    f"""WITH {CHECKED_SQL},
+    broken AS (
+      SELECT pipeline_id FROM processors GROUP BY pipeline_id, name HAVING count(*) > 1
+      UNION ALL SELECT pipeline_id FROM services GROUP BY pipeline_id, name HAVING count(*) > 1
+      UNION ALL SELECT pipeline_id FROM contexts GROUP BY pipeline_id, name HAVING count(*) > 1
+      UNION ALL SELECT pipeline_id FROM processors WHERE type = ''
+      UNION ALL SELECT pipeline_id FROM edges WHERE unrelated
+      UNION ALL SELECT e.pipeline_id FROM edges e WHERE NOT EXISTS (
+        SELECT 1 FROM names n WHERE n.pipeline_id = e.pipeline_id AND n.name = e.destination))
+    SELECT f.pipeline_id, f.name,
+           (SELECT count(*) FROM processors x WHERE x.pipeline_id = f.pipeline_id) AS processors,
+           (SELECT count(*) FROM edges x WHERE x.pipeline_id = f.pipeline_id) AS connections,
+           (SELECT count(*) FROM services x WHERE x.pipeline_id = f.pipeline_id) AS services,
+           (SELECT count(*) FROM contexts x WHERE x.pipeline_id = f.pipeline_id) AS contexts,
+           (SELECT count(*) FROM ports x WHERE x.pipeline_id = f.pipeline_id) AS ports
+    FROM flows f WHERE f.pipeline_id IN (SELECT pipeline_id FROM processors) AND f.pipeline_id NOT IN (SELECT pipeline_id FROM broken)""",
 )
 def definition_summary(t):
-    # Every last line dangles by its role, so those two rules are left to validate_all.
-    definitions = _definitions(t)
-    issues = v.validate(definitions).where(
-        ~F.col("rule").like("dangling%") & (F.col("rule") != "duplicate_service")
-    )
-    return v.summarise(definitions, issues)
+    return v.summarise(_checked(t))
+
+
+def _component(*fields):
+    """SQL for a component of a manifest from SQL of its fields."""
+    return """'{"revision":{"version":0},"component":{' || """ + " || ".join(fields) + """ || '}}'"""
 
 
 @query(
     "nest_manifest",
-    f"""WITH {PROCESSORS_SQL}, kinds AS (
-      SELECT CAST(o_orderkey AS VARCHAR) AS pipeline_id, 'head' AS kind, 0 AS pos,
-             '{{"processGroup":{{"revision":{{"version":0}},"component":{{"name":"flow-'
-             || o_orderkey || '"}}}}' AS body FROM orders
+    f"""WITH {CHECKED_SQL}, kinds AS (
+      SELECT pipeline_id, 'head' AS kind, 0 AS pos, '{{"processGroup":' || {_component("""'"name":"'""", "name", """'"'""")} AS body FROM flows
       UNION ALL
-      SELECT pipeline_id, 'processors', pos, '{{"revision":{{"version":0}},"component":{{"type":"'
-             || type || '","name":"' || name || '","config":{{"properties":{{"line":"' || name
-             || '"}},"autoTerminatedRelationships":["failure"]}}}}}}' FROM processors
+      SELECT pipeline_id, 'processors', pos, {_component("""'"type":"'""", "type", """'","name":"'""", "name",
+        """'","config":{"properties":{"line":"'""", "name", """'"},"autoTerminatedRelationships":["failure"]}'""")} FROM processors
       UNION ALL
-      SELECT CAST(l_orderkey AS VARCHAR), 'connections', l_linenumber,
-             '{{"revision":{{"version":0}},"component":{{"source":{{"id":"","type":"PROCESSOR"}},'
-             || '"destination":{{"id":"","type":"PROCESSOR"}},"selectedRelationships":['
-             || CASE WHEN l_returnflag = 'R' THEN '' ELSE '"success"' END || ']'
-             || CASE WHEN l_linenumber > 2 THEN ',"backPressureObjectThreshold":'
-                || (l_linenumber * 100) ELSE '' END
-             || CASE WHEN l_linenumber = 4 THEN ',"backPressureDataSizeThreshold":"1 GB"'
-                ELSE '' END || '}}}}' FROM lineitem),
+      SELECT pipeline_id, 'connections', pos, {_component("""'"source":{"id":"","type":"PROCESSOR"},"destination":{"id":"","type":"PROCESSOR"},"selectedRelationships":['""",
+        """CASE WHEN unrelated THEN '' ELSE '"success"' END""", "']'",
+        """CASE WHEN l_linenumber > 2 THEN ',"backPressureObjectThreshold":' || (l_linenumber * 100) ELSE '' END""",
+        """CASE WHEN l_linenumber = 4 THEN ',"backPressureDataSizeThreshold":"1 GB"' ELSE '' END""")} FROM edges
+      UNION ALL
+      SELECT pipeline_id, 'services', pos, {_component("""'"type":"org.example.'""", "status", """'","name":"'""", "name",
+        """'","properties":{"status":"'""", "status", """'"}'""")} FROM services
+      UNION ALL
+      SELECT pipeline_id, 'contexts', pos, {_component("""'"name":"'""", "name", """'","parameters":[{"parameter":{"name":"type","value":"'""", "p_type",
+        """'","sensitive":'""", "(pos % 2 = 0)", """'}},{"parameter":{"name":"brand","value":"'""", "p_brand", """'","sensitive":'""", "(pos % 2 = 0)", "'}}]'")} FROM contexts
+      UNION ALL
+      SELECT pipeline_id, 'ports', pos, {_component("""'"name":"'""", "name", """'","type":"'""",
+        """CASE WHEN pos % 2 = 0 THEN 'INPUT' ELSE 'OUTPUT' END""", """'_PORT"'""")} FROM ports),
     lists AS (SELECT pipeline_id, max(CASE WHEN kind = 'head' THEN body END) AS head,
                 string_agg(body, ',' ORDER BY pos, body) FILTER (kind = 'processors') AS p,
-                string_agg(body, ',' ORDER BY pos, body) FILTER (kind = 'connections') AS c
-              FROM kinds GROUP BY pipeline_id)
+                string_agg(body, ',' ORDER BY pos, body) FILTER (kind = 'connections') AS c,
+                string_agg(body, ',' ORDER BY pos, body) FILTER (kind = 'services') AS s,
+                string_agg(body, ',' ORDER BY pos, body) FILTER (kind = 'contexts') AS x,
+                string_agg(body, ',' ORDER BY pos, body) FILTER (kind = 'ports') AS o
+              FROM kinds GROUP BY pipeline_id HAVING count(*) FILTER (kind = 'head') > 0)
     SELECT pipeline_id, CAST(0 AS BIGINT) AS part,
-           head || ',"parameterContexts":[],"controllerServices":[],"processors":['
-           || coalesce(p, '') || '],"connections":[' || coalesce(c, '') || '],"ports":[]}}'
-           AS document
+           head || ',"parameterContexts":[' || coalesce(x, '') || '],"controllerServices":[' || coalesce(s, '') || '],"processors":['
+           || coalesce(p, '') || '],"connections":[' || coalesce(c, '') || '],"ports":[' || coalesce(o, '') || ']}}' AS document
     FROM lists""",
 )
 def nest_manifest(t):
-    spark = t.spark
-    none = lambda schema: spark.createDataFrame([], schema)
-    processors = roles.processors(t).withColumns(
-        {
-            "properties": F.create_map(F.lit("line"), "name"),
-            "scheduling": F.create_map().cast("map<string,string>"),
-            "auto_terminated": F.array(F.lit("failure")),
-        }
-    )
-    from millrace import schemas
-
-    return d.manifest(
-        d.Definitions(
-            roles.pipelines(t),
-            processors,
-            roles.edges(t),
-            none(schemas.SERVICES),
-            none(schemas.CONTEXTS),
-            none(schemas.PARAMETERS),
-            none(schemas.PORTS),
-            none(schemas.REJECTS),
-        )
+    """All child tables; children of a parent that is not there are left out."""
+    found = d.manifest(_checked(t))
+    return found.join(roles.pipelines(t).select("pipeline_id"), "pipeline_id", "left_semi")
+
+
+@query(
+    "round_trip_contexts",
+    """SELECT n_nationkey::VARCHAR AS pipeline_id, c_mktsegment AS context, c_name AS name, CAST(CAST(round(c_acctbal * 100) AS BIGINT) AS VARCHAR) AS value,
+              CAST(row_number() OVER (PARTITION BY n_nationkey, c_mktsegment ORDER BY c_custkey) - 1 AS INTEGER) AS pos
+    FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+)
+def round_trip_contexts(t):
+    """Contexts of dozens of parameters, cut into slices of five, are whole again when parsed."""
+    customers = t.customer.select(
+        text("c_nationkey").alias("pipeline_id"),
+        F.ascii("c_mktsegment").alias("context_pos"),
+        F.col("c_mktsegment").alias("context"),
+        F.col("c_name").alias("name"),
+        text(F.round(F.col("c_acctbal") * 100).cast("bigint")).alias("value"),
+        F.lit(False).alias("sensitive"),
+        F.lit("").alias("description"),
+        F.col("c_custkey").cast("int").alias("pos"),
     )
+    contexts = customers.select("pipeline_id", F.col("context_pos").alias("pos"), F.col("context").alias("name"), F.lit("").alias("description")).distinct()
+    nations = t.nation.select(text("n_nationkey").alias("pipeline_id"), F.col("n_name").alias("name"))
+    none = _checked(t)
+    only = d.Definitions(nations, *[df.where("false") for df in (none.processors, none.connections, none.services)], contexts, customers, none.ports.where("false"), none.rejects)
+    again = d.parse_definitions(d.definition_documents(only, part_rows=5), "pipeline_id", "document", "part")
+    repeats = v.validate(again).where("rule = 'duplicate_context'").select("pipeline_id")
+    return again.parameters.join(repeats, "pipeline_id", "left_anti").select("pipeline_id", "context", "name", "value", "pos")
