@@ -21,25 +21,25 @@ VALID = {
     ],
 }
 DANGLING = {
-    "name": "My flow",
+    "name": "squeeze",
     "processors": [
         {
-            "name": "Fetch Files",
+            "name": "tail-logs",
             "type": "org.example.GetFile",
-            "properties": {"Port": "22"},
-            "scheduling": {"schedulingPeriod": "1 min"},
+            "properties": {"depth": "7"},
+            "scheduling": {"schedulingPeriod": "90 sec"},
             "autoTerminatedRelationships": ["failure"],
         }
     ],
-    "connections": [{"source": "Fetch Files", "destination": "Parse CSV"}],
-    "controllerServices": [{"type": "org.example.Pool", "properties": {"url": "#{db_url}"}}],
+    "connections": [{"source": "tail-logs", "destination": "squash"}],
+    "controllerServices": [{"type": "org.example.Pool", "properties": {"url": "#{store_at}"}}],
     "parameterContexts": [
         {
-            "name": "config",
-            "description": "Settings",
+            "name": "limits",
+            "description": "Bounds of the run",
             "parameters": {
-                "db_url": "jdbc:x",
-                "password": {"value": "secret", "sensitive": True},
+                "store_at": "shelf-3",
+                "pin": {"value": "0417", "sensitive": True},
                 "odd": {"sensitive": "0"},
                 "listed": [1],
                 "absent": None,
@@ -95,21 +95,21 @@ def test_builder_side_gives_the_same_reasons(text, reason):
 def test_children(spark):
     parsed = corpus(spark, VALID, DANGLING)
     assert rows(parsed.processors, "pipeline_id", "pos", "name") == [
-        ("0", 0, "fetch"), ("0", 1, "parse"), ("0", 2, "store"), ("1", 0, "Fetch Files"),
+        ("0", 0, "fetch"), ("0", 1, "parse"), ("0", 2, "store"), ("1", 0, "tail-logs"),
     ]
-    fetch = parsed.processors.where("name = 'Fetch Files'").first()
-    assert fetch.properties == {"Port": "22"}
-    assert fetch.scheduling == {"schedulingPeriod": "1 min"}
+    fetch = parsed.processors.where("name = 'tail-logs'").first()
+    assert fetch.properties == {"depth": "7"}
+    assert fetch.scheduling == {"schedulingPeriod": "90 sec"}
     assert fetch.auto_terminated == ["failure"]
-    assert rows(parsed.services, "name", "properties") == [("Pool", {"url": "#{db_url}"})]
-    assert rows(parsed.contexts, "name", "description") == [("config", "Settings")]
+    assert rows(parsed.services, "name", "properties") == [("Pool", {"url": "#{store_at}"})]
+    assert rows(parsed.contexts, "name", "description") == [("limits", "Bounds of the run")]
     assert rows(parsed.parameters, "name", "value", "sensitive") == [
         ("absent", "", False),
-        ("db_url", "jdbc:x", False),
         ("listed", "", False),
         ("n", "5", False),
         ("odd", "", False),
-        ("password", "secret", True),
+        ("pin", "0417", True),
+        ("store_at", "shelf-3", False),
     ]
 
 
@@ -147,18 +147,18 @@ def messages(spark, definition):
 
 CASES = [
     (VALID, []),
-    (DANGLING, ["Connection destination 'Parse CSV' does not match any processor name."]),
-    ({"name": "x"}, ["Pipeline must contain at least one processor."]),
+    (DANGLING, [v.MESSAGES["dangling_destination"] % "squash"]),
+    ({"name": "x"}, [v.MESSAGES["empty"]]),
     (
         {"name": "x", "processors": [{"type": "t", "name": "a"}] * 3},
-        ["Duplicate processor name: 'a'."] * 2,
+        [v.MESSAGES["duplicate_processor"] % "a"] * 2,
     ),
     (
         {"name": "x", "processors": [{"type": "", "name": "a"}],
          "connections": [{"source": "b", "destination": "a", "relationships": []}]},
         [
             "Connection 'b' → 'a' has no relationships.",
-            "Connection source 'b' does not match any processor name.",
+            v.MESSAGES["dangling_source"] % "b",
             "Processor 'a' is missing a type.",
         ],
     ),
@@ -166,7 +166,7 @@ CASES = [
         {"name": "x", "processors": [{"type": "t"}],
          "controllerServices": [{"type": "s"}, {"type": "s"}],
          "parameterContexts": [{"name": "c"}, {"name": "c"}]},
-        ["Duplicate controller service name: 's'.", "Duplicate parameter context name: 'c'."],
+        [v.MESSAGES["duplicate_service"] % "s", v.MESSAGES["duplicate_context"] % "c"],
     ),
 ]
 
@@ -201,10 +201,10 @@ def test_manifest(spark):
             "revision": zero,
             "component": {
                 "type": "org.example.GetFile",
-                "name": "Fetch Files",
+                "name": "tail-logs",
                 "config": {
-                    "properties": {"Port": "22"},
-                    "schedulingPeriod": "1 min",
+                    "properties": {"depth": "7"},
+                    "schedulingPeriod": "90 sec",
                     "autoTerminatedRelationships": ["failure"],
                 },
             },
@@ -212,8 +212,8 @@ def test_manifest(spark):
     ]
     assert found["1"]["connections"][0]["component"]["selectedRelationships"] == ["success"]
     (context,) = found["1"]["parameterContexts"]
-    assert context["component"]["description"] == "Settings"
-    assert {"parameter": {"name": "password", "value": "secret", "sensitive": True}} in context[
+    assert context["component"]["description"] == "Bounds of the run"
+    assert {"parameter": {"name": "pin", "value": "0417", "sensitive": True}} in context[
         "component"
     ]["parameters"]
     assert found["0"]["parameterContexts"] == [] and found["0"]["ports"] == []
