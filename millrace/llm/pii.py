@@ -1,21 +1,25 @@
 """Personal data by fixed patterns and a skip-chain conditional random field.
 
-The patterns find what has a strict form. The field finds what they miss: it labels the
-tokens that hold a digit or an @ (all others are no personal data by definition, so they
-cut the chain into short ones) from their shape and neighbouring words. Neighbouring
-tokens share a potential, and so do tokens of one document that are alike wherever they
-stand: the same letters and digits once punctuation is gone. Tokens in a pattern's match
-are evidence. Loopy sum-product messages carry it along both kinds of edges, so a value
-that is recognised once is recognised everywhere in its document.
+The patterns find what has a strict form. The field finds what they miss. Its nodes are
+values: the patterns' matches, e-mail written out, what a word like "token" assigns with a
+colon or an equals sign (letters alone, too), groups of nine digits or more, names of known
+mailboxes, and tokens with a digit or an @. Other words are no nodes but features of the
+values beside them. Values near each other on a line share a potential, and so do values
+of one document that are alike wherever they stand: the same letters and digits, the same
+last nine digits, or a mailbox with and without its domain. Matches are evidence, to which every
+value like one is joined, so loopy sum-product messages carry it in one step; they go on
+until they change no more.
 
 The weights are fitted by pseudo-likelihood on at most TRAIN_DOCS documents, labelled by
 the patterns, with secrets (a kind of the field only) labelled where a word like "token"
-assigns them.
+assigns them, and on EXAMPLES lines made by rule, as written-out e-mail and secrets of
+letters are too rare to be learnt from a sample.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,9 +35,17 @@ from .frames import prepare
 KINDS = ["email", "ip", "card", "phone", "secret"]
 LABELS = ["none", *KINDS]
 TRAIN_DOCS = 3000
+# Longer texts are not learnt from, which bounds what the driver holds.
+TRAIN_BYTES = 100_000
+EXAMPLES = 600
 DIM = 1 << 14
 STEPS = 150
-ROUNDS = 20
+# Messages have settled when none changes more; the rounds are only a stop for a loop that swings.
+SETTLED, ROUNDS = 1e-4, 1000
+# Characters between values that share a chain edge.
+NEAR = 40
+# Digits that two numbers alike have in common.
+TAIL = 9
 SURE = 0.6
 
 Span = tuple[str, int, int]
@@ -48,6 +60,13 @@ _CANDIDATE = re.compile(r"\S*[0-9@]\S*")
 _TRIM = re.compile(r"\+?\(?[^\W_](?:\S*[^\W_])?")
 _WORD_BEFORE = re.compile(r"(\S+)\s*\Z")
 _WORD_AFTER = re.compile(r"\s*(\S+)")
+_WRITTEN = re.compile(
+    r"(?i)\b[a-z0-9_+-]+(?:(?: dot |\.)[a-z0-9_+-]+)*(?: at [a-z0-9-]+(?: dot [a-z0-9-]+)+| ?[\[(]at[\])] ?[a-z0-9-]+(?:(?: dot |\.| ?[\[(]dot[\])] ?)[a-z0-9-]+)+)\b"
+)
+_AT = re.compile(r"(?i) at | ?[\[(]at[\])] ?")
+_DOT = re.compile(r"(?i) dot | ?[\[(]dot[\])] ?")
+_NUMBER = re.compile(r"(?<![\w.+])\(?[0-9](?:[ ().-]{0,2}[0-9]){8,18}(?!\w)")
+_GIVEN = re.compile(r"(?i)\b(?:token|key|secret|password|passwd|pwd|credential)s?\b[\"']?\s*[:=]\s*[\"']?([^\s\"',;<>@/]{8,})")
 _ASSIGNED = re.compile(r"(?i)\b(?:token|key|secret|password|passwd|pwd|credential)\b\W*\Z")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -84,59 +103,125 @@ def base_spans(text: str) -> list[Span]:
 
 
 class Tokens:
-    """The candidate tokens of one text, their features, edges and known labels."""
+    """The values of one text, their features, edges and known labels."""
 
     def __init__(self, text: str, base: list[Span]):
-        self.places = []
+        taken, values = bytearray(len(text)), []
+
+        def add(a: int, b: int, known: int, core: str, kind: int = 0) -> None:
+            if a < b and not any(taken[a:b]):
+                taken[a:b] = b"\x01" * (b - a)
+                values.append((a, b, known, core, kind))
+
+        for kind, a, b in sorted(base, key=lambda s: (s[1], -s[2])):
+            add(a, b, LABELS.index(kind), text[a:b])
+        email, secret = LABELS.index("email"), LABELS.index("secret")
+        if re.search("(?i)dot|[\\[(]at", text):
+            for m in _WRITTEN.finditer(text):
+                add(m.start(), m.end(), 0, _DOT.sub(".", _AT.sub("@", m[0])), email)
+        if ":" in text or "=" in text:
+            for m in _GIVEN.finditer(text):
+                core = m[1].rstrip(".)]}!?:")
+                add(m.start(1), m.start(1) + len(core), 0, core, secret if len(core) >= 8 else 0)
+        for _, _, known, core, _ in list(values):
+            name = core.split("@")[0]
+            if known == email and len(name) >= 6 and not name.isalpha():
+                for m in re.finditer(rf"(?<![\w.@-]){re.escape(name)}(?![\w@-])", text):
+                    add(m.start(), m.end(), 0, name)
+        if _DIGIT.search(text) or "@" in text:
+            for m in _NUMBER.finditer(text):
+                add(m.start(), m.end(), 0, m[0])
+            for m in _CANDIDATE.finditer(text):
+                core = _TRIM.search(m[0])
+                a, b = (m.start() + core.start(), m.start() + core.end()) if core else m.span()
+                add(a, b, 0, text[a:b])
+        values.sort()
+        self.places = [(a, b) for a, b, *_ in values]
+        self.known = [known for _, _, known, _, _ in values]
+        self.given = [kind for *_, kind in values]
         self.features = []
-        self.known = []
-        cores = []
-        ends = []
-        marks = sorted((a, b, LABELS.index(k)) for k, a, b in base)
-        at = 0
-        for m in _CANDIDATE.finditer(text):
-            core = _TRIM.search(m[0])
-            a, b = (m.start() + core.start(), m.start() + core.end()) if core else m.span()
-            while at < len(marks) and marks[at][1] <= m.start():
-                at += 1
-            label = max((x[2] for x in marks[at : at + len(KINDS)] if x[0] < b and x[1] > a), default=0)
-            before = _WORD_BEFORE.search(text, max(0, m.start() - 40), m.start())
-            after = _WORD_AFTER.match(text, m.end(), m.end() + 40)
-            self.places.append((a, b))
-            self.known.append(label)
-            self.features.append(_features(text[a:b], before[1] if before else "", after[1] if after else ""))
-            cores.append(re.sub(r"[\W_]", "", text[a:b]).lower())
-            ends.append(m.span())
-        # Neighbours on one line, and each token with the next one alike.
-        chain = [(i, i + 1) for i in range(len(ends) - 1) if text[ends[i][1] : ends[i + 1][0]].strip(" \t") == ""]
-        skip, last = [], {}
-        for i, core in enumerate(cores):
-            if len(core) > 3:
-                if core in last:
-                    skip.append((last[core], i))
-                last[core] = i
+        for a, b, _, core, _ in values:
+            before, after = _WORD_BEFORE.search(text, max(0, a - NEAR), a), _WORD_AFTER.match(text, b, b + NEAR)
+            is_given = _ASSIGNED.search(text, max(0, a - 30), a) is not None
+            self.features.append(_features(core, before[1] if before else "", after[1] if after else "", is_given))
+        # Neighbours on one line, and values that are alike: with the first that is known, else with the next.
+        gaps = [text[values[i][1] : values[i + 1][0]] for i in range(len(values) - 1)]
+        chain = [(i, i + 1) for i, gap in enumerate(gaps) if len(gap) <= NEAR and "\n" not in gap]
+        self.adjacent = {i + 1 for i, gap in enumerate(gaps) if not gap.strip(" \t")}
+        alike: dict[tuple[str, str], list[int]] = {}
+        for i, (_, _, _, core, _) in enumerate(values):
+            for key in _likeness(core):
+                alike.setdefault(key, []).append(i)
+        skip = set()
+        for group in alike.values():
+            known = next((i for i in group if self.known[i]), None)
+            if known is None:
+                skip |= set(zip(group, group[1:], strict=False))
+            else:
+                skip |= {(min(known, i), max(known, i)) for i in group if i != known}
         self.chain = np.array(chain, np.int64).reshape(-1, 2)
-        self.skip = np.array(skip, np.int64).reshape(-1, 2)
+        self.skip = np.array(sorted(skip), np.int64).reshape(-1, 2)
         self.text = text
 
     def training_labels(self) -> np.ndarray:
-        """The known labels, and secrets where a word assigns a long mixed value."""
+        """The known labels, also of what is like them, e-mail that is written out, and secrets that a word assigns."""
         out = np.array(self.known, np.int64)
         for i, (a, b) in enumerate(self.places):
             core = self.text[a:b]
+            if out[i]:
+                continue
+            out[i] = self.given[i]
             if not out[i] and len(core) >= 16 and core.isalnum() and not core.isdigit() and _ASSIGNED.search(self.text, max(0, a - 30), a):
                 out[i] = LABELS.index("secret")
+        for i, j in self.skip.tolist():
+            # What is like a match is what the match is.
+            if self.known[i] or self.known[j]:
+                out[i], out[j] = (self.known[i] or self.known[j],) * 2 if not (self.known[i] and self.known[j]) else (self.known[i], self.known[j])
         return out
 
 
-def _features(core: str, before: str, after: str) -> list[int]:
+def _likeness(core: str) -> Iterator[tuple[str, str]]:
+    """What values that are alike have in common."""
+    letters, digits, name = re.sub(r"[\W_]", "", core).lower(), _digits(core), core.split("@")[0].lower()
+    if len(letters) > 3:
+        yield "same", letters
+    if len(digits) >= TAIL:
+        yield "digits", digits[-TAIL:]
+    if len(name) >= 6 and not name.isdigit():
+        yield "mailbox", name
+
+
+def examples() -> list[str]:
+    """Lines made by rule, the same each time: written-out e-mail, assigned secrets, numbers and words that are neither, values alike."""
+    chance, out = random.Random(6), []
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda a, b, signs=letters: "".join(chance.choices(signs, k=chance.randint(a, b)))
+    for k in range(EXAMPLES):
+        name, trigger = word(3, 8), chance.choice(["token", "key", "secret", "password", "pwd"])
+        lines = [
+            f"{word(3, 7)} {name} dot {word(3, 8)} at {word(3, 8)} dot {word(2, 4)} {word(3, 7)}",
+            f"{word(3, 7)} {trigger}{chance.choice([': ', ' = ', '='])}{word(9, 24, letters + (letters.upper() + '0123456789' if k % 2 else ''))} {word(3, 7)}",
+            f"{word(3, 7)} {chance.randint(1, 9)} {chance.randint(100, 999)} {chance.randint(100, 999)} {chance.randint(100, 999)} {word(3, 7)}",
+            f"{word(3, 7)} {word(4, 9)}{chance.randint(1, 99)} {word(3, 7)} {chance.randint(1900, 2030)} {word(2, 6)} {chance.randint(0, 99)}.{chance.randint(0, 9)}",
+        ]
+        digits, mailbox = "".join(chance.choices("0123456789", k=10)), f"{word(3, 7)}.{word(3, 7)}{chance.randint(1, 99)}"
+        again = chance.choice([f"49{digits}", f"0{digits}", f"0{digits[:3]} {digits[3:]}", f"({digits[:3]}) {digits[3:]}"])
+        lines += [
+            f"{word(3, 7)} +49 {digits[:3]} {digits[3:6]} {digits[6:]} {' '.join(word(2, 8) for _ in range(20))} {again} {word(3, 7)}",
+            f"{word(3, 7)} {mailbox}@{word(3, 8)}.org {' '.join(word(2, 8) for _ in range(20))} {mailbox} {word(3, 7)}",
+        ]
+        out.append(lines[k % len(lines)])
+    return out
+
+
+def _features(core: str, before: str, after: str, is_given: bool) -> list[int]:
     shape = re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "9", core)))
     short = re.sub(r"(.)\1+", r"\1", shape)
     digits = sum(c.isdigit() for c in core)
     names = [
         "bias", f"short={short if len(short) < 12 else 'long'}", f"length={min(len(core), 48) // 4}", f"digits={min(digits, 24)}", f"exact={shape if len(shape) < 24 else ''}",
         f"before={re.sub(r'[0-9]', '9', before.lower())[-12:]}", f"after={re.sub(r'[0-9]', '9', after.lower())[:12]}", f"at={'@' in core}", f"dots={core.count('.')}",
-        f"hex={re.fullmatch('[0-9a-fA-F]+', core) is not None}", f"mixed={digits > 0 and digits < len(core)}/{min(len(core), 40) // 8}",
+        f"given={is_given}", f"given={is_given}/{min(len(core), 16) // 4}/{core.isalnum()}", f"hex={re.fullmatch('[0-9a-fA-F]+', core) is not None}", f"mixed={digits > 0 and digits < len(core)}/{min(len(core), 40) // 8}",
     ]
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % DIM for x in names]
 
@@ -148,7 +233,7 @@ class Field:
         self.unary, self.chain, self.skip = unary, chain, skip
 
     def marginals(self, tokens: Tokens) -> np.ndarray:
-        """Beliefs after ROUNDS of damped messages along both kinds of edges."""
+        """Beliefs when damped messages along both kinds of edges have settled."""
         k = len(LABELS)
         own = self.unary[np.array(tokens.features)].sum(1)
         own = np.exp(own - own.max(1, keepdims=True))
@@ -174,7 +259,10 @@ class Field:
             out = np.exp(out - out.max(1, keepdims=True))
             new = (out[:, :, None] * pair).sum(1)
             new /= new.sum(1, keepdims=True)
+            change = np.abs(new - message).max()
             message = 0.5 * message + 0.5 * new
+            if change < SETTLED:
+                break
         belief = log_own.copy()
         np.add.at(belief, target, np.log(message))
         belief = np.exp(belief - belief.max(1, keepdims=True))
@@ -230,14 +318,13 @@ def added_spans(text: str, base: list[Span], field: Field) -> list[Span]:
     best = belief.argmax(1)
     taken = np.zeros(len(best), bool)
     taken[[bool(k) for k in tokens.known]] = True
-    follows = set(tokens.chain[:, 1].tolist())
     out: list[Span] = []
     last = -2
     for i, label in enumerate(best.tolist()):
         if not label or taken[i] or belief[i, label] < SURE:
             continue
         a, b = tokens.places[i]
-        if out and last == i - 1 and i in follows and out[-1][0] == LABELS[label]:
+        if out and last == i - 1 and i in tokens.adjacent and out[-1][0] == LABELS[label]:
             out[-1] = (out[-1][0], out[-1][1], b)
         else:
             out.append((LABELS[label], a, b))
@@ -246,11 +333,11 @@ def added_spans(text: str, base: list[Span], field: Field) -> list[Span]:
 
 
 def _train(docs: DataFrame) -> Field:
-    """Fit on at most about TRAIN_DOCS texts with a digit or an @, chosen by hash."""
-    some = docs.where(F.col("text").rlike("[0-9@]"))
+    """Fit on at most about TRAIN_DOCS texts with a digit or an @, chosen by hash, and on the examples."""
+    some = docs.where(F.col("text").rlike("[0-9@]") & (F.octet_length("text") <= TRAIN_BYTES))
     n = some.count()
     part = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(min(1.0, TRAIN_DOCS / max(n, 1)) * 1_000_000)
-    return fit([r["text"] for r in some.where(part).select("text").distinct().orderBy("text").collect()])
+    return fit([r["text"] for r in some.where(part).select("text").distinct().orderBy("text").collect()] + examples())
 
 
 def _written(spans: list[Span]) -> str:
@@ -312,13 +399,14 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs``, all columns and rows, with each span of the text replaced by its kind; a null text stays null."""
     prepare(docs.sparkSession)
     model = _shared(docs)
+    at, names = docs.columns.index("text"), [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = Field(*model.value)
         for batch in batches:
-            at = batch.schema.get_field_index("text")
             texts = [t if t is None else redacted(t, _find(t, field)[1]) for t in batch.column(at).to_pylist()]
             columns = [pa.array(texts, batch.schema.field(at).type) if k == at else batch.column(k) for k in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(write, docs.schema)
+    return plain.mapInArrow(write, plain.schema).toDF(*docs.columns)

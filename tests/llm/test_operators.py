@@ -415,6 +415,45 @@ def test_personal_data(spark, odd):
     assert pii.find_personal_data(odd.limit(0)).count() == 0
 
 
+def planted(chance, k):
+    """(text, kind, value) of what no pattern matches, in forms that the examples of the fit do not have, too."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda a, b, signs=letters: "".join(chance.choices(signs, k=chance.randint(a, b)))
+    prose = lambda n: " ".join(word(2, 9) for _ in range(n))
+    d = "".join(chance.choices("0123456789", k=10))
+    name, secret, mixed = f"{word(3, 7)}_{word(3, 7)}{chance.randint(10, 99)}", word(10, 20), word(14, 24, letters + "0123456789")
+    written = chance.choice([f"{word(3, 7)} dot {word(3, 7)} at {word(4, 7)} dot {word(2, 3)}", f"{word(3, 7)} [at] {word(4, 7)} [dot] {word(2, 3)}"])
+    other = chance.choice([f"49{d}", f"0{d[:3]}-{d[3:6]}-{d[6:]}", f"({d[:3]}) {d[3:6]}.{d[6:]}", f"0{d}"])
+    cases = [
+        (f"{chance.choice(['Password', 'TOKEN', 'secret'])}{chance.choice([': ', '='])}{secret}", "secret", secret),
+        (f"token: {mixed}", "secret", mixed),
+        (written, "email", written),
+        (f"+49 ({d[:3]}) {d[3:6]}-{d[6:]} {prose(30)}. Call {other}", "phone", other),
+        (f"{name}@{word(4, 8)}.example.org {prose(30)} as {name}", "email", name),
+    ]
+    text, kind, value = cases[k % len(cases)]
+    return f"{prose(20)}. {text} {prose(20)}.", kind, value
+
+
+def test_recall_of_values_that_no_pattern_matches(spark, folder):
+    chance = random.Random(11)
+    rows = [planted(chance, k) for k in range(500)]
+    clean = [
+        (10_000 + k, ". ".join(sentence(chance) for _ in range(6)) + f" In {chance.randint(1900, 2030)} there were {chance.randint(1, 999)} of {k}.5 percent, key: value, look at this dot.")
+        for k in range(500)
+    ]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").withColumn("doc_id", F.col("doc_id") + 100_000)
+    extra = spark.createDataFrame([*enumerate(t for t, _, _ in rows), *clean], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(docs.union(extra)).where("doc_id < 100000").collect()}
+    found = collections.Counter()
+    for k, (text, kind, value) in enumerate(rows):
+        at = text.rindex(value)
+        spans = [s.split(":") for s in got[k].split(",") if s]
+        found[k % 5] += any(s[0] == kind and int(s[1]) <= at and int(s[2]) >= at + len(value.rstrip(".")) for s in spans)
+    assert min(found[k] for k in range(5)) >= 90, found
+    assert sum(bool(got[i]) for i, _ in clean) <= 5
+
+
 # -- 4, 7, 10: fitted models ------------------------------------------------------------
 
 
