@@ -32,7 +32,8 @@ DEFAULT_RELATIONSHIPS = ["success"]
 # The fields that hold a definition's children.
 CHILDREN = ["processors", "connections", "controllerServices", "parameterContexts", "ports"]
 
-F_ENTRIES = "map<string,struct<value:string,sensitive:boolean,description:string>>"
+# The parameters of a context as a JSON object.
+PARAMETER_MAP = "map<string,struct<value:string,sensitive:boolean,description:string>>"
 
 # The scheduling keys a manifest keeps.
 SCHEDULING_KEYS = [
@@ -382,7 +383,7 @@ def definition_documents(definitions: Definitions, part_rows: int = 10_000) -> D
         F.nullif("description", F.lit("")).alias("description"),
         F.when(F.col("sliced"), F.col("context_pos")).alias("of"),
         F.when(F.col("sliced"), F.col("slice")).alias("slice"),
-        F.coalesce(parameters, F.create_map().cast(F_ENTRIES)).alias("parameters"),
+        F.coalesce(parameters, F.create_map().cast(PARAMETER_MAP)).alias("parameters"),
     )
     processor = F.struct(
         "name", "type", _non_empty("properties").alias("properties"), _non_empty("scheduling").alias("scheduling"),
