@@ -12,10 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions import blank_to_null, short_type_name
+from millrace.functions import short_type_name
 from millrace.functions.maps import STRING_MAP, empty_map
+from millrace.functions.text import BLANKS
 from millrace.operators.lookup import lookup_join
-from millrace.operators.ordered import row_numbers
+from millrace.operators.ordered import large_keys, of_keys, row_numbers
 
 # The reject reasons, in the order they are tried.
 REASON_BLANK = "definition is required."
@@ -64,6 +65,12 @@ def _get(value: Column | str, path: str, as_type: str = "string") -> Column:
     return F.try_variant_get(value, path, as_type)
 
 
+def _trimmed(text: Column) -> Column:
+    """The text without blanks at its ends; most long ones have none, which is cheap to see."""
+    ends = F.substring(text, 1, 1).isin(*BLANKS) | F.substring(text, -1, 1).isin(*BLANKS)
+    return F.when(ends, F.btrim(text, F.lit(BLANKS))).otherwise(text)
+
+
 def _items(doc: Column | str, field: str) -> Column:
     """The children under a field: a list, or the values of an object; else none."""
     path = f"$.{field}"
@@ -117,19 +124,19 @@ def parse_definitions(
     Each table reads only what it needs of the text. A caller that uses several
     of them may persist ``df`` or write the tables.
     """
+    # As the output of a generator a text is trimmed and parsed once, where a plain column
+    # would be repeated in every test that a filter makes of it.
     parsed = df.select(
         F.col(id_col).cast("string").alias("pipeline_id"),
-        blank_to_null(json_col).alias("raw"),
         (F.col(part_col) if part_col else F.lit(0)).cast("bigint").alias("part"),
-    )
-    # As the output of a generator the document is parsed once, where a plain
-    # column would be repeated in every test that a filter makes of it.
+        F.explode(F.array(_trimmed(F.col(json_col)))).alias("text"),
+    ).withColumn("raw", F.nullif("text", F.lit("")))
     parsed = parsed.select(
         "pipeline_id", "raw", "part", F.explode(F.array(F.try_parse_json("raw"))).alias("doc")
     )
     reason = (
         F.when(F.col("raw").isNull(), REASON_BLANK)
-        .when(~F.coalesce(_is_collection("doc"), F.lit(False)), REASON_NOT_OBJECT)
+        .when(F.col("doc").isNull() | ~F.substring("raw", 1, 1).isin("{", "["), REASON_NOT_OBJECT)
         .when(F.coalesce(_get("doc", "$.name"), F.lit("")) == "", REASON_NO_NAME)
         .when(_any_without(_items("doc", "processors"), "$.type"), REASON_PROCESSOR)
         .when(
@@ -142,7 +149,9 @@ def parse_definitions(
     judged = parsed.withColumn("reason", reason)
     before = {field: F.lit(0) for field in CHILDREN}
     if part_col:
-        parts = Window.partitionBy("pipeline_id").orderBy("part")
+        # As a struct the key is shuffled by wherever the rows lie, so tables that are read
+        # together share what is parsed up to here.
+        parts = Window.partitionBy(F.struct("pipeline_id")).orderBy("part")
         earlier = parts.rowsBetween(Window.unboundedPreceding, -1)
         whole = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         before = {
@@ -289,47 +298,63 @@ def nest_documents(
 
     ``children`` maps a field to (table with ``key``, position, item), if need be with
     the least part that an item may be in. The rows of all tables meet in one shuffle,
-    already as text. A parent with more than ``part_rows`` children of a kind is written
+    already as text; only parents with more rows than one task should sort are cut before. A parent with more than ``part_rows`` children of a kind is written
     as several documents numbered by ``part``, each with the header and the next ``part_rows`` of every list, counted in
     the order of position (null first) and text, whatever the positions are. So no list
     is longer than ``part_rows``, and ``parse_definitions`` can join the parts again.
     """
 
-    def rows(df: DataFrame, kind: str, pos: Column, item: Column, least: Column = F.lit(0)) -> DataFrame:
+    kinds = {kind: number for number, kind in enumerate(children, 1)}
+
+    def rows(df: DataFrame, kind: int, pos: Column, body: Column, least: Column = F.lit(0)) -> DataFrame:
         return df.select(
             key,
             F.lit(kind).alias("kind"),
             pos.cast("bigint").alias("pos"),
-            F.to_json(item).alias("body"),
+            body.alias("body"),
             least.cast("bigint").alias("least"),
         )
 
-    head = F.struct(*[column.alias(name) for name, column in header.items()])
-    heads = parents.groupBy(key).agg(F.max(F.to_json(head)).alias("head"))
-    # A parent without children has a first part, too.
-    pieces = rows(heads, "", F.lit(0), F.struct(F.lit(0).alias("none")))
-    for kind, (df, *columns) in children.items():
-        pieces = pieces.unionByName(rows(df, kind, *columns))
-
-    # The children of a parent of any size are numbered by slices; a part has a bounded list.
-    ranked = row_numbers(pieces, [key, "kind"], ["pos", "body"], "rank")
-    grouped = ranked.groupBy(key, F.greatest(F.floor((F.col("rank") - 1) / part_rows), "least").alias("part")).agg(
-        F.sort_array(F.collect_list(F.when(F.col("kind") != "", F.struct("kind", "rank", "body")))).alias("items")
+    # A parent without children has a first part, too. Of equal parents the largest header counts.
+    head = F.to_json(F.struct(*[column.alias(name) for name, column in header.items()]))
+    pieces = rows(parents, 0, F.lit(0), head)
+    for kind, (df, pos, item, *least) in children.items():
+        pieces = pieces.unionByName(rows(df, kinds[kind], pos, F.to_json(item), *least))
+
+    def grouped(ranked: DataFrame, *more: Column) -> DataFrame:
+        """The parts with a bounded list of each kind."""
+        of_kind = [
+            F.sort_array(F.collect_list(F.when(F.col("kind") == number, F.struct("rank", "body")))).alias(f"list_{number}")
+            for number in kinds.values()
+        ]
+        part = F.when(F.col("kind") == 0, 0).otherwise(F.greatest(F.floor((F.col("rank") - 1) / part_rows), "least"))
+        return ranked.groupBy(key, part.alias("part")).agg(*of_kind, *more)
+
+    # All rows of a parent are in one task, headers first, unless there are too many of them.
+    found = large_keys(pieces, [key])
+    usual = (pieces if found is None else of_keys(pieces, found, [key], "left_anti")).repartition(key)
+    in_kind = Window.partitionBy(key, "kind").orderBy("pos", "body")
+    so_far = Window.partitionBy(key).orderBy("kind", "pos", "body").rowsBetween(Window.unboundedPreceding, 0)
+    usual = usual.withColumn("rank", F.row_number().over(in_kind).cast("bigint")).withColumn(
+        "head", F.max(F.when((F.col("kind") == 0) & F.col(key).isNotNull(), F.col("body"))).over(so_far)
     )
-    grouped = lookup_join(grouped, heads, key)
-
-    def of_kind(kind: str) -> Column:
-        return F.filter("items", lambda piece: piece["kind"] == kind)["body"]
+    parts = grouped(usual, F.max("head").alias("head"))
+    if found is not None:
+        # The children of a parent of any size are numbered by slices.
+        large = of_keys(pieces, found, [key], "left_semi")
+        heads = large.where("kind = 0").groupBy(key).agg(F.max("body").alias("head"))
+        ranked = row_numbers(large, [key, "kind"], ["pos", "body"], "rank")
+        parts = parts.unionByName(lookup_join(grouped(ranked), heads, key))
 
     lists = [
-        F.concat(F.lit(f'"{kind}":['), F.array_join(of_kind(kind), ","), F.lit("]"))
-        for kind in children
+        F.concat(F.lit(f'"{kind}":['), F.array_join(F.col(f"list_{number}.body"), ","), F.lit("]"))
+        for kind, number in kinds.items()
     ]
     opening = F.when(F.col("head") != "{}", F.expr("concat(left(head, length(head) - 1), ',')"))
     document = F.concat(
         F.coalesce(opening, F.lit("{")), F.concat_ws(",", *lists), F.lit("}")
     )
-    return grouped.select(key, "part", document.alias("document"))
+    return parts.select(key, "part", document.alias("document"))
 
 
 def _non_empty(collection: str) -> Column:

@@ -6,6 +6,8 @@ only one slice of a key; a small table of slices carries the numbers across.
 Where the caller names no slice it is measured: rows are dealt by splitters from a sample
 of (key, order), of any type, nulls and ties included, so slices are alike however the rows
 lie. The dealt rows are written once to the shared folder, as their slices must not change.
+``row_numbers`` counts the keys first and deals only the rows of keys that are too large for
+a task; all others are numbered after one shuffle.
 """
 
 from __future__ import annotations
@@ -17,6 +19,34 @@ from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
 
+# Rows of one key that a task may sort. There are few keys with more: this many times fewer than rows.
+TASK_ROWS = 200_000
+HASHES = 1 << 14
+
+
+def large_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys of ``df`` with more than TASK_ROWS rows, a null one included; None if there are none.
+
+    Rows are counted by a few hash values of their keys; keys only where those count too many.
+    """
+    few = df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(HASHES)).cast("int").alias("_hash"))
+    many = [r[0] for r in few.groupBy("_hash").agg(F.count("*").alias("_rows")).where(F.col("_rows") > TASK_ROWS).select("_hash").collect()]
+    if not many:
+        return None
+    rows = few.where(F.col("_hash").isin(many)).groupBy(*keys).agg(F.count("*").alias("_rows"))
+    found = rows.where(F.col("_rows") > TASK_ROWS).drop("_rows")
+    path = scratch_path(df.sparkSession, "large-keys")
+    found.write.parquet(path)
+    found = df.sparkSession.read.schema(found.schema).parquet(path)
+    return None if found.isEmpty() else found
+
+
+def of_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """The rows of ``df`` that have (``left_semi``) or lack (``left_anti``) one of the ``large_keys``; nulls are equal."""
+    names = {key: f"_large_{i}" for i, key in enumerate(keys)}
+    on = [df[key].eqNullSafe(F.col(name)) for key, name in names.items()]
+    return df.join(F.broadcast(found.withColumnsRenamed(names)), on, how)
+
 
 def _measured(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``df`` with ``_slice``, which never falls as the order of a key rises; ties are dealt to several slices."""
@@ -51,6 +81,19 @@ def row_numbers(
     slice_by: Column | None = None,
 ) -> DataFrame:
     """Number the rows of each key from 1 in the given order; equal ones in any order."""
+    if slice_by is None:
+        plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+        found = large_keys(df, keys)
+        if found is None:
+            return df.withColumn(name, plain)
+        rest = of_keys(df, found, keys, "left_anti").withColumn(name, plain)
+        return rest.unionByName(_sliced_numbers(of_keys(df, found, keys, "left_semi"), keys, order, name, None))
+    return _sliced_numbers(df, keys, order, name, slice_by)
+
+
+def _sliced_numbers(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slice_by: Column | None
+) -> DataFrame:
     sliced = _sliced(df, keys, order, slice_by)
     earlier = _within_key().rowsBetween(Window.unboundedPreceding, -1)
     offsets = sliced.groupBy("_group").agg(F.count("*").alias("_rows")).select(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.operators import definitions as d
+from millrace.operators import ordered
 from millrace.operators import validate as v
 from millrace.plans import DefinitionError, Pipeline
 
@@ -305,6 +306,44 @@ def test_parts_are_joined_again(spark, positions):
         assert [r.name for r in found] == [f"p{i:05d}" for i in range(n)]
 
 
+def _nested(spark, part_rows=7):
+    """Parents of 0 to 90 children of two kinds, one named twice, one not there, one null."""
+    data = [(k, i % 5 if i % 3 else None, f"c{i:02d}") for k in ("a", "b", "c", None, "lost") for i in range({"a": 90, "b": 8, "c": 3}.get(k, 20))]
+    children = spark.createDataFrame(data, "pipeline_id string, pos int, name string")
+    parents = spark.createDataFrame([("a", "A"), ("b", "B"), ("b", "BB"), ("c", "C"), ("d", "D"), (None, "N")], "pipeline_id string, name string")
+    item = F.struct("name")
+    few = children.where("name < 'c12'")
+    found = d.nest_documents(parents, "pipeline_id", {"name": F.col("name")}, {"x": (children, F.col("pos"), item), "y": (few, F.col("pos"), item)}, part_rows)
+    return sorted(((r.pipeline_id or "", r.part, r.document) for r in found.collect()))
+
+
+def test_usual_parents_are_not_dealt(spark, monkeypatch):
+    """Only parents too large for a task are cut into slices first; both ways give the same."""
+    with monkeypatch.context() as patch:
+        patch.setattr(ordered, "_measured", None)
+        usual = _nested(spark)
+    assert [(k, part) for k, part, _ in usual if k == "a"] == [("a", i) for i in range(13)]
+    assert {json.loads(text).get("name") for k, _, text in usual if k in ("", "lost")} == {None}
+    assert {json.loads(text)["name"] for k, _, text in usual if k == "b"} == {"BB"}
+    want = sorted((-1 if i % 3 == 0 else i % 5, f"c{i:02d}") for i in range(90))
+    assert [x["name"] for k, _, text in usual if k == "a" for x in json.loads(text)["x"]] == [name for _, name in want]
+    monkeypatch.setattr(ordered, "HASHES", 2)
+    for rows_of_a_task in (0, 25, 60):
+        monkeypatch.setattr(ordered, "TASK_ROWS", rows_of_a_task)
+        assert _nested(spark) == usual
+
+
+def test_only_large_keys_are_dealt(spark, monkeypatch):
+    data = [(k, i) for k in (1, 2, None) for i in range(9 * (k or 3))]
+    df = spark.createDataFrame(data, "k int, i int")
+    monkeypatch.setattr(ordered, "TASK_ROWS", 20)
+    assert sorted(r.k or 0 for r in ordered.large_keys(df, ["k"]).collect()) == [0]
+    assert all(r.n == r.i + 1 for r in ordered.row_numbers(df, ["k"], ["i"], "n").collect())
+    monkeypatch.setattr(ordered, "_measured", None)
+    assert ordered.large_keys(df.where("k = 1"), ["k"]) is None
+    assert all(r.n == r.i + 1 for r in ordered.row_numbers(df.where("k = 1"), ["k"], ["i"], "n").collect())
+
+
 def test_a_fault_in_one_part_rejects_the_definition_once(spark):
     parts = [("a", 0, '{"name":"x"}'), ("a", 1, '{"name":"x","processors":[{}]}'), ("a", 2, "broken"), ("b", 0, '{"name":"y"}')]
     parsed = d.parse_definitions(spark.createDataFrame(parts, "id string, part int, text string"), "id", "text", "part")
