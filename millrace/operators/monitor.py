@@ -19,6 +19,8 @@ PAGE_ROWS = 10_000
 SPLITTERS = 64
 # Letters of an index entry.
 GRAM = 3
+# Entries of an index that a task sorts.
+INDEX_ROWS = 2_000_000
 
 
 def list_children(df: DataFrame, group_id, col: str = "group_id") -> DataFrame:
@@ -262,10 +264,19 @@ def index_components(df: DataFrame, cols: Sequence[str] = ("name", "type", "prop
     entries = lambda text: F.transform(
         F.sequence(F.lit(1), F.greatest(F.length(text) - GRAM + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(GRAM))
     )
-    each = df.select(F.col(id_col).alias("id"), F.explode(F.flatten(F.array(*[F.coalesce(t, F.array().cast("array<string>")) for t in texts]))).alias("text"))
-    grams = each.where("text IS NOT NULL AND id IS NOT NULL").select("id", F.explode(entries(F.lower("text"))).alias("gram")).select("gram", "id").distinct()
+    parts = F.flatten(F.array(*[F.coalesce(t, F.array().cast("array<string>")) for t in texts]))
+    each = df.select(F.col(id_col).alias("id"), F.filter(parts, lambda text: text.isNotNull()).alias("texts")).where("id IS NOT NULL")
+    # A few rows of a table are many entries: tasks are as many as the entries ask for, rows are
+    # spread before they become entries, and nothing is collected before the order is there.
+    long = F.aggregate("texts", F.lit(0).cast("bigint"), lambda n, text: n + F.length(text) + 1)
+    tasks = int((each.agg(F.coalesce(F.sum(long), F.lit(0))).first()[0]) // INDEX_ROWS) + 1
+    each = each.repartition(tasks, "id", F.xxhash64("texts"))
+    found = F.array_distinct(F.flatten(F.transform("texts", lambda text: entries(F.lower(text)))))
+    grams = each.select("id", F.explode(found).alias("gram")).select("gram", "id")
     path = path or scratch_path(df.sparkSession, "component-index")
-    grams.repartitionByRange("gram", "id").sortWithinPartitions("gram", "id").write.parquet(path)
+    # Equal entries, of rows with one id, lie in one task.
+    grams = grams.repartitionByRange(tasks, "gram", "id").dropDuplicates(["gram", "id"])
+    grams.sortWithinPartitions("gram", "id").write.parquet(path)
     return df.sparkSession.read.schema(grams.schema).parquet(path)
 
 

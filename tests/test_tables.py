@@ -438,6 +438,20 @@ def test_pages_at_any_depth(spark, monkeypatch, offset):
         assert "Filter" in left and int(left.split("Offset ")[1].split("\n")[0]) < 400
 
 
+def test_index_of_repeated_ids_in_many_tasks(spark, monkeypatch):
+    """Each entry once, in order, in as many tasks as there are entries for; no id, no entry."""
+    monkeypatch.setattr(monitor, "INDEX_ROWS", 50)
+    data = [(i % 7 if i % 11 else None, f"Name {i % 3}", "abab", {"k": "v" * (i % 4)}) for i in range(60)]
+    df = frame(spark, "id int, name string, type string, properties map<string,string>", *data)
+    index = monitor.index_components(df)
+    want = {(t[k : k + 3], i) for i, *cols, p in data if i is not None for t in map(str.lower, [*cols, *p.values()]) for k in range(max(1, len(t) - 2))}
+    got = [(r.gram, r.id) for r in index.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert len(index.inputFiles()) > 4
+    for text in ("abab", "e 2", "vv"):
+        assert rows(monitor.search_components_indexed(df.where("id IS NOT NULL"), index, text), "id") == rows(monitor.search_components(df.where("id IS NOT NULL"), text), "id")
+
+
 def test_indexed_search_equals_the_scan(spark):
     data = [(1, "Fetch FILES", "Get", {"path": "/in/Ünï"}), (2, "", "Put", {"a": "xy", "b": None}), (3, None, "x", None), (4, "fe", "tch f", {}), (5, "ab abab", "ABAB", {"k": "100%_a"})]
     df = frame(spark, "id int, name string, type string, properties map<string,string>", *data)
