@@ -59,7 +59,7 @@ def op4_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_dedup.remove_repeated_sentences(table(spark, sf_dir, "documents")).drop("kept")
+    return sentence_dedup.remove_repeated_sentences(table(spark, sf_dir, "documents"), every=True).drop("kept")
 
 
 @query

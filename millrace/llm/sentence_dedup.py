@@ -5,7 +5,8 @@ hash is the least in some window of CUT words. So every CUT words have a cut, an
 it is depends on the words around it alone: text without punctuation, or a passage that
 begins in the middle of a sentence, is cut at the same words wherever it stands.
 
-A span starts at a text's first word and before each word that is the least in some window
+With ``every``, as the query asks for, a span starts at every piece: no window of pieces is left
+out. Else a span starts at a text's first word and before each word that is the least in some window
 of START words, and runs to the first cut that leaves it LEAST words and SPAN pieces. Any
 passage of 51 words has one whole in it: the windows that reach over its border decide
 about its first and last 10 words at most (5 for cuts), a start is among its words 11 to
@@ -67,7 +68,7 @@ class Sentences:
     one of .!?, before a line break and with the text.
     """
 
-    def __init__(self, values: list[bytes]):
+    def __init__(self, values: list[bytes], every: bool = False):
         data, starts = arrays.join(values)
         inside = np.concatenate([[False], ~arrays.SPACE[data], [False]])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
@@ -84,7 +85,7 @@ class Sentences:
         self.begins = np.flatnonzero(begins | is_start | _least(self.word, text, CUT))
         stops = np.append(self.begins[1:], len(self.word)) if len(self.begins) else self.begins
         self.bounds = np.searchsorted(first[self.begins], starts)
-        self.starts = np.flatnonzero(is_start[self.begins])
+        self.starts = np.arange(len(self.begins)) if every else np.flatnonzero(is_start[self.begins])
         origin = np.repeat(starts[:-1], np.diff(self.bounds))
         self.first, self.last = first[self.begins] - origin, last[stops - 1] - origin
 
@@ -113,7 +114,7 @@ def sentences(text: bytes) -> list[tuple[int, int]]:
     return list(zip(found.first.tolist(), found.last.tolist(), strict=True))
 
 
-def _spans(texts: DataFrame) -> DataFrame:
+def _spans(texts: DataFrame, every: bool) -> DataFrame:
     """(h, check, doc_id, d, at) of each span; ``at`` is its first piece and the number of pieces."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,7 +122,7 @@ def _spans(texts: DataFrame) -> DataFrame:
             values = [arrays.utf8(t) for t in batch["text"]]
             ids = batch["doc_id"].to_numpy()
             for i, j in arrays.chunks(values):
-                which, at, pieces, h, check = Sentences(values[i:j]).spans()
+                which, at, pieces, h, check = Sentences(values[i:j], every).spans()
                 crc = np.array([zlib.crc32(v) for v in values[i:j]], np.uint32).view(np.int32)
                 columns = {"h": arrays.signed(h), "check": (check >> np.uint64(33)).astype(np.int32), "doc_id": ids[i:j][which], "d": crc[which], "at": at * PIECES + pieces}
                 yield pd.DataFrame(columns)
@@ -129,7 +130,7 @@ def _spans(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(find, "h long, check int, doc_id long, d int, at long")
 
 
-def remove_repeated_sentences(docs: DataFrame) -> DataFrame:
+def remove_repeated_sentences(docs: DataFrame, every: bool = False) -> DataFrame:
     """doc_id, n_sentences, n_removed, n_spans, kept_sha256, kept for each row of ``docs`` (doc_id, text).
 
     n_sentences counts the pieces, n_removed those covered by a span that also starts earlier, in
@@ -140,10 +141,13 @@ def remove_repeated_sentences(docs: DataFrame) -> DataFrame:
     compared with nothing and stay whole. Rows that repeat a doc_id with another text are
     ordered by the crc32 of the text (signed); rows that repeat both get the same answer. Other
     columns are not read.
+
+    With ``every`` a span starts at every piece, so that every window of SPAN pieces in a row
+    (more, where they have fewer than LEAST words) is compared; else only at chosen words.
     """
     prepare(configure(docs.sparkSession))
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    spans, key = _spans(docs.where("doc_id is not null")), ["h", "check"]
+    spans, key = _spans(docs.where("doc_id is not null"), every), ["h", "check"]
     often = spans.groupBy(*key).agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     met = stored(lookup_join(spans, often, key, "inner"), "repeated-spans")
     # Within the first document only its first place stays.

@@ -213,6 +213,36 @@ def test_sentence_dedup(corpus, docs, odd):
     assert sentence_dedup.remove_repeated_sentences(odd.limit(0)).count() == 0
 
 
+def test_every_window_of_sentences_is_compared(spark):
+    """Three sentences of 7 words that stand elsewhere, too, are found wherever they begin."""
+    chance = random.Random(5)
+    prose = lambda: " ".join(chance.choices([f"u{k}" for k in range(3000)], k=7)) + "."
+    rows = []
+    for k in range(0, 200, 2):
+        passage = [prose() for _ in range(3)]
+        rows += [(i, " ".join([*[prose() for _ in range(chance.randint(1, 4))], *passage, *[prose() for _ in range(chance.randint(1, 4))]])) for i in (k, k + 1)]
+    hand, seen = {}, set()
+    for i, text in rows:
+        pieces = sentence_dedup.Sentences([text.encode()])
+        edges, n = [*pieces.begins.tolist(), len(pieces.word)], len(pieces.begins)
+        words, spans = text.split(), []
+        for p in range(n):
+            e = next((e for e in range(p + 3, n + 1) if edges[e] - edges[p] >= 20), None)
+            spans += [(p, e)] if e else []
+        if spans[-1][1] < n:
+            spans.append((spans[-1][0], n))
+        runs = [(p, e, tuple(words[edges[p] : edges[e]])) for p, e in spans]
+        gone = {q for p, e, run in runs if run in seen for q in range(p, e)}
+        seen |= {run for _, _, run in runs}
+        hand[i] = (n, len(gone))
+    docs = frame(spark, rows)
+    got = {r.doc_id: (r.n_sentences, r.n_removed) for r in sentence_dedup.remove_repeated_sentences(docs, every=True).collect()}
+    assert got == hand
+    found = [k for k in range(1, 200, 2) if got[k][1]]
+    some = {r.doc_id for r in sentence_dedup.remove_repeated_sentences(docs).where("n_removed > 0").collect()}
+    assert len(found) > len(some) and some <= set(found)
+
+
 @pytest.mark.parametrize("ends", ["", ".", "\n"])
 def test_every_repeated_passage_loses_words(spark, ends):
     """51 words in other surroundings, from any word on, with full stops, line breaks or nothing; short copies."""
