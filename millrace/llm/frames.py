@@ -16,6 +16,8 @@ from . import arrays
 
 # Rows that go to Python at a time; the operators then work on a few MB at a time.
 ARROW_ROWS = 500
+# Whether Spark removes the shuffle files of a query when it ends.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +32,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: computed once, and no lost executor repeats it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once, and no lost executor repeats it.
+
+    With ``clean`` Spark removes the write's shuffle files as soon as it is done, not when the driver
+    happens to collect its garbage, so the next step has their disk.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(CLEAN, "false")
+    try:
+        if clean:
+            spark.conf.set(CLEAN, "true")
+        df.write.parquet(path)
+    finally:
+        if clean:
+            spark.conf.set(CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:

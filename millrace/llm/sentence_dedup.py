@@ -14,8 +14,10 @@ about its first and last 10 words at most (5 for cuts), a start is among its wor
 span, and the last span of a text is there to the end of the text, too, so copies go whole.
 Of equal spans anywhere in the corpus the first stays, and the pieces of all others go.
 
-Spans are counted where they are read, then globally; only repeated ones are looked at
-again, in a join that Spark splits on a hot span.
+What repeats within a text is found where the text is; only the first of its equal spans moves. Spans
+are counted where they are read, then globally; only repeated ones are looked at again, in a join that
+Spark splits on a hot span. The counts are written before that join, so the two largest shuffles are
+never on disk together.
 """
 
 from __future__ import annotations
@@ -107,6 +109,15 @@ class Sentences:
         hashes = [arrays.Rolling(w).of(edges[start], edges[stop]) for w in (self.word, other)]
         return which, start - self.bounds[which], stop - start, *hashes
 
+    @staticmethod
+    def again(which: np.ndarray, h: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Whether each span repeats an earlier one of its text; depends on that text alone."""
+        order = np.lexsort((h, which))
+        same = np.zeros(len(which), bool)
+        a, b = order[:-1], order[1:]
+        same[b] = (which[a] == which[b]) & (h[a] == h[b]) & (check[a] == check[b])
+        return same
+
 
 def sentences(text: bytes) -> list[tuple[int, int]]:
     """(first, end) byte of each piece of one text; what is between them belongs to none."""
@@ -115,14 +126,16 @@ def sentences(text: bytes) -> list[tuple[int, int]]:
 
 
 def _spans(texts: DataFrame, every: bool) -> DataFrame:
-    """(h, check, doc_id, d, at) of each span; ``at`` is its first piece and the number of pieces."""
+    """(h, check, doc_id, d, at) of each span, once for each text; ``at`` is its first piece and the number of pieces."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = [arrays.utf8(t) for t in batch["text"]]
             ids = batch["doc_id"].to_numpy()
             for i, j in arrays.chunks(values):
-                which, at, pieces, h, check = Sentences(values[i:j], every).spans()
+                found = Sentences(values[i:j], every).spans()
+                once = ~Sentences.again(found[0], *found[3:])
+                which, at, pieces, h, check = (x[once] for x in found)
                 crc = np.array([zlib.crc32(v) for v in values[i:j]], np.uint32).view(np.int32)
                 columns = {"h": arrays.signed(h), "check": (check >> np.uint64(33)).astype(np.int32), "doc_id": ids[i:j][which], "d": crc[which], "at": at * PIECES + pieces}
                 yield pd.DataFrame(columns)
@@ -149,7 +162,8 @@ def remove_repeated_sentences(docs: DataFrame, every: bool = False) -> DataFrame
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     spans, key = _spans(docs.where("doc_id is not null"), every), ["h", "check"]
     often = spans.groupBy(*key).agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    met = stored(lookup_join(spans, often, key, "inner"), "repeated-spans")
+    often = stored(often, "spans-often", clean=True)
+    met = stored(lookup_join(spans, often, key, "inner"), "repeated-spans", clean=True)
     # Within the first document only its first place stays.
     place = F.struct("d", "at")
     own = met.where("doc_id = first")
@@ -163,14 +177,19 @@ def remove_repeated_sentences(docs: DataFrame, every: bool = False) -> DataFrame
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            values = list(unpacked(batch["body"]))
+            values, has_id = list(unpacked(batch["body"])), batch["doc_id"].notna().to_numpy()
             for i, j in arrays.chunks(values):
-                found = Sentences(values[i:j])
+                found = Sentences(values[i:j], every)
+                which, first, pieces, h, check = found.spans()
+                own = np.flatnonzero(Sentences.again(which, h, check))
+                own = own[np.argsort(which[own], kind="stable")]
+                inner, edges = (first * PIECES + pieces)[own], np.searchsorted(which[own], np.arange(j - i + 1))
                 for k in range(i, j):
                     a, b = found.bounds[k - i], found.bounds[k - i + 1]
                     gone = np.zeros(b - a + 1, np.int64)
-                    if batch["again"].iloc[k] is not None:
-                        at = np.asarray(batch["again"].iloc[k], np.int64)
+                    if has_id[k]:
+                        far = batch["again"].iloc[k]
+                        at = np.concatenate([inner[edges[k - i] : edges[k - i + 1]], np.asarray([] if far is None else far, np.int64)])
                         np.add.at(gone, at // PIECES, 1)
                         np.subtract.at(gone, at // PIECES + at % PIECES, 1)
                     gone = (np.cumsum(gone)[: b - a] > 0).astype(np.int64)

@@ -5,14 +5,16 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from millrace.llm import ORACLE, QUERIES, arrays, decontaminate, language, minhash, packing, pii, quality_model, quality_rules, sentence_dedup, suffix_dedup, toxicity
+from millrace.llm import ORACLE, QUERIES, arrays, decontaminate, frames, language, minhash, packing, pii, quality_model, quality_rules, sentence_dedup, suffix_dedup, toxicity
 from millrace.llm.queries import RANKS, TOKENIZER
 from oracle import difference
 
@@ -243,6 +245,59 @@ def test_every_window_of_sentences_is_compared(spark):
     assert len(found) > len(some) and some <= set(found)
 
 
+def test_repeats_within_a_text_do_not_move(spark, corpus):
+    """Only the first of a text's equal spans goes to the count and the join; ids may repeat or be null."""
+    clauses = [f"Clause {k} of the terms is read aloud twice." for k in range(4)]
+    twice = " ".join(clauses * 3 + ["And then it ends here."])
+    rows = [(1, "Before it. " + twice), (2, twice), (2, twice), (3, twice + " More words."), (3, "Other words first. " + twice), (None, twice), (None, twice)]
+    spans = sentence_dedup._spans(frame(spark, [*rows, *[(i + 10, t) for i, t in corpus]]).where("doc_id is not null").dropDuplicates(["doc_id", "text"]), True)
+    assert spans.groupBy("h", "check", "doc_id", "d").count().where("count > 1").count() == 0
+
+    def by_hand(rows):
+        """Pieces that go from each row with an id; of one id, the smaller signed crc32 comes first, equal rows share a place."""
+        seen, out = {}, []
+        for i, d, text in sorted((i, (zlib.crc32(t.encode()) ^ 1 << 31) - (1 << 31), t) for i, t in rows if i is not None):
+            pieces = sentence_dedup.Sentences([text.encode()], True)
+            edges, words, gone = [*pieces.begins.tolist(), len(pieces.word)], WORD.findall(text), set()
+            for p, k in sorted(zip(*(x.tolist() for x in pieces.spans()[1:3]), strict=True)):
+                if seen.setdefault(tuple(words[edges[p] : edges[p + k]]), (i, d, p, k)) != (i, d, p, k):
+                    gone |= set(range(p, p + k))
+            out.append((i, len(edges) - 1, len(gone)))
+        return sorted(out)
+
+    every = lambda rows: [(r.doc_id, r.n_sentences, r.n_removed) for r in sentence_dedup.remove_repeated_sentences(frame(spark, rows), every=True).collect()]
+    got = every(rows)
+    assert sorted(r for r in got if r[0] is not None) == by_hand(rows) and [r[2] for r in got if r[0] is None] == [0, 0]
+    assert 0 < by_hand(rows)[0][2] < by_hand(rows)[0][1]
+    assert sorted(every(corpus)) == by_hand(corpus)
+
+
+def test_sentence_dedup_leaves_no_shuffles(spark, docs):
+    """The counts' shuffle is gone before the join writes its own, and the join's before the texts move."""
+
+    def shuffles():
+        dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for f in Path(d).rglob("shuffle_*")}
+
+    before, seen = shuffles(), []
+    write = frames.stored
+
+    def watched(df, name, **how):
+        out = write(df, name, **how)
+        for _ in range(100):
+            if not (left := shuffles() - before):
+                break
+            time.sleep(0.1)
+        seen.append((name, len(left)))
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sentence_dedup, "stored", watched)
+        sentence_dedup.remove_repeated_sentences(docs, every=True)
+    assert seen == [("spans-often", 0), ("repeated-spans", 0)]
+    assert spark.conf.get(frames.CLEAN, "false") == "false"
+
+
 @pytest.mark.parametrize("ends", ["", ".", "\n"])
 def test_every_repeated_passage_loses_words(spark, ends):
     """51 words in other surroundings, from any word on, with full stops, line breaks or nothing; short copies."""
